@@ -25,9 +25,15 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: lineage ends there."""
+    return staged_twice(df, label)[0]
+
+
+def staged_twice(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """As ``staged``, as two relations, so that one can be joined with what comes of the other."""
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema)
+    return read.parquet(path), read.parquet(path)
 
 
 def open_store(uri: str):

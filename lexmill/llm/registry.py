@@ -21,6 +21,14 @@ def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_to_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import encode_documents
+
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sizes
 
@@ -33,5 +41,13 @@ def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_binary, op6_source_mixing, op7_media_columns)}
+def op10_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .lattice import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_binary, op4_byte_bpe, op6_source_mixing, op7_media_columns, op10_lattice_scoring)}
 ORACLE_SQL: dict[str, str] = {}
