@@ -269,7 +269,7 @@ def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> D
     words = packed.select("part", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "x")).select("part", "at", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
     counts = staged(words.groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
     ends = packed.select(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
-    types, tokens, once, twice = (int(x or 0) for x in counts.where("c > 0").agg(F.count("*"), F.sum("c"), F.count_if("c = 1"), F.count_if("c = 2")).first())
+    types, tokens, once, twice = (int(x or 0) for x in counts.where("c > 0").agg(F.count("*"), F.sum("c"), F.expr("count_if(c = 1)"), F.expr("count_if(c = 2)")).first())
     tokens, distinct = tokens + ends, types + (ends > 0)
     pieces = fit_pieces(counts, vocabulary, rounds)
     names, logs, spelled = pieces.pieces, pieces.logs, pieces.spelled
