@@ -29,6 +29,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import scan_secrets
+
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sizes
 
@@ -41,6 +47,12 @@ def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vectors import link_vectors
+
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -49,5 +61,17 @@ def op10_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_binary, op4_byte_bpe, op6_source_mixing, op7_media_columns, op10_lattice_scoring)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op2_token_binary,
+        op4_byte_bpe,
+        op5_secret_scan,
+        op6_source_mixing,
+        op7_media_columns,
+        op8_embedding_lattice,
+        op10_lattice_scoring,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
