@@ -21,6 +21,12 @@ def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_to_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -66,6 +72,7 @@ QUERIES = {
     for f in (
         op1_language_id,
         op2_token_binary,
+        op3_jaccard_join,
         op4_byte_bpe,
         op5_secret_scan,
         op6_source_mixing,
