@@ -59,6 +59,12 @@ def op8_embedding_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lines import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
 def op10_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -78,6 +84,7 @@ QUERIES = {
         op6_source_mixing,
         op7_media_columns,
         op8_embedding_lattice,
+        op9_line_dedup,
         op10_lattice_scoring,
     )
 }
