@@ -149,8 +149,8 @@ def learn_prototypes(labelled: DataFrame, dims: int = DIMS) -> dict[str, np.ndar
     return {lang: part.sort_values("at")["x"].to_numpy(np.float64) for lang, part in rows.groupby("lang")}
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str], dims: int = DIMS) -> DataFrame:
-    """The ``keep`` columns of docs, lang_pred and score (cosine, 0 to 1) of every whole text."""
+def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str], dims: int = DIMS, result: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The ``keep`` columns of docs and, named as ``result`` says, language and cosine (0 to 1) of every whole text."""
     names = sorted(prototypes)
     profile = np.array([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-300) for n in names]).reshape(len(names), dims)
 
@@ -169,10 +169,10 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str]
                 langs.append(lang)
                 scores.append(score)
             out = [batch.column(i) for i in range(len(keep))] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(out, names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(out, names=[*keep, *result])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(task, ", ".join([*fields, "lang_pred string", "score double"]))
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(task, ", ".join([*fields, f"`{result[0]}` string", f"`{result[1]}` double"]))
 
 
 def remainder(doc_id: Column, n: int) -> Column:
@@ -192,8 +192,8 @@ def keep_identified(docs: DataFrame, languages: set[str] | None = None, least: f
     ``und`` documents go. The lang column is left as it is; all columns of docs are returned.
     """
     prototypes = learn_prototypes(docs, dims)
-    judged = identify(docs.withColumnsRenamed({}), prototypes, docs.columns, dims)
-    good = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)
+    judged = identify(docs, prototypes, docs.columns, dims, ("_lang_pred", "_lang_score"))
+    good = (F.col("_lang_pred") != UNDETERMINED) & (F.col("_lang_score") >= least)
     if languages is not None:
-        good &= F.col("lang_pred").isin(sorted(languages))
+        good &= F.col("_lang_pred").isin(sorted(languages))
     return judged.where(good).select(*docs.columns)
