@@ -49,3 +49,22 @@ def partitions(spark: SparkSession) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+class Remembered:
+    """A dictionary of at most ``most`` entries in two generations: what is asked for again stays."""
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = most // 2, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys of which nothing is known; afterwards ``young`` has the others."""
+        new = keys.difference(self.young)
+        again = new.intersection(self.old)
+        if len(self.young) + len(new) > self.half:
+            self.old, kept = self.young, self.old
+            self.young = {k: self.old[k] for k in keys.intersection(self.old)}
+            self.young.update((k, kept[k]) for k in again)
+        else:
+            self.young.update((k, self.old[k]) for k in again)
+        return list(new.difference(again))

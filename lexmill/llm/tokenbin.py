@@ -17,6 +17,7 @@ columns are ignored.
 from __future__ import annotations
 
 import struct
+import unicodedata
 import uuid
 import zlib
 from itertools import chain
@@ -27,13 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import open_store, shared_dir
+from ._shared import Remembered, open_store, shared_dir
 
 BLOCK = 128
 CHUNK_BLOCKS = 4096
 PERCENTILE = 0.9
 SHARD_TOKENS = 64 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 END_ID = 2
 MAGIC = b"LXPFOR01"
 MANIFEST = "part int, sequence int, shard string, tokens long, documents long"
@@ -185,30 +186,63 @@ class ShardReader:
 
 
 class WordEncoder:
-    """Encodes texts with the tokenizers library, each distinct word once.
+    """Encodes texts with the tokenizers library, each distinct word stem once.
 
-    The tokenizer's splits never cross white space, so a text's ids are those of its words in
-    order; words are remembered, up to CACHE_WORDS.
+    The tokenizer folds case and its splits never cross white space, nor run from a letter or digit
+    into ASCII punctuation, so a text's ids are those of its words in order, and a word's those of
+    its stem and of the punctuation after it. New stems are encoded many at a time, between
+    separators that no stem holds. Words and stems are remembered, up to CACHE_WORDS and twice that.
     """
 
+    SEPARATOR = "\x01"
+    TRAILING = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        ids = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
+        self.separator = ids[0] if len(ids) == 1 else None
+        self.words, self.stems = Remembered(CACHE_WORDS), Remembered(2 * CACHE_WORDS)
+
+    @staticmethod
+    def _closed(c: str) -> bool:
+        """Whether a character ends a split before punctuation, whatever normalising makes of it."""
+        return c.isascii() and c.isalnum() or c.isalnum() and len(c.lower()) == 1 and unicodedata.is_normalized("NFC", c)
+
+    def _learn(self, stems: list[str]) -> None:
+        known = self.stems.young
+        joined = [x for x in stems if self.separator is not None and self.SEPARATOR not in x]
+        between = f" {self.SEPARATOR} "
+        for at in range(0, len(joined), 20_000):
+            lots = [joined[i : i + 200] for i in range(at, min(at + 20_000, len(joined)), 200)]
+            for lot, found in zip(lots, self.tokenizer.encode_batch_fast([between.join(x) for x in lots], add_special_tokens=False)):
+                ids = np.array(found.ids, dtype="<u4")
+                cut = np.flatnonzero(ids == self.separator)
+                data = ids.tobytes()
+                first, last = np.concatenate([[0], cut + 1]) * 4, np.concatenate([cut, [len(ids)]]) * 4
+                for stem, i, j in zip(lot, first.tolist(), last.tolist(), strict=True):
+                    known[stem] = data[i:j]
+        for stem in set(stems).difference(known):
+            known[stem] = np.array(self.tokenizer.encode(stem, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _words(self, new: list[bytes]) -> None:
+        parts = []
+        for word in new:
+            text = word.decode()
+            stem = text.rstrip(self.TRAILING)
+            parts.append((stem, text[len(stem) :]) if stem and self._closed(stem[-1]) else (text, ""))
+        self._learn(self.stems.missing({x for part in parts for x in part}))
+        get, known = self.stems.young.__getitem__, self.words.young
+        for word, (stem, rest) in zip(new, parts):
+            known[word] = get(stem) + get(rest) if rest else get(stem)
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").split(" ") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = list(set(chain.from_iterable(split)).difference(self.known))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, dtype=np.uint32).tobytes()
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), dtype=np.uint32) for words in split]
+        split = [(t or "").encode().lower().split() for t in texts]
+        self._words(self.words.missing(set(chain.from_iterable(split))))
+        get = self.words.young.__getitem__
+        return [np.frombuffer(b"".join(map(get, words)), dtype="<u4") for words in split]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -227,8 +261,8 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = END_I
         part, sequence, shard, rows = TaskContext.get().partitionId(), 0, None, []
         end = np.array([end_id], dtype=np.uint32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
                 for doc_id, ids in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist())):
                     shard = shard or ShardWriter(root)
                     shard.put(doc_id, np.concatenate([ids, end]))
