@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_PIECES = 300_000
+from ._shared import Remembered
+
+CACHE_PIECES = 1_200_000
 QUERY_PIECES = 20_000
 QUERY_BYTES = 400_000
 LONG_PIECE = 1024
@@ -104,7 +106,7 @@ class PieceCoder:
         self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.find = regex.compile(rust_pattern(pattern)).findall
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known = Remembered(CACHE_PIECES)  # piece: (ids, decoded)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         rows = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self._load("merges", {"first": [x[0] for x in rows], "second": [x[1] for x in rows], "merged": [x[2] for x in rows]}, "*, CAST(merged AS BIGINT) AS rank")
@@ -127,20 +129,17 @@ class PieceCoder:
         ids = found.column("ids").combine_chunks()
         flat, starts = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
         for k, i, decoded in zip(range(len(ids)), found.column("piece").to_pylist(), found.column("hex").to_pylist()):
-            self.known[pieces[i]] = (flat[starts[k] : starts[k + 1]].tobytes(), bytes.fromhex(decoded))
+            self.known.young[pieces[i]] = (flat[starts[k] : starts[k + 1]].tobytes(), bytes.fromhex(decoded))
 
     def learn(self, pieces: set[str]) -> None:
         """Encodes the pieces that are not known yet."""
-        new = pieces.difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known.clear()
-            new = pieces
+        new = self.known.missing(pieces)
         batch, raw, size = [], [], 0
         for piece in new:
             b = piece.encode()
             if len(b) > LONG_PIECE:
                 ids = merge_long(b, self.ranks)
-                self.known[piece] = (np.array(ids, dtype="<u4").tobytes(), b"".join(self.bytes_of[i] for i in ids))
+                self.known.young[piece] = (np.array(ids, dtype="<u4").tobytes(), b"".join(self.bytes_of[i] for i in ids))
                 continue
             batch.append(piece)
             raw.append(b)
@@ -155,8 +154,8 @@ class PieceCoder:
         """(ids as little-endian 32-bit integers, decoded bytes) of each text."""
         split = [self.find(t) if t else [] for t in texts]
         self.learn(set(chain.from_iterable(split)))
-        get = self.known.__getitem__
-        return [(b"".join(x[0] for x in found), b"".join(x[1] for x in found)) for found in (list(map(get, pieces)) for pieces in split)]
+        get = self.known.young.__getitem__
+        return [(b"".join([x[0] for x in found]), b"".join([x[1] for x in found])) for found in (list(map(get, pieces)) for pieces in split)]
 
 
 _coders: dict[str, PieceCoder] = {}
