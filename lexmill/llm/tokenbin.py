@@ -34,7 +34,7 @@ BLOCK = 128
 CHUNK_BLOCKS = 4096
 PERCENTILE = 0.9
 SHARD_TOKENS = 64 << 20
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_200_000
 END_ID = 2
 MAGIC = b"LXPFOR01"
 MANIFEST = "part int, sequence int, shard string, tokens long, documents long"
@@ -191,11 +191,12 @@ class WordEncoder:
     The tokenizer folds case and its splits never cross white space, nor run from a letter or digit
     into ASCII punctuation, so a text's ids are those of its words in order, and a word's those of
     its stem and of the punctuation after it. New stems are encoded many at a time, between
-    separators that no stem holds. Words and stems are remembered, up to CACHE_WORDS and twice that.
+    separators that no stem holds. Words and stems are remembered, up to CACHE_WORDS each.
     """
 
     SEPARATOR = "\x01"
-    TRAILING = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+    TRAILING = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+    CLOSED = frozenset(c for c in range(128) if chr(c).isalnum())
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -204,39 +205,47 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         ids = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
         self.separator = ids[0] if len(ids) == 1 else None
-        self.words, self.stems = Remembered(CACHE_WORDS), Remembered(2 * CACHE_WORDS)
+        self.words, self.stems = Remembered(CACHE_WORDS), Remembered(CACHE_WORDS)
 
     @staticmethod
-    def _closed(c: str) -> bool:
-        """Whether a character ends a split before punctuation, whatever normalising makes of it."""
-        return c.isascii() and c.isalnum() or c.isalnum() and len(c.lower()) == 1 and unicodedata.is_normalized("NFC", c)
-
-    def _learn(self, stems: list[str]) -> None:
-        known = self.stems.young
-        joined = [x for x in stems if self.separator is not None and self.SEPARATOR not in x]
-        between = f" {self.SEPARATOR} "
+    def _closes(stem: bytes) -> bool:
+        """Whether a stem's last letter ends a split before punctuation, whatever normalising makes of it."""
+        c = stem.decode()[-1]
+        return c.isalnum() and len(c.lower()) == 1 and unicodedata.is_normalized("NFC", c)
+
+    def _learn(self, stems: list[bytes]) -> None:
+        known, mark = self.stems.young, self.SEPARATOR.encode()
+        joined = [x for x in stems if self.separator is not None and mark not in x]
+        between = b" " + mark + b" "
         for at in range(0, len(joined), 20_000):
             lots = [joined[i : i + 200] for i in range(at, min(at + 20_000, len(joined)), 200)]
-            for lot, found in zip(lots, self.tokenizer.encode_batch_fast([between.join(x) for x in lots], add_special_tokens=False)):
+            for lot, found in zip(lots, self.tokenizer.encode_batch_fast([between.join(x).decode() for x in lots], add_special_tokens=False)):
                 ids = np.array(found.ids, dtype="<u4")
                 cut = np.flatnonzero(ids == self.separator)
                 data = ids.tobytes()
                 first, last = np.concatenate([[0], cut + 1]) * 4, np.concatenate([cut, [len(ids)]]) * 4
                 for stem, i, j in zip(lot, first.tolist(), last.tolist(), strict=True):
                     known[stem] = data[i:j]
-        for stem in set(stems).difference(known):
-            known[stem] = np.array(self.tokenizer.encode(stem, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if len(joined) < len(stems):
+            for stem in set(stems).difference(known):
+                known[stem] = np.array(self.tokenizer.encode(stem.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _words(self, new: list[bytes]) -> None:
-        parts = []
+        stems, ends, wanted, closed, trailing = [], [], set(), self.CLOSED, self.TRAILING
         for word in new:
-            text = word.decode()
-            stem = text.rstrip(self.TRAILING)
-            parts.append((stem, text[len(stem) :]) if stem and self._closed(stem[-1]) else (text, ""))
-        self._learn(self.stems.missing({x for part in parts for x in part}))
+            stem = word.rstrip(trailing)
+            if len(stem) < len(word) and stem and (stem[-1] in closed or stem[-1] > 127 and self._closes(stem)):
+                ends.append(word[len(stem) :])
+                wanted.add(ends[-1])
+            else:
+                stem = word
+                ends.append(b"")
+            stems.append(stem)
+        wanted.update(stems)
+        self._learn(self.stems.missing(wanted))
         get, known = self.stems.young.__getitem__, self.words.young
-        for word, (stem, rest) in zip(new, parts):
-            known[word] = get(stem) + get(rest) if rest else get(stem)
+        for word, stem, end in zip(new, stems, ends):
+            known[word] = get(stem) + get(end) if end else get(stem)
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [(t or "").encode().lower().split() for t in texts]
