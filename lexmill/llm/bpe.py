@@ -28,28 +28,29 @@ from pyspark.sql import functions as F
 from ._shared import Remembered
 
 CACHE_PIECES = 1_200_000
-QUERY_PIECES = 20_000
-QUERY_BYTES = 400_000
+QUERY_PIECES = 50_000
+QUERY_BYTES = 800_000
 LONG_PIECE = 1024
 
+#: One window over all pieces gives each token its neighbour; a pair's rank and place in one number
+#: make the leftmost pair of least rank a minimum.
 ENCODE = """
 WITH RECURSIVE state(step, piece, place, token) AS (
     SELECT 0, piece, place, token FROM seed
     UNION ALL
-    SELECT step + 1, s.piece, s.place, CASE WHEN s.place = b.at THEN b.merged ELSE s.token END
+    SELECT step + 1, s.piece, s.place, CASE WHEN s.place = CAST(b.best & 4294967295 AS INTEGER) THEN CAST(b.best >> 32 AS INTEGER) ELSE s.token END
     FROM state s JOIN (
-        SELECT q.piece,
-               arg_min(m.merged, (m.rank << 32) | q.place) AS merged,
-               arg_min(q.place, (m.rank << 32) | q.place) AS at,
-               arg_min(q.next_place, (m.rank << 32) | q.place) AS gone
-        FROM (SELECT piece, place, token, lead(token) OVER a AS next, lead(place) OVER a AS next_place
-              FROM state WINDOW a AS (PARTITION BY piece ORDER BY place)) q
+        SELECT q.piece, min((m.rank << 32) | q.place) AS best, arg_min(q.next_place, (m.rank << 32) | q.place) AS gone
+        FROM (SELECT piece, place, token, lead(token) OVER a AS next, lead(place) OVER a AS next_place, lead(piece) OVER a AS next_piece
+              FROM state WINDOW a AS (ORDER BY piece, place)) q
         JOIN merges m ON m.first = q.token AND m.second = q.next
+        WHERE q.next_piece = q.piece
         GROUP BY q.piece
     ) b ON s.piece = b.piece
     WHERE s.place <> b.gone
 )
-SELECT piece, place, token FROM (SELECT *, max(step) OVER (PARTITION BY piece) AS last FROM state) WHERE step = last
+SELECT s.piece, s.place, s.token
+FROM state s JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) l ON s.piece = l.piece AND s.step = l.step
 """
 #: Ids of a piece in order, and what they decode to.
 COLLECT = """
@@ -168,8 +169,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep: list[
     def task(batches):
         coder = _coders.get(ranks_path) or _coders.setdefault(ranks_path, PieceCoder(ranks_path, pattern))
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 2048):
+                some = batch.slice(at, 2048)
                 coded = coder.code(some.column(some.num_columns - 1).to_pylist())
                 out = [some.column(i) for i in range(len(keep))]
                 out += [pa.array([len(a) // 4 for a, _ in coded], pa.int64()), pa.array([hashlib.sha256(a).hexdigest() for a, _ in coded], pa.string()), pa.array([hashlib.sha256(b).hexdigest() for _, b in coded], pa.string())]
