@@ -34,12 +34,15 @@ def find_citations(text: str | None) -> list[dict]:
     return [{f: c.get(f) for f in FIELDS} for c in out.values()]
 
 
-@F.pandas_udf(f"array<{CITATION}>")
-def citations(text: pd.Series) -> pd.Series:
-    """All families with span suppression: needs match positions, so it runs in Arrow batches."""
+def _find_all(text: pd.Series) -> pd.Series:
     return text.map(find_citations)
 
 
+def citations(text: Column) -> Column:
+    """All families with span suppression: needs match positions, so it runs in Arrow batches."""
+    return F.pandas_udf(_find_all, f"array<{CITATION}>")(text)
+
+
 def family(text: Column, kind: str, with_article: bool = False) -> Column:
     """Distinct ``number:year`` of one family, in the JVM, without span suppression."""
     pattern, groups = next((p, g) for k, p, g in vocab.CITATION_FAMILIES if k == kind and ("articulo" in g) == with_article)
