@@ -43,6 +43,23 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def bloom(ids: DataFrame, bits: int):
+    """Bloom filter (two probes, ``bits`` a power of two) of the one long column of ``ids``.
+
+    Built by Spark; at most bits / 32 words reach the driver, however many ids there are.
+    """
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    key = F.col(ids.columns[0])
+    spot = F.explode(F.array(F.xxhash64(key), F.xxhash64(key, F.lit(1)))).alias("h")
+    spots = ids.select(spot).select(F.col("h").bitwiseAND(F.lit(bits - 1)).alias("s"))
+    words = spots.groupBy(F.shiftright("s", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 31 AS int))")).alias("b")).toPandas()
+    out = np.zeros(bits // 32, dtype=np.uint32)
+    out[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

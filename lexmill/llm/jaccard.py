@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._shared import partitions, staged
+from ._shared import bloom, partitions, staged
 
 SHINGLE = 5
 PERCENT = 80
@@ -108,7 +108,7 @@ def _pack(chunk: list[tuple[int, int, np.ndarray]], buckets: int):
             used, place = np.unique(owner[i:j], return_inverse=True)
             own = np.where(used >= 0, ids[np.maximum(used, 0)], 0)
             one = place.astype(np.uint16 if len(used) < 65_536 else np.uint32)
-            planes = rest[i:j].view(np.uint8).reshape(-1, 4).T.tobytes()  # high bytes together: they compress
+            planes = np.diff(rest[i:j], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()  # gaps, high bytes together: they compress
             yield k, 2 if used[0] < 0 else 0, own.tobytes(), planes, one.tobytes()
 
 
@@ -149,7 +149,7 @@ def _count_bucket(group: pa.Table) -> pa.Table:
             counts.append(np.frombuffer(a, np.int64))
             sizes.append(np.frombuffer(b, np.int64))
             continue
-        part = np.frombuffer(a, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+        part = np.cumsum(np.frombuffer(a, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel(), dtype=np.uint32)
         place = np.frombuffer(b, np.uint16 if len(own) < 65_536 else np.uint32)
         tokens.append(part)
         owner = own[place]
@@ -189,52 +189,97 @@ def _text_sets(batch):
         yield doc_id, len(tokens), tokens
 
 
-def _stored_sets(batch):
-    column = batch.column(2)
-    flat, starts = column.values.to_numpy(zero_copy_only=False).view(np.uint64), column.offsets.to_numpy()
-    for i, (group, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-        yield group, n, flat[starts[i] : starts[i + 1]]
+ALIVE = "doc_id long, sig long, n long, mins array<long>, text string"
+FILTER_IDS, FILTER_BITS = 4_000_000, 1 << 26
 
 
-SETS = "doc_id long, sig long, n long, mins array<long>, tokens array<long>"
+def _describe(words):
+    """mapInArrow function: (doc_id, text) to set signature, size, min-hash keys and text.
 
-
-def _describe(batches):
-    """Set signature, min-hashes and tokens of (doc_id, text)."""
+    ``words`` is a broadcast Bloom filter of the documents to keep, or None.
+    """
     seeds = np.random.default_rng(3).integers(1, 2**63, HASHES, dtype=np.uint64) | np.uint64(1)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            rows = []
-            for doc_id, n, tokens in _text_sets(batch.slice(at, 1024)):
-                if n:
-                    mins = [int(_mix(tokens * s).min().view(np.int64)) for s in seeds]
-                    keys = mins + [xxhash.xxh3_64_intdigest(np.array(mins[k : k + 2]).tobytes()) - 2**63 for k in range(0, HASHES, 2)]
-                    rows.append((doc_id, xxhash.xxh3_64_intdigest(tokens.tobytes()) - 2**63, n, keys, tokens.view(np.int64)))
-            if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[x.split()[0] for x in SETS.split(", ")])
+
+    def task(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                some, rows = batch.slice(at, 1024), []
+                if words is not None:
+                    table, keep = words.value, np.ones(some.num_rows, dtype=bool)
+                    for column in (2, 3):
+                        spot = some.column(column).to_numpy() & (FILTER_BITS - 1)
+                        keep &= (table[spot >> 5] >> (spot & 31).astype(np.uint32)) & np.uint32(1) == 1
+                    some = some.filter(pa.array(keep))
+                texts = some.column(1).to_pylist()
+                for text, (doc_id, n, tokens) in zip(texts, _text_sets(some)):
+                    if n:
+                        mins = [int(_mix(tokens * s).min().view(np.int64)) for s in seeds]
+                        keys = mins + [xxhash.xxh3_64_intdigest(np.array(mins[k : k + 2]).tobytes()) - 2**63 for k in range(0, HASHES, 2)]
+                        rows.append((doc_id, xxhash.xxh3_64_intdigest(tokens.tobytes()) - 2**63, n, keys, text))
+                if rows:
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[x.split()[0] for x in ALIVE.split(", ")])
+
+    return task
 
 
-def _linked(inter: Column, a: Column, b: Column, percent: int) -> Column:
-    return inter * 100 >= (a + b - inter) * percent
+def _alive_documents(known: DataFrame, alive: DataFrame) -> DataFrame:
+    """Described documents of ``alive``, perhaps with a few more, which changes nothing but work.
 
+    Up to FILTER_IDS of them pass by a fixed-size filter without moving texts; beyond, by a join.
+    """
+    hashes = [F.xxhash64("doc_id").alias("h0"), F.xxhash64("doc_id", F.lit(1)).alias("h1")]
+    if alive.count() <= FILTER_IDS:
+        words = known.sparkSession.sparkContext.broadcast(bloom(alive, FILTER_BITS))
+        return known.select("doc_id", "text", *hashes).mapInArrow(_describe(words), ALIVE)
+    return known.join(alive, "doc_id", "left_semi").mapInArrow(_describe(None), ALIVE)
+
+
+def verify_pairs(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) of ids whose sets reach the threshold; ``texts`` has id, text.
+
+    Texts travel, being half as large as their sets; each task makes the sets again.
+    """
 
-def verify_pairs(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of signatures whose sets reach the threshold; ``sets`` has sig, n, tokens."""
-    left = sets.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b")
-    inter = F.size(F.array_intersect("ta", "tb"))
-    return both.where(_linked(inter, F.col("na"), F.col("nb"), percent)).select("a", "b")
+    def task(batches):
+        last: dict[int, np.ndarray] = {}
+        for batch in batches:
+            keep = []
+            for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if b not in last:
+                    last = {b: shingles(y.as_py())}
+                left, right = shingles(x.as_py()), last[b]
+                inter = len(np.intersect1d(left, right, assume_unique=True))
+                keep.append(100 * inter >= percent * (len(left) + len(right) - inter))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return both.mapInArrow(task, "a long, b long")
+
+
+def _groups(classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Verified links of classes (id, n, mins) to the leaders of their min-hash buckets."""
+    keyed = classes.select("id", "n", F.posexplode("mins").alias("i", "m"))
+    leaders = keyed.groupBy("i", "m").agg(F.min(F.struct("id", "n")).alias("lead"), F.count("*").alias("all")).where("all > 1").select("i", "m", F.col("lead.id").alias("b"), F.col("lead.n").alias("nb"))
+    pairs = keyed.join(leaders, ["i", "m"]).where(F.col("id") != F.col("b"))
+    pairs = pairs.where((F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent)).select(F.col("id").alias("a"), "b").distinct()
+    return verify_pairs(pairs, texts, percent)
+
+
+def _explode_tokens(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            some = batch.slice(at, 256)
+            sets = [shingles(t.as_py()).view(np.int64) for t in some.column(some.num_columns - 1)]
+            arrays = [some.column(i) for i in range(some.num_columns - 1)] + [pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "grp", "tokens"])
 
 
-def _groups(classes: DataFrame, percent: int) -> DataFrame:
-    """Verified links of classes to the leaders of their min-hash buckets."""
-    keyed = classes.select("sig", "n", F.posexplode("mins").alias("i", "m"))
-    leaders = keyed.groupBy("i", "m").agg(F.min(F.struct("sig", "n")).alias("lead"), F.count("*").alias("all")).where("all > 1").select("i", "m", F.col("lead.sig").alias("b"), F.col("lead.n").alias("nb"))
-    pairs = keyed.join(leaders, ["i", "m"]).where(F.col("sig") != F.col("b"))
-    pairs = pairs.where((F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent)).select(F.col("sig").alias("a"), "b").distinct()
-    return verify_pairs(pairs, classes, percent)
+def _group_sets(batch):
+    for group, n, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+        yield group, n, shingles(text.as_py())
 
 
 def _need(n: Column, percent: int) -> Column:
@@ -243,25 +288,26 @@ def _need(n: Column, percent: int) -> Column:
 
 
 def open_groups(members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links between members (sig, n, tokens, grp) of different groups, by the token-group matrix."""
-    entries = members.select("sig", "n", "grp", F.explode("tokens").alias("token"))
+    """Links between members (id, n, grp, text) of different groups, by the token-group matrix."""
+    sets = staged(members.select("id", "n", "grp", "text").mapInArrow(_explode_tokens, "id long, n long, grp long, tokens array<long>"), "member-sets")
+    entries = sets.select("id", "n", "grp", F.explode("tokens").alias("token"))
     matrix = entries.select("token", "grp").distinct()
     shared = matrix.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1")
     matrix = staged(matrix.join(shared, "token"), "matrix")
     own = entries.join(matrix.select("token", "groups").distinct(), "token")
-    queries = own.groupBy("sig", "n", "grp").agg(F.sort_array(F.collect_list(F.struct("groups", "token"))).alias("held"))
+    queries = own.groupBy("id", "n", "grp").agg(F.sort_array(F.collect_list(F.struct("groups", "token"))).alias("held"))
     spare = F.size("held") - _need(F.col("n"), percent) + 1  # unshared tokens are the rarest and find nothing
     queries = staged(queries.where(spare > 0).withColumn("spare", spare.cast("int")), "queries")
-    probes = queries.select("sig", "grp", F.explode(F.slice("held", F.lit(1), F.col("spare"))).alias("t")).select("sig", "grp", F.col("t.token").alias("token"))
+    probes = queries.select("id", "grp", F.explode(F.slice("held", F.lit(1), F.col("spare"))).alias("t")).select("id", "grp", F.col("t.token").alias("token"))
     other = matrix.select("token", F.col("grp").alias("other"))
-    candidates = probes.join(other, "token").where("grp <> other").select("sig", "other").distinct()
-    whole = queries.select("sig", "n", F.explode("held.token").alias("token"))
-    overlap = candidates.join(whole, "sig").join(other, ["token", "other"]).groupBy("sig", "n", "other").agg(F.count("*").alias("bound"))
-    opened = overlap.where(F.col("bound") >= _need(F.col("n"), percent)).select(F.col("sig").alias("q"), F.col("n").alias("nq"), "other")
-    inside = members.select(F.col("sig").alias("s"), F.col("n").alias("ns"), F.col("grp").alias("other"))
+    candidates = probes.join(other, "token").where("grp <> other").select("id", "other").distinct()
+    whole = queries.select("id", "n", F.explode("held.token").alias("token"))
+    overlap = candidates.join(whole, "id").join(other, ["token", "other"]).groupBy("id", "n", "other").agg(F.count("*").alias("bound"))
+    opened = overlap.where(F.col("bound") >= _need(F.col("n"), percent)).select(F.col("id").alias("q"), F.col("n").alias("nq"), "other")
+    inside = sets.select(F.col("id").alias("s"), F.col("n").alias("ns"), F.col("grp").alias("other"))
     pairs = opened.join(inside, "other").where(F.least("nq", "ns") * 100 >= F.greatest("nq", "ns") * percent)
     pairs = pairs.select(F.greatest("q", "s").alias("a"), F.least("q", "s").alias("b")).distinct()
-    return verify_pairs(pairs, members, percent)
+    return verify_pairs(pairs, members.select("id", "text"), percent)
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -270,21 +316,23 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     known = base.where("doc_id IS NOT NULL")
     sizes = staged(foreign_counts(known, _text_sets), "sizes")
     alive = sizes.where((F.col("n") > 0) & (F.col("held") >= _need(F.col("n"), percent))).select(F.col("id").alias("doc_id"))
-    sets = staged(known.join(alive, "doc_id", "left_semi").mapInArrow(_describe, SETS), "sets")
-    classes = sets.groupBy("sig").agg(F.first("n").alias("n"), F.first("mins").alias("mins"), F.first("tokens").alias("tokens"))
-    classes = staged(classes, "classes")
-    links = staged(_groups(classes, percent), "links")
-    groups = components(links).withColumnRenamed("id", "sig")
-    grouped = staged(classes.join(groups, "sig", "left").select("sig", "n", "tokens", F.coalesce("component", "sig").alias("grp")), "groups")
+    described = staged(_alive_documents(known, alive), "alive")
+    classes = staged(described.groupBy("sig").agg(F.min(F.struct("doc_id", "n", "mins")).alias("x")).select("sig", F.col("x.doc_id").alias("id"), "x.n", "x.mins"), "classes")
+    # a class is known by its smallest doc_id; texts of one row of it, and of no other, are read
+    texts = described.join(classes.select("sig", F.col("id").alias("doc_id")), ["sig", "doc_id"], "left_semi").dropDuplicates(["sig", "doc_id"]).select(F.col("doc_id").alias("id"), "text")
+    texts = staged(texts, "texts")
+    links = staged(_groups(classes, texts, percent), "links")
+    groups = components(links)
+    grouped = staged(classes.select("id", "n", "sig").join(groups, "id", "left").select("id", "n", F.coalesce("component", "id").alias("grp")), "groups")
     # a group's least member decides how much of the union must lie elsewhere
     least = grouped.groupBy("grp").agg(F.min("n").alias("least"))
-    held = foreign_counts(grouped.select("grp", "n", "tokens"), _stored_sets).select(F.col("id").alias("grp"), "held")
+    held = foreign_counts(grouped.join(texts, "id").select("grp", "n", "text"), _group_sets).select(F.col("id").alias("grp"), "held")
     open_ = least.join(held, "grp").where(F.col("held") >= _need(F.col("least"), percent)).select("grp")
-    members = staged(grouped.join(open_, "grp", "left_semi"), "members")
+    members = staged(grouped.join(open_, "grp", "left_semi").join(texts, "id"), "members")
     links = links.unionByName(open_groups(members, percent))
-    roots = components(links).withColumnRenamed("id", "sig")
-    member = sets.select("doc_id", "sig").distinct().join(roots, "sig", "left").select("doc_id", F.coalesce("component", "sig").alias("node"))
-    member = staged(member, "members")
+    roots = components(links)
+    named = classes.select("sig", "id").join(roots, "id", "left").select("sig", F.coalesce("component", "id").alias("node"))
+    member = staged(described.select("doc_id", "sig").distinct().join(named, "sig").select("doc_id", "node"), "members")
     first = member.groupBy("node").agg(F.min("doc_id").alias("component_id"))
     named = member.join(first, "node").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     out = sizes.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles")).join(named, "doc_id", "left")
