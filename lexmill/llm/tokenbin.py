@@ -34,7 +34,7 @@ BLOCK = 128
 CHUNK_BLOCKS = 4096
 PERCENTILE = 0.9
 SHARD_TOKENS = 64 << 20
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 800_000
 END_ID = 2
 MAGIC = b"LXPFOR01"
 MANIFEST = "part int, sequence int, shard string, tokens long, documents long"
@@ -185,13 +185,26 @@ class ShardReader:
                 held, at = [held[0][last - at :]], last
 
 
+class _Numbers(dict):
+    """Numbers words as they come; ``new`` lists those not seen before."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
 class WordEncoder:
     """Encodes texts with the tokenizers library, each distinct word stem once.
 
     The tokenizer folds case and its splits never cross white space, nor run from a letter or digit
     into ASCII punctuation, so a text's ids are those of its words in order, and a word's those of
     its stem and of the punctuation after it. New stems are encoded many at a time, between
-    separators that no stem holds. Words and stems are remembered, up to CACHE_WORDS each.
+    separators that no stem holds. Words are numbered and their ids lie in one array; words and stems
+    are remembered, up to about CACHE_WORDS each.
     """
 
     SEPARATOR = "\x01"
@@ -205,7 +218,12 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         ids = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
         self.separator = ids[0] if len(ids) == 1 else None
-        self.words, self.stems = Remembered(CACHE_WORDS), Remembered(CACHE_WORDS)
+        self.stems = Remembered(CACHE_WORDS)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.flat = _Numbers(), np.empty(0, np.uint32)
+        self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
 
     @staticmethod
     def _closes(stem: bytes) -> bool:
@@ -242,16 +260,29 @@ class WordEncoder:
                 ends.append(b"")
             stems.append(stem)
         wanted.update(stems)
+        wanted.discard(b"")
         self._learn(self.stems.missing(wanted))
-        get, known = self.stems.young.__getitem__, self.words.young
-        for word, stem, end in zip(new, stems, ends):
-            known[word] = get(stem) + get(end) if end else get(stem)
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").encode().lower().split() for t in texts]
-        self._words(self.words.missing(set(chain.from_iterable(split))))
-        get = self.words.young.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), dtype="<u4") for words in split]
+        self.stems.young[b""] = b""
+        get = self.stems.young.__getitem__
+        parts = [*map(get, chain.from_iterable(zip(stems, ends)))]
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)).reshape(-1, 2).sum(axis=1) // 4
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(parts), dtype="<u4")])
+
+    def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        if len(self.words) > CACHE_WORDS:
+            self._forget()
+        number, self.words.new = self.words.__getitem__, []
+        docs = [(t or b"").lower().split() for t in texts]
+        counts = np.array([len(d) for d in docs], dtype=np.int64)
+        index = np.fromiter(map(number, chain.from_iterable(docs)), np.int64, int(counts.sum()))
+        if self.words.new:
+            self._words(self.words.new)
+        lengths = self.lengths[index]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self.flat[np.repeat(self.starts[index] - ends[:-1], lengths) + np.arange(ends[-1])]
+        return np.split(ids, ends[np.cumsum(counts)][:-1]) if docs else []
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -260,7 +291,7 @@ _encoders: dict[str, WordEncoder] = {}
 def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Writes shards below ``root``; returns the committed manifest, one row per shard."""
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
-    ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", F.col("text").cast("binary").alias("text"))
 
     def task(batches):
         import os
