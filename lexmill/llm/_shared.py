@@ -68,6 +68,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Operator to the function that empties what it remembers in a Python worker.
+MEMORIES: dict[str, object] = {}
+
+
+def only(name: str) -> None:
+    """Called by an operator's tasks: a worker that served other operators forgets what they held."""
+    for other, forget in MEMORIES.items():
+        if other != name:
+            forget()
+
+
 class Remembered:
     """A dictionary of at most ``most`` entries in two generations: what is asked for again stays."""
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Remembered
+from ._shared import MEMORIES, Remembered, only
 
 CACHE_PIECES = 1_200_000
 QUERY_PIECES = 50_000
@@ -160,6 +160,7 @@ class PieceCoder:
 
 
 _coders: dict[str, PieceCoder] = {}
+MEMORIES["bpe"] = _coders.clear
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] = ("doc_id",), ids: bool = False) -> DataFrame:
@@ -167,6 +168,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep: list[
     keep = list(keep)
 
     def task(batches):
+        only("bpe")
         coder = _coders.get(ranks_path) or _coders.setdefault(ranks_path, PieceCoder(ranks_path, pattern))
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):

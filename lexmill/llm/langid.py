@@ -2,12 +2,13 @@
 
 Every letter has a random ±1 vector (drawn from its code point). An n-gram's vector binds the
 vectors of its letters, each permuted by its place, by elementwise product. A text's vector bundles
-(sums) the vectors of its n-grams; a language's prototype bundles those of its training texts. A
-text gets the language whose prototype has the largest cosine with it.
+(sums) the vectors of its n-grams; a language's prototype bundles those of its training texts, each
+scaled to about the same length, so that no long text decides alone. A text gets the language whose
+prototype has the largest cosine with it.
 
 Bundling is linear, so a task first counts n-grams (sparse) and binds each distinct one once.
-Training adds up prototypes of ``dims`` numbers per language and task; nothing grows with the
-corpus but those exact sums.
+Training adds up prototypes of ``dims`` whole numbers per language and task; nothing grows with the
+corpus but those sums.
 
 Defined results: text that is null or has no letter gives ``und`` with score 0; so does any text if
 nothing could be learned; equal cosines go to the smaller language code; null languages are not
@@ -21,10 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import MEMORIES, only
+
 DIMS = 1024
 GRAM = 3
 SEED = 7
 SPAN = 1 << 20
+UNIT = 1 << 20
 CACHE_GRAMS = 40_000
 MAX_LANGUAGES = 10_000
 UNDETERMINED = "und"
@@ -109,6 +113,7 @@ class GramVectors:
 
 
 _vectors: dict[int, GramVectors] = {}
+MEMORIES["langid"] = _vectors.clear
 
 
 def _gram_vectors(dims: int) -> GramVectors:
@@ -119,13 +124,14 @@ def learn_prototypes(labelled: DataFrame, dims: int = DIMS) -> dict[str, np.ndar
     """Language prototypes from the text and lang of ``labelled``; at most MAX_LANGUAGES languages."""
 
     def task(batches):
+        only("langid")
         held: dict[str, tuple[list, list]] = {}
         sums: dict[str, np.ndarray] = {}
 
         def flush(lang):
             codes, counts = map(np.concatenate, held.pop(lang))
             codes, where = np.unique(codes, return_inverse=True)
-            vector = _gram_vectors(dims).bundle(codes, np.bincount(where, counts).astype(np.int64))
+            vector = _gram_vectors(dims).bundle(codes, np.bincount(where, counts))
             sums[lang] = sums.get(lang, 0) + vector
 
         for batch in batches:
@@ -134,13 +140,13 @@ def learn_prototypes(labelled: DataFrame, dims: int = DIMS) -> dict[str, np.ndar
                 if len(codes):
                     a, b = held.setdefault(lang, ([], []))
                     a.append(codes)
-                    b.append(counts)
+                    b.append(counts / np.sqrt((counts.astype(float) ** 2).sum()))
                     if len(a) >= 512:
                         flush(lang)
         for lang in list(held):
             flush(lang)
         for lang, vector in sums.items():
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * dims, "at": pa.array(range(dims), pa.int32()), "x": np.rint(vector).astype(np.int64)})
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * dims, "at": pa.array(range(dims), pa.int32()), "x": np.rint(vector * UNIT).astype(np.int64)})
 
     parts = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang").mapInArrow(task, "lang string, at int, x long")
     rows = parts.groupBy("lang", "at").agg(F.sum("x").alias("x")).limit(MAX_LANGUAGES * dims + 1).toPandas()
@@ -155,6 +161,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str]
     profile = np.array([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-300) for n in names]).reshape(len(names), dims)
 
     def task(batches):
+        only("langid")
         vectors = _gram_vectors(dims)
         for batch in batches:
             langs, scores = [], []
