@@ -1,18 +1,20 @@
 """N-gram Jaccard join over a token-group matrix.
 
 Tokens are the hashes of a document's 5-word shingles. Similar documents form groups; a group's
-token union bounds what any of its members can share with a query, and only groups whose bound
-reaches the threshold are opened and compared with the query, set by set:
+token union bounds what any of its members can share with a query, and only groups that can
+qualify are opened and compared with the query, set by set:
 
 1. A document with q tokens needs ceil(0.8 q) of them in one other document. ``foreign_counts``
    counts how many lie in the union of everything else; documents below the bound are done. Tokens
    travel packed and sorted, a token that recurs within a task once only.
-2. Equal sets are one class. Classes meet the leader of their min-hash buckets and verified links
-   make the groups: one comparison a bucket and class, however large a bucket is.
-3. The bound of step 1 again, for groups: those whose union shares too little with all other groups
-   are done. For the rest the matrix (token, group) is built; a query probes it with its rarest
-   tokens, enough of them that a qualifying group cannot be missed, counts the overlap with each
-   group's union, and opens the groups that reach its bound.
+2. Equal sets are one class. Classes with the same least token hash are similar and form a group (for
+   classes that mostly consist of tokens that many classes hold, the least of those); groups of over
+   GROUP_ROWS classes are dealt to several.
+3. The matrix has a row (token, group) for each token that one of the group's members could need:
+   the first q - ceil(0.8 q) + 1 of its tokens, tokens that many classes hold standing last. If two
+   sets link, their groups share such a token. Pairs of groups that share one are opened: a task
+   counts each query's overlap with the other group's union, drops queries below their bound, and
+   compares the rest by overlap matrices. It returns spanning links, never pairs.
 
 All links that count are verified on whole sets; the result is exact but for 64-bit hash collisions.
 
@@ -26,16 +28,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._shared import bloom, partitions, staged
+from ._shared import MEMORIES, bloom, only, partitions, staged
 
 SHINGLE = 5
 PERCENT = 80
-HASHES = 4
+GROUP_ROWS = 256
+COMMON = 64
+COLUMNS = 4096
+LARGE_LABELS = 100_000
+DEALS = 4
 CHUNK_TOKENS, CHUNK_DOCS = 3_000_000, 65_000
 KNOWN_WORDS = 500_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -49,6 +56,7 @@ class _WordHashes(dict):
 
 
 _words = _WordHashes()
+MEMORIES["jaccard"] = _words.clear
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -119,6 +127,7 @@ def _packer(sets, buckets: int):
     """mapInArrow function: ``sets`` turns a batch to (id, n, tokens)."""
 
     def task(batches):
+        only("jaccard")
         chunk, size = [], 0
 
         def out():
@@ -170,17 +179,32 @@ def _count_bucket(group: pa.Table) -> pa.Table:
         ids.append(found)
         counts.append(n)
         sizes.append(np.zeros(len(found), dtype=np.int64))
-    return pa.table({"id": np.concatenate(ids), "held": np.concatenate(counts).astype(np.int64), "n": np.concatenate(sizes)})
+    ids, counts, sizes = np.concatenate(ids), np.concatenate(counts).astype(np.int64), np.concatenate(sizes)
+    slots = group.column("slots")[0].as_py()
+    slot = (_mix(ids.view(np.uint64)) % np.uint64(slots)).astype(np.int32)
+    order = np.argsort(slot, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(slot[order])) + 1) if len(order) else []
+    return pa.table({"slot": pa.array([slot[p[0]] for p in parts], pa.int32())} | {k: pa.array([x[p].tobytes() for p in parts], pa.binary()) for k, x in (("ids", ids), ("held", counts), ("n", sizes))})
+
+
+def _sum_slot(group: pa.Table) -> pa.Table:
+    ids, held, n = (np.concatenate([np.frombuffer(x, np.int64) for x in group.column(c).to_pylist()]) for c in ("ids", "held", "n"))
+    found, where = np.unique(ids, return_inverse=True)
+    size = np.zeros(len(found), dtype=np.int64)
+    np.maximum.at(size, where, n)
+    return pa.table({"id": found, "held": np.bincount(where, held, minlength=len(found)).astype(np.int64), "n": size})
 
 
 def foreign_counts(df: DataFrame, sets) -> DataFrame:
     """(id, held, n): at most how many of an id's tokens other ids hold, and its size.
 
-    An id whose rows lie in several tasks may be counted high, never low.
+    Counts travel packed too: a row for each bucket of tokens and slot of ids. An id whose rows lie
+    in several tasks may be counted high, never low.
     """
-    packed = df.mapInArrow(_packer(sets, partitions(df.sparkSession)), PACKED)
-    counted = packed.groupBy("bucket").applyInArrow(_count_bucket, "id long, held long, n long")
-    return counted.groupBy("id").agg(F.sum("held").alias("held"), F.max("n").alias("n"))
+    parts = partitions(df.sparkSession)
+    packed = df.mapInArrow(_packer(sets, parts), PACKED).withColumn("slots", F.lit(parts))
+    counted = packed.groupBy("bucket").applyInArrow(_count_bucket, "slot int, ids binary, held binary, n binary")
+    return counted.groupBy("slot").applyInArrow(_sum_slot, "id long, held long, n long")
 
 
 def _text_sets(batch):
@@ -189,35 +213,38 @@ def _text_sets(batch):
         yield doc_id, len(tokens), tokens
 
 
-ALIVE = "doc_id long, sig long, n long, mins array<long>, text string"
+ALIVE = "doc_id long, sig long, n long, text string"
 FILTER_IDS, FILTER_BITS = 4_000_000, 1 << 26
 
 
+def _passes(table: np.ndarray, *hashes: np.ndarray) -> np.ndarray:
+    """Which rows a Bloom filter holds."""
+    keep = np.ones(len(hashes[0]), dtype=bool)
+    for h in hashes:
+        spot = h & (len(table) * 32 - 1)
+        keep &= (table[spot >> 5] >> (spot & 31).astype(np.uint32)) & np.uint32(1) == 1
+    return keep
+
+
 def _describe(words):
-    """mapInArrow function: (doc_id, text) to set signature, size, min-hash keys and text.
+    """mapInArrow function: (doc_id, text) to set signature, size and text.
 
     ``words`` is a broadcast Bloom filter of the documents to keep, or None.
     """
-    seeds = np.random.default_rng(3).integers(1, 2**63, HASHES, dtype=np.uint64) | np.uint64(1)
 
     def task(batches):
+        only("jaccard")
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 some, rows = batch.slice(at, 1024), []
                 if words is not None:
-                    table, keep = words.value, np.ones(some.num_rows, dtype=bool)
-                    for column in (2, 3):
-                        spot = some.column(column).to_numpy() & (FILTER_BITS - 1)
-                        keep &= (table[spot >> 5] >> (spot & 31).astype(np.uint32)) & np.uint32(1) == 1
-                    some = some.filter(pa.array(keep))
+                    some = some.filter(pa.array(_passes(words.value, some.column(2).to_numpy(), some.column(3).to_numpy())))
                 texts = some.column(1).to_pylist()
                 for text, (doc_id, n, tokens) in zip(texts, _text_sets(some)):
                     if n:
-                        mins = [int(_mix(tokens * s).min().view(np.int64)) for s in seeds]
-                        keys = mins + [xxhash.xxh3_64_intdigest(np.array(mins[k : k + 2]).tobytes()) - 2**63 for k in range(0, HASHES, 2)]
-                        rows.append((doc_id, xxhash.xxh3_64_intdigest(tokens.tobytes()) - 2**63, n, keys, text))
+                        rows.append((doc_id, xxhash.xxh3_64_intdigest(tokens.tobytes()) - 2**63, n, text))
                 if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string())
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[x.split()[0] for x in ALIVE.split(", ")])
 
     return task
@@ -235,51 +262,145 @@ def _alive_documents(known: DataFrame, alive: DataFrame) -> DataFrame:
     return known.join(alive, "doc_id", "left_semi").mapInArrow(_describe(None), ALIVE)
 
 
-def verify_pairs(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of ids whose sets reach the threshold; ``texts`` has id, text.
+def _tokens(batches):
+    """Tokens of (text)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            sets = [shingles(t.as_py()).view(np.int64) for t in batch.column(0).slice(at, 256)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets) if sets else [], pa.int64())], names=["token"])
 
-    Texts travel, being half as large as their sets; each task makes the sets again.
-    """
+
+def _common(words, tokens: np.ndarray) -> np.ndarray:
+    mixed = _mix(tokens)
+    return _passes(words.value, mixed.view(np.int64), _mix(mixed).view(np.int64))
+
+
+def _labelling(words):
+    """mapInArrow function: adds the group label of (id, text)."""
 
     def task(batches):
-        last: dict[int, np.ndarray] = {}
         for batch in batches:
-            keep = []
-            for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                if b not in last:
-                    last = {b: shingles(y.as_py())}
-                left, right = shingles(x.as_py()), last[b]
-                inter = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(100 * inter >= percent * (len(left) + len(right) - inter))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(task, "a long, b long")
-
-
-def _groups(classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Verified links of classes (id, n, mins) to the leaders of their min-hash buckets."""
-    keyed = classes.select("id", "n", F.posexplode("mins").alias("i", "m"))
-    leaders = keyed.groupBy("i", "m").agg(F.min(F.struct("id", "n")).alias("lead"), F.count("*").alias("all")).where("all > 1").select("i", "m", F.col("lead.id").alias("b"), F.col("lead.n").alias("nb"))
-    pairs = keyed.join(leaders, ["i", "m"]).where(F.col("id") != F.col("b"))
-    pairs = pairs.where((F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent)).select(F.col("id").alias("a"), "b").distinct()
-    return verify_pairs(pairs, texts, percent)
-
-
-def _explode_tokens(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            some = batch.slice(at, 256)
-            sets = [shingles(t.as_py()).view(np.int64) for t in some.column(some.num_columns - 1)]
-            arrays = [some.column(i) for i in range(some.num_columns - 1)] + [pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "grp", "tokens"])
+            labels = []
+            for text in batch.column(1):
+                tokens = shingles(text.as_py())
+                common = _common(words, tokens)
+                labels.append(int(_mix(tokens[common] if 2 * common.sum() >= len(tokens) else tokens).min().view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(labels, pa.int64()), batch.column(1)], names=["id", "label", "text"])
+
+    return task
+
 
+def _signing(percent: int, words):
+    """mapInArrow function: (grp, text) to the tokens a link of the text cannot miss, common ones last."""
 
-def _group_sets(batch):
-    for group, n, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-        yield group, n, shingles(text.as_py())
+    def task(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                groups, out = [], []
+                for grp, text in zip(batch.column(0).slice(at, 256).to_pylist(), batch.column(1).slice(at, 256)):
+                    tokens = shingles(text.as_py())
+                    keep = len(tokens) - -(-len(tokens) * percent // 100) + 1
+                    out.append(tokens[np.lexsort((tokens, _common(words, tokens)))[:keep]].view(np.int64))
+                    groups.append(np.full(len(out[-1]), grp))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(groups), pa.int64()), pa.array(np.concatenate(out), pa.int64())], names=["grp", "token"])
+
+    return task
+
+
+def common_tokens(texts: DataFrame, least: int = COMMON):
+    """Bloom filter of the tokens that at least ``least`` classes hold.
+
+    It only fixes an order, the same for all sets; whatever it holds, no link is lost.
+    """
+    counts = texts.select("text").mapInArrow(_tokens, "token long").groupBy("token").agg(F.count("*").alias("c"))
+
+    def hashed(batches):
+        for batch in batches:
+            mixed = _mix(batch.column(0).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([mixed.view(np.int64), _mix(mixed).view(np.int64)]))], names=["h"])
+
+    spots = counts.where(F.col("c") >= least).select("token").mapInArrow(hashed, "h long")
+    spots = spots.select(F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("s"))
+    words = spots.groupBy(F.shiftright("s", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 31 AS int))")).alias("b")).toPandas()
+    out = np.zeros(FILTER_BITS // 32, dtype=np.uint32)
+    out[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products over COLUMNS shared tokens at a time."""
+    a, b = np.concatenate(left), np.concatenate(right)
+    rows, columns = (np.repeat(np.arange(len(x)), [len(t) for t in x]) for x in (left, right))
+    shared = np.intersect1d(np.unique(a), np.unique(b), assume_unique=True)
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for tokens, owner in ((a, rows), (b, columns)):
+        order = np.argsort(tokens, kind="stable")
+        tokens[:], owner[:] = tokens[order], owner[order]
+    for at in range(0, len(shared), COLUMNS):
+        some = shared[at : at + COLUMNS]
+        parts = []
+        for tokens, owner, n in ((a, rows, len(left)), (b, columns, len(right))):
+            i, j = np.searchsorted(tokens, some[0]), np.searchsorted(tokens, some[-1], side="right")
+            place = np.minimum(np.searchsorted(some, tokens[i:j]), len(some) - 1)
+            hit = some[place] == tokens[i:j]
+            grid = np.zeros((n, len(some)), dtype=np.float32)
+            grid[owner[i:j][hit], place[hit]] = 1
+            parts.append(grid)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _open_pair(sides: list[tuple[np.ndarray, list[np.ndarray]]], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, roots) of what is linked between two groups of (ids, sets), or inside one.
+
+    The union of the other group bounds what a query can share; queries below it are dropped.
+    """
+    ids = np.concatenate([x for x, _ in sides])
+    sets = [t for _, own in sides for t in own]
+    sizes = np.array([len(t) for t in sets])
+    rows = [np.arange(len(sides[0][0])), np.arange(len(ids) - len(sides[-1][0]), len(ids))]
+    if len(sides) > 1:
+        whole = [np.concatenate([sets[i] for i in side]) for side in rows]
+        unions = [np.unique(tokens) for tokens in whole]
+        for k, union in enumerate(reversed(unions)):
+            place = np.minimum(np.searchsorted(union, whole[k]), len(union) - 1)
+            owner = np.repeat(np.arange(len(rows[k])), sizes[rows[k]])
+            held = np.bincount(owner, union[place] == whole[k], minlength=len(rows[k]))
+            rows[k] = rows[k][held * 100 >= sizes[rows[k]] * percent]
+    left, right = rows
+    if not len(left) or not len(right):
+        return ids[:0], ids[:0]
+    inter = _overlaps([sets[i] for i in left], [sets[i] for i in right])
+    i, j = np.nonzero(inter * 100 >= (sizes[left][:, None] + sizes[right][None, :] - inter) * percent)
+    i, j = left[i], right[j]
+    root = ids.copy()
+    while len(i):
+        low = np.minimum(root[i], root[j])
+        if (root[i] == low).all() and (root[j] == low).all():
+            break
+        np.minimum.at(root, i, low)
+        np.minimum.at(root, j, low)
+    hit = root != ids
+    return ids[hit], root[hit]
+
+
+def _opening(percent: int):
+    """applyInArrow function of one deal: the texts of its groups and its pairs of groups to (a, b) links."""
+
+    def task(deal: pa.Table) -> pa.Table:
+        pairs = deal.filter(pa.compute.is_valid(deal.column("g1"))).select(["g1", "g2"])
+        texts = deal.filter(pa.compute.is_valid(deal.column("id")))
+        groups: dict[int, tuple[list, list]] = {}
+        for grp, ident, text in zip(texts.column("grp").to_pylist(), texts.column("id").to_pylist(), texts.column("text")):
+            ids, sets = groups.setdefault(grp, ([], []))
+            ids.append(ident)
+            sets.append(shingles(text.as_py()))
+        groups = {g: (np.array(ids, dtype=np.int64), sets) for g, (ids, sets) in groups.items()}
+        found = [_open_pair([groups[g] for g in dict.fromkeys((g1, g2))], percent) for g1, g2 in zip(*(c.to_pylist() for c in pairs.columns))]
+        a, b = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
+        return pa.table({"a": a, "b": b})
+
+    return task
 
 
 def _need(n: Column, percent: int) -> Column:
@@ -287,27 +408,33 @@ def _need(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
 
-def open_groups(members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links between members (id, n, grp, text) of different groups, by the token-group matrix."""
-    sets = staged(members.select("id", "n", "grp", "text").mapInArrow(_explode_tokens, "id long, n long, grp long, tokens array<long>"), "member-sets")
-    entries = sets.select("id", "n", "grp", F.explode("tokens").alias("token"))
-    matrix = entries.select("token", "grp").distinct()
+def grouped_texts(texts: DataFrame, words) -> DataFrame:
+    """(id, grp, text): texts by label, labels of over GROUP_ROWS texts dealt to several groups."""
+    labelled = staged(texts.mapInArrow(_labelling(words), "id long, label long, text string"), "labelled")
+    large = labelled.groupBy("label").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("_parts")).where("_parts > 1")
+    if large.count() <= LARGE_LABELS:
+        large = F.broadcast(large)
+    part = F.pmod(F.xxhash64("id"), F.coalesce("_parts", F.lit(1)))
+    return labelled.join(large, "label", "left").select("id", F.xxhash64("label", part).alias("grp"), "text")
+
+
+def link_groups(members: DataFrame, words, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that span the components of members (id, grp, text)."""
+    matrix = members.select("grp", "text").mapInArrow(_signing(percent, words), "grp long, token long").distinct()
+    matrix = staged(matrix, "matrix")
     shared = matrix.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1")
-    matrix = staged(matrix.join(shared, "token"), "matrix")
-    own = entries.join(matrix.select("token", "groups").distinct(), "token")
-    queries = own.groupBy("id", "n", "grp").agg(F.sort_array(F.collect_list(F.struct("groups", "token"))).alias("held"))
-    spare = F.size("held") - _need(F.col("n"), percent) + 1  # unshared tokens are the rarest and find nothing
-    queries = staged(queries.where(spare > 0).withColumn("spare", spare.cast("int")), "queries")
-    probes = queries.select("id", "grp", F.explode(F.slice("held", F.lit(1), F.col("spare"))).alias("t")).select("id", "grp", F.col("t.token").alias("token"))
-    other = matrix.select("token", F.col("grp").alias("other"))
-    candidates = probes.join(other, "token").where("grp <> other").select("id", "other").distinct()
-    whole = queries.select("id", "n", F.explode("held.token").alias("token"))
-    overlap = candidates.join(whole, "id").join(other, ["token", "other"]).groupBy("id", "n", "other").agg(F.count("*").alias("bound"))
-    opened = overlap.where(F.col("bound") >= _need(F.col("n"), percent)).select(F.col("id").alias("q"), F.col("n").alias("nq"), "other")
-    inside = sets.select(F.col("id").alias("s"), F.col("n").alias("ns"), F.col("grp").alias("other"))
-    pairs = opened.join(inside, "other").where(F.least("nq", "ns") * 100 >= F.greatest("nq", "ns") * percent)
-    pairs = pairs.select(F.greatest("q", "s").alias("a"), F.least("q", "s").alias("b")).distinct()
-    return verify_pairs(pairs, members.select("id", "text"), percent)
+    matrix = staged(matrix.join(shared.select("token"), "token"), "matrix")
+    pairs = matrix.select("token", F.col("grp").alias("g1")).join(matrix.select("token", F.col("grp").alias("g2")), "token").where("g1 < g2").select("g1", "g2").distinct()
+    sizes = members.groupBy("grp").agg(F.count("*").alias("n"))
+    inside = sizes.where("n > 1").select(F.col("grp").alias("g1"), F.col("grp").alias("g2"))
+    # a pair goes where its smaller group is dealt; a deal gets each of its groups' texts once
+    sized = pairs.unionByName(inside).join(sizes.select(F.col("grp").alias("g1"), F.col("n").alias("n1")), "g1").join(sizes.select(F.col("grp").alias("g2"), F.col("n").alias("n2")), "g2")
+    smaller = F.when(F.col("n1") <= F.col("n2"), F.col("g1")).otherwise(F.col("g2"))
+    pairs = sized.select(F.pmod(F.xxhash64(smaller), F.lit(DEALS * partitions(members.sparkSession))).alias("deal"), "g1", "g2")
+    pairs = staged(pairs, "group-pairs")
+    needed = pairs.select("deal", F.explode(F.array("g1", "g2")).alias("grp")).distinct()
+    rows = needed.join(members, "grp").select("deal", "grp", "id", "text").unionByName(pairs, allowMissingColumns=True)
+    return rows.groupBy("deal").applyInArrow(_opening(percent), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -317,20 +444,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sizes = staged(foreign_counts(known, _text_sets), "sizes")
     alive = sizes.where((F.col("n") > 0) & (F.col("held") >= _need(F.col("n"), percent))).select(F.col("id").alias("doc_id"))
     described = staged(_alive_documents(known, alive), "alive")
-    classes = staged(described.groupBy("sig").agg(F.min(F.struct("doc_id", "n", "mins")).alias("x")).select("sig", F.col("x.doc_id").alias("id"), "x.n", "x.mins"), "classes")
+    classes = staged(described.groupBy("sig").agg(F.min("doc_id").alias("id")), "classes")
     # a class is known by its smallest doc_id; texts of one row of it, and of no other, are read
-    texts = described.join(classes.select("sig", F.col("id").alias("doc_id")), ["sig", "doc_id"], "left_semi").dropDuplicates(["sig", "doc_id"]).select(F.col("doc_id").alias("id"), "text")
-    texts = staged(texts, "texts")
-    links = staged(_groups(classes, texts, percent), "links")
-    groups = components(links)
-    grouped = staged(classes.select("id", "n", "sig").join(groups, "id", "left").select("id", "n", F.coalesce("component", "id").alias("grp")), "groups")
-    # a group's least member decides how much of the union must lie elsewhere
-    least = grouped.groupBy("grp").agg(F.min("n").alias("least"))
-    held = foreign_counts(grouped.join(texts, "id").select("grp", "n", "text"), _group_sets).select(F.col("id").alias("grp"), "held")
-    open_ = least.join(held, "grp").where(F.col("held") >= _need(F.col("least"), percent)).select("grp")
-    members = staged(grouped.join(open_, "grp", "left_semi").join(texts, "id"), "members")
-    links = links.unionByName(open_groups(members, percent))
-    roots = components(links)
+    texts = described.select("sig", "doc_id", "text").join(classes.withColumnRenamed("id", "doc_id"), ["sig", "doc_id"], "left_semi").dropDuplicates(["sig", "doc_id"])
+    texts = staged(texts.select(F.col("doc_id").alias("id"), "text"), "texts")
+    words = docs.sparkSession.sparkContext.broadcast(common_tokens(texts))
+    roots = components(staged(link_groups(grouped_texts(texts, words), words, percent), "links"))
     named = classes.select("sig", "id").join(roots, "id", "left").select("sig", F.coalesce("component", "id").alias("node"))
     member = staged(described.select("doc_id", "sig").distinct().join(named, "sig").select("doc_id", "node"), "members")
     first = member.groupBy("node").agg(F.min("doc_id").alias("component_id"))
