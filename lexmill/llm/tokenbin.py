@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Remembered, open_store, shared_dir
+from ._shared import MEMORIES, Remembered, only, open_store, shared_dir
 
 BLOCK = 128
 CHUNK_BLOCKS = 4096
@@ -218,6 +218,9 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         ids = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
         self.separator = ids[0] if len(ids) == 1 else None
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[n for t, n in vocabulary.items() if t.endswith("</w>")]] = True
         self.stems = Remembered(CACHE_WORDS)
         self._forget()
 
@@ -231,22 +234,44 @@ class WordEncoder:
         c = stem.decode()[-1]
         return c.isalnum() and len(c.lower()) == 1 and unicodedata.is_normalized("NFC", c)
 
-    def _learn(self, stems: list[bytes]) -> None:
-        known, mark = self.stems.young, self.SEPARATOR.encode()
-        joined = [x for x in stems if self.separator is not None and mark not in x]
-        between = b" " + mark + b" "
-        for at in range(0, len(joined), 20_000):
-            lots = [joined[i : i + 200] for i in range(at, min(at + 20_000, len(joined)), 200)]
-            for lot, found in zip(lots, self.tokenizer.encode_batch_fast([between.join(x).decode() for x in lots], add_special_tokens=False)):
+    @staticmethod
+    def _one_split(text: str) -> bool:
+        """Whether a stem is letters only, before and after normalising: one split of the tokenizer."""
+        return text.isalpha() and (text.isascii() or unicodedata.is_normalized("NFC", text) and len(text.lower()) == len(text))
+
+    def _lots(self, stems: list[str], between: str, cut) -> list[str]:
+        """Encodes stems 200 at a time; ``cut`` gives (first, last) of each stem's ids, or None to give the lot back."""
+        known, back = self.stems.young, []
+        for at in range(0, len(stems), 20_000):
+            lots = [stems[i : i + 200] for i in range(at, min(at + 20_000, len(stems)), 200)]
+            for lot, found in zip(lots, self.tokenizer.encode_batch_fast([between.join(x) for x in lots], add_special_tokens=False)):
                 ids = np.array(found.ids, dtype="<u4")
-                cut = np.flatnonzero(ids == self.separator)
+                places = cut(ids, len(lot))
+                if places is None:
+                    back += lot
+                    continue
                 data = ids.tobytes()
-                first, last = np.concatenate([[0], cut + 1]) * 4, np.concatenate([cut, [len(ids)]]) * 4
-                for stem, i, j in zip(lot, first.tolist(), last.tolist(), strict=True):
-                    known[stem] = data[i:j]
-        if len(joined) < len(stems):
-            for stem in set(stems).difference(known):
-                known[stem] = np.array(self.tokenizer.encode(stem.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+                for stem, i, j in zip(lot, (places[0] * 4).tolist(), (places[1] * 4).tolist()):
+                    known[stem.encode()] = data[i:j]
+        return back
+
+    def _at_ends(self, ids: np.ndarray, n: int):
+        last = np.flatnonzero(self.ends[ids]) + 1
+        return (np.concatenate([[0], last[:-1]]), last) if len(last) == n and last[-1] == len(ids) else None
+
+    def _at_separators(self, ids: np.ndarray, n: int):
+        at = np.flatnonzero(ids == self.separator)
+        return (np.concatenate([[0], at + 1]), np.concatenate([at, [len(ids)]])) if len(at) == n - 1 else None
+
+    def _learn(self, stems: list[bytes]) -> None:
+        """Letters alone are told apart by the tokens that end a split, other stems by a separator token."""
+        texts = [s.decode() for s in stems]
+        plain = [t for t in texts if self._one_split(t)]
+        rest = self._lots(plain, " ", self._at_ends) + [t for t in texts if not self._one_split(t)]
+        mixed = [t for t in rest if self.separator is not None and self.SEPARATOR not in t]
+        rest = self._lots(mixed, f" {self.SEPARATOR} ", self._at_separators) + [t for t in rest if self.separator is None or self.SEPARATOR in t]
+        for t in rest:
+            self.stems.young[t.encode()] = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _words(self, new: list[bytes]) -> None:
         stems, ends, wanted, closed, trailing = [], [], set(), self.CLOSED, self.TRAILING
@@ -286,6 +311,7 @@ class WordEncoder:
 
 
 _encoders: dict[str, WordEncoder] = {}
+MEMORIES["tokenbin"] = _encoders.clear
 
 
 def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -297,6 +323,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = END_I
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        only("tokenbin")
         encode = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, WordEncoder(tokenizer))
         part, sequence, shard, rows = TaskContext.get().partitionId(), 0, None, []
         end = np.array([end_id], dtype=np.uint32)
