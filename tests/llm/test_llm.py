@@ -1,0 +1,378 @@
+"""Training-data operators against brute force, and their edge cases."""
+
+import base64
+import hashlib
+import io
+import math
+import tarfile
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+P = pytest.importorskip("public_tokenizers")
+
+from lexmill.llm import bpe, jaccard, langid, lattice, lines, media, mixing, secrets, tokenbin, vectors  # noqa: E402
+from lexmill.llm._graph import components  # noqa: E402
+from lexmill.llm._shared import open_store, shared_dir  # noqa: E402
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, held string"
+BASE = "the quick brown fox jumps over the lazy dog and then it runs far away from the hungry wolf in the dark forest"
+TEXTS = [
+    (1, BASE, "en", "a"),
+    (2, BASE, "en", "a"),
+    (3, BASE.replace("quick", "Quick") + " again", "en", None),
+    (4, None, "en", "b"),
+    (5, "", None, "b"),
+    (6, " \n\t ", None, "a"),
+    (7, "123 456 !!", "en", "c"),
+    (8, "uno dos", "es", "c"),
+    (9, "Uno dos", "es", "c"),
+    (10, "el perro corre por la calle y la niña come pan con queso en la casa de su abuela mientras llueve", "es", "a"),
+    (11, "x" * 3000 + " é́ <|endoftext|> don't 'S   \x1c end", "en", "b"),
+    (12, (BASE + "\n") * 3 + "one more line that is new here", "en", "a"),
+]
+
+
+def docs(spark, rows=TEXTS):
+    return spark.createDataFrame([(i, t, lang, s, len(t or ""), 0.5, "x") for i, t, lang, s in rows], DOCS).repartition(3)
+
+
+def by_id(df, *columns):
+    return {r.doc_id: tuple(r[c] for c in columns) if len(columns) > 1 else r[columns[0]] for r in df.collect()}
+
+
+# --- 1 language ID ----------------------------------------------------------------------------------
+def test_language_id(spark):
+    got = by_id(langid.language_id(docs(spark)), "held_out", "lang_pred", "score")
+    assert len(got) == len(TEXTS)
+    for i in (4, 5, 6, 7):
+        assert got[i][1:] == ("und", 0.0)
+    assert got[10][1] == "es" and got[1][1] == "en"
+    assert all(v[0] == (zlib.crc32(str(i).encode()) % 4 == 2) for i, v in got.items())
+    assert langid.language_id(docs(spark).limit(0)).count() == 0
+    kept = langid.keep_identified(docs(spark))
+    assert kept.columns == docs(spark).columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 8, 9, 10, 11, 12}
+
+
+def test_grams_and_bundles():
+    span, langid.SPAN = langid.SPAN, 7
+    pieces = langid.gram_counts(BASE + "  9 " + BASE)
+    langid.SPAN = span
+    whole = langid.gram_counts(BASE + "  9 " + BASE)
+    assert (pieces[0] == whole[0]).all() and (pieces[1] == whole[1]).all()
+    v = langid.GramVectors(64)
+    codes, counts = whole
+    assert np.allclose(v.bundle(codes, counts), sum(n * v.bind(int(c)).astype(float) for c, n in zip(codes, counts)))
+
+
+def test_language_accuracy(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = langid.language_id(frame).join(frame.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL AND lang_pred <> 'und'").collect()
+    assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.98
+
+
+# --- 2 token binary ----------------------------------------------------------------------------------
+@pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 5000])
+def test_blocks_round_trip(n):
+    rng = np.random.default_rng(n)
+    ids = rng.integers(0, 300, n).astype(np.uint32)
+    ids[rng.random(n) < 0.05] += 2**31
+    data = tokenbin.pack_chunk(ids)
+    assert (tokenbin.unpack_chunk(data) == ids).all()
+    if n > 300:
+        assert (tokenbin.unpack_chunk(data, 1, 3) == ids[128:384]).all()
+
+
+def test_token_binary(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    got = by_id(tokenbin.tokens_to_shards(docs(spark), path), "start", "n_tokens", "ids_crc32")
+    start = 0
+    for i, text, *_ in TEXTS:
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
+        assert got[i] == (start, len(ids), zlib.crc32(ids.tobytes())), i
+        start += len(ids)
+    assert tokenbin.tokens_to_shards(docs(spark).limit(0), path).count() == 0
+    root = shared_dir(spark, "t")
+    shards = tokenbin.write_tokens(docs(spark), root, path, shard_tokens=50).collect()
+    assert len(shards) > 1
+    reader = tokenbin.ShardReader(root, shards[0].shard)
+    whole = np.concatenate([x for _, _, x in reader.documents()])
+    assert (reader.range(3, 9) == whole[3:9]).all()
+
+
+# --- 3 Jaccard join ------------------------------------------------------------------------------------
+def brute_components(rows):
+    def shingles(t):
+        w = (t or "").encode().lower().split()
+        return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+    sets = {i: shingles(t) for i, t in rows}
+    comp = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and comp[a] != comp[b]:
+                    comp[a] = comp[b] = min(comp[a], comp[b])
+                    changed = True
+    return {i: (len(sets[i]), comp[i]) for i in sets}
+
+
+def test_jaccard(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(i, t) for i, t, *_ in TEXTS]
+    words = [f"w{k}" for k in range(60)]
+    for i in range(100, 170):  # a family near the threshold, with a chain of links
+        own = list(words)
+        for k in rng.choice(60, rng.integers(0, 3), replace=False):
+            own[k] = f"z{rng.integers(9)}"
+        rows.append((i, " ".join(own)))
+    rows += [(i, " ".join(rng.permutation(words)[:12]) + " " + " ".join(words[:20])) for i in range(200, 230)]
+    frame = spark.createDataFrame([(i, t, 0.1) for i, t in rows], "doc_id long, text string, n_shingles double").repartition(4)
+    want = brute_components(rows)
+    assert by_id(jaccard.jaccard_components(frame), "n_shingles", "component_id") == want
+    monkeypatch.setattr(jaccard, "GROUP_ROWS", 7)
+    assert by_id(jaccard.jaccard_components(frame), "n_shingles", "component_id") == want
+    again = frame.unionByName(frame).unionByName(spark.createDataFrame([(None, BASE, 0.0)], frame.schema))
+    got = jaccard.jaccard_components(again)
+    assert got.count() == len(want) + 1 and by_id(got.where("doc_id IS NOT NULL"), "n_shingles", "component_id") == want
+    assert jaccard.jaccard_components(frame.limit(0)).count() == 0
+    assert {r.doc_id for r in jaccard.keep_one_of_group(frame).collect()} == {i for i, (_, c) in want.items() if i == c}
+
+
+def test_overlaps(monkeypatch):
+    monkeypatch.setattr(jaccard, "COLUMNS", 5)
+    rng = np.random.default_rng(0)
+    a, b = ([np.unique(rng.integers(0, 60, rng.integers(1, 40))).astype(np.uint64) for _ in range(n)] for n in (6, 9))
+    assert (jaccard._overlaps(a, b) == [[len(set(x) & set(y)) for y in b] for x in a]).all()
+
+
+# --- 4 byte-level BPE -----------------------------------------------------------------------------------
+def test_bpe(spark):
+    import tiktoken
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = by_id(bpe.encode_documents(docs(spark), path, P.PATTERN, ids=True), "n_tokens", "ids_sha256", "decoded_sha256", "ids")
+    for i, text, *_ in TEXTS:
+        ids = own.encode_ordinary(text or "")
+        assert got[i] == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest(), ids), i
+    assert bpe.encode_documents(docs(spark).limit(0), path, P.PATTERN).count() == 0
+    for piece in (b"the", b" mentioning", b"xxxxxxxxx", "ñandúes".encode(), b"a"):
+        assert bpe.merge_long(piece, ranks) == own.encode_ordinary(piece.decode())
+
+
+# --- 5 secrets --------------------------------------------------------------------------------------------
+def test_secrets(spark):
+    texts = [f"my key AKIAABCDEFGHIJKLMN{i:02d} is here" for i in range(20)] + ["password=d9f3929e83c8655244 x", 'token = "cda921ed736c00fa810740aabef62d23b83719a6" y', "write to someone.12@mail6.example.com now", "call 4539578763621486 please", "", None, "plainwordwithoutdigits " * 5]
+    frame = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = by_id(secrets.scan_secrets(frame), "rule", "kept")
+    assert all(got[i] == ("cloud_key", True) for i in range(20)) and got[20][1] and got[21][1]
+    assert set(got) == {*range(22), 23} and not got[23][1]
+    assert secrets.scan_secrets(frame.limit(0)).count() == 0
+    only = secrets.scan_secrets(frame.where("doc_id < 3"))
+    assert all(r.score == 1.0 for r in only.collect())
+    twice = secrets.scan_secrets(frame.unionByName(frame)).groupBy("doc_id").count().collect()
+    assert {r["count"] for r in twice} == {2}
+
+
+# --- 6 mixing ----------------------------------------------------------------------------------------------
+def test_targets():
+    assert mixing.fill_targets([10, 10, 10], [5, 2, 1], 1.5, 2) == pytest.approx([20.0, 2 / 3 * 25, 1 / 3 * 25])
+    assert mixing.fill_targets([], [], 1.5, 2) == [] and mixing.fill_targets([0, 0], [5, 2], 1.5, 2) == [0.0, 0.0]
+
+
+def test_tree():
+    counts = mixing.split_quotas(np.array([7, 0, 100]), 5, np.random.default_rng(0))
+    assert counts.shape == (5, 3) and (counts.sum(axis=0) == [7, 0, 100]).all() and (counts >= 0).all()
+
+
+def test_mixing(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(["w"] * int(rng.integers(0, 30))), "en", [None, "b", "a", "é"][i % 4]) for i in range(400)] + [(500, None, "en", "a")]
+    out = mixing.mix_sizes(docs(spark, rows), block_words=50, shard_words=1000)
+    first, again = (sorted((r.doc_id, r.size, r.taken, r.target, tuple(r.shards)) for r in o.collect()) for o in (out, mixing.mix_sizes(docs(spark, rows), block_words=50, shard_words=1000)))
+    assert first == again and len(first) == 401
+    sizes, taken, targets = Counter(), Counter(), {}
+    for r in out.collect():
+        s = dict((i, x) for i, _, _, x in rows)[r.doc_id]
+        sizes[s] += r.size
+        taken[s] += r.taken
+        targets[s] = r.target
+        assert r.taken <= 2 * r.size and len(r.shards) == r.copies
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    want = mixing.fill_targets([sizes[s] for s in order], [[5, 2, 1][i % 3] for i in range(len(order))], 1.5, 2)
+    assert [targets[s] for s in order] == pytest.approx(want)
+    assert all(abs(taken[s] - targets[s]) <= 30 for s in order)
+    mixed = mixing.mix_documents(docs(spark, rows))
+    assert mixed.columns == docs(spark, rows).columns and Counter(r.doc_id for r in mixed.collect()) == Counter({i: c for i, c in by_id(out, "copies").items() if c})
+    assert mixing.mix_sizes(docs(spark).limit(0)).count() == 0
+
+
+# --- 7 media -------------------------------------------------------------------------------------------------
+def test_media(spark):
+    root = shared_dir(spark, "m")
+    manifest = media.write_media(docs(spark), root, shard_bytes=2000)
+    got = {r.doc_id: r for r in media.read_media(manifest, root).collect()}
+    places = {r.doc_id: r for r in manifest.collect()}
+    for i, text, *_ in TEXTS:
+        raw = (text or "").encode()
+        payload = raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0")
+        r = got[i]
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        fs, path = open_store(root)
+        data = fs.open_input_file(f"{path}/{places[i].shard}").read()
+        member = tarfile.open(fileobj=io.BytesIO(data)).extractfile(f"{places[i].digest}.png").read()
+        assert hashlib.sha256(member).hexdigest() == r.media_sha256 and media.decode_png(member) == payload and r.media_bytes == len(member)
+    assert got[4].feature == got[5].feature and got[1].media_sha256 == got[2].media_sha256
+    assert media.media_columns(docs(spark).limit(0)).count() == 0
+
+
+# --- 8 embeddings -----------------------------------------------------------------------------------------------
+def test_lattice_points():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 8)) * 2
+    near = vectors.decode_e8(x)
+    assert ((near * 2) % 1 == 0).all() and (near.sum(axis=1) % 2 == 0).all()
+    best = ((x - near) ** 2).sum(axis=1)
+    for step in vectors.MINIMAL:
+        assert (((x - near - step) ** 2).sum(axis=1) >= best - 1e-9).all()
+
+
+def test_embeddings(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 32))
+    rows = [(i, (centres[i % 40] + rng.normal(size=32) * (0.12 if i % 3 else 0.3)).astype(np.float32).tolist()) for i in range(400)]
+    rows += [(1000 + i, rows[i][1]) for i in range(5)] + [(2000, None), (2001, []), (2002, [0.0] * 32), (2003, [float("nan")] * 32), (2004, [1.0, None] * 16), (2005, [1.0] * 8), (2006, [2.0] * 8)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = {r.vec_id: r for r in vectors.link_vectors(frame).collect()}
+    x = np.array([r[1] for r in rows[:405]], dtype=np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ids = [r[0] for r in rows[:405]]
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    links = [got[i].n_links for i in ids]
+    assert sum(links) / near.sum() > 0.9 and all(n <= m for n, m in zip(links, near.sum(axis=1)))
+    assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in range(2000, 2005))
+    assert got[2005].n_links == 1 and got[2006].component_id == 2005 and not got[2006].kept
+    assert all(got[1000 + i].n_links >= 1 and got[1000 + i].component_id <= i for i in range(5))
+    assert vectors.link_vectors(frame.limit(0)).count() == 0
+
+
+def test_link_counts_once_per_pair(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", 8)
+    rng = np.random.default_rng(3)
+    rows = [(i, (np.ones(16) + rng.normal(size=16) * 0.02).astype(np.float32).tolist()) for i in range(50)]
+    got = vectors.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert {r.n_links for r in got} == {49} and {r.component_id for r in got} == {0}
+
+
+# --- 9 lines ---------------------------------------------------------------------------------------------------------
+def test_lines(spark):
+    long_ = " ".join(f"palabra{i}" for i in range(200))
+    rows = [
+        (1, f"{BASE}\nunique line number one here\nok\nok", "en", "a"),
+        (2, f"  {BASE.upper()}!\nanother unique line stands here", "en", "a"),
+        (3, BASE.replace("lazy", "LAZY;"), "en", "a"),
+        (4, None, "en", "a"),
+        (5, "", "en", "a"),
+        (6, f"{long_}\n{BASE[:40]}", "en", "a"),
+        (7, long_.replace("palabra7 ", "palabrx7 "), "en", "a"),
+    ]
+    out = lines.dedup_lines(docs(spark, rows))
+    got = by_id(out, "text")
+    assert out.columns == docs(spark, rows).columns
+    assert got == {1: rows[0][1], 2: "another unique line stands here", 3: "", 4: None, 5: "", 6: rows[5][1], 7: ""}
+    assert {r.doc_id for r in lines.dedup_lines(docs(spark, rows), drop_emptied=True).collect()} == {1, 2, 4, 5, 6}
+    assert lines.dedup_lines(docs(spark).limit(0)).count() == 0
+
+
+def test_lines_with_an_edit(spark):
+    """Most long lines with one letter changed are found; lines of other words are not."""
+    rng = np.random.default_rng(0)
+    words = ["".join(rng.choice(list("abcdefghilmnoprstu"), 6)) for _ in range(800)]
+    whole = [" ".join(rng.choice(words, 90)) for _ in range(40)]
+    edited = [x[:200] + "z" + x[201:] for x in whole]
+    rows = [(i, t, "en", "a") for i, t in enumerate(whole + edited)] + [(100, whole[0][:560] + " " + " ".join(words[:8]), "en", "a")]
+    got = by_id(lines.dedup_lines(docs(spark, rows)), "text")
+    assert all(got[i] == whole[i] for i in range(40))
+    assert sum(got[40 + i] == "" for i in range(40)) >= 24
+
+
+def test_near_hashes_share_a_key():
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        h = rng.integers(0, 2**63, (1, 2), dtype=np.uint64)
+        g = h.copy()
+        for b in rng.choice(128, lines.BLOCKS - lines.KEEP, replace=False):
+            g[0, b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+        assert (lines.block_keys(h) == lines.block_keys(g)).any()
+
+
+# --- 10 scoring --------------------------------------------------------------------------------------------------------
+def test_lattice_sums_all_cuts():
+    names = ["▁", "▁a", "a", "b", "ab", "▁ab"] + [f"\0{b:02X}" for b in range(256)]
+    logs = np.log(np.random.default_rng(0).dirichlet(np.ones(len(names))))
+    pieces = lattice.Pieces(names, logs, list(range(6, 262)))
+
+    def brute(word):
+        text, mass = "▁" + word, {0: 1.0}
+        for i in range(len(text)):
+            for n in range(1, len(text) - i + 1):
+                part = text[i : i + n]
+                p = math.exp(logs[names.index(part)]) if part in names else 0.0
+                p += math.exp(sum(pieces.byte_logs[b] for b in part.encode())) if n == 1 else 0.0
+                mass[i + n] = mass.get(i + n, 0.0) + mass.get(i, 0.0) * p
+        return math.log(mass[len(text)])
+
+    words = ["ab", "abab", "ñ", "", "aabbaabb" * 3]
+    assert lattice.word_scores([w.encode() for w in words], pieces) == pytest.approx([brute(w) for w in words])
+    used = lattice.expected_counts([b"abab"], np.array([3.0]), pieces)
+    assert used[names.index("▁ab")] > 0 and used.sum() <= 15.1
+
+
+def test_scores(spark):
+    got = {r.doc_id: r for r in lattice.lm_scores(docs(spark), P.path("piece_bpe_32k.model")).collect()}
+    words = {i: (t or "").encode().lower().split() for i, t, *_ in TEXTS}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in words}
+    counts, ends = Counter(), sum(not h for h in held.values())
+    for i, w in words.items():
+        if not held[i]:
+            counts.update(w)
+    n, v = sum(counts.values()) + ends, len(counts) + 1
+    for i, w in words.items():
+        r = got[i]
+        base = sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w) + math.log10((ends + 1) / (n + v + 1))
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(w) + 1, sum(counts[x] > 0 for x in w) + 1, n)
+        assert r.base_score == pytest.approx(base) and r.score < 0 and math.isfinite(r.score)
+    assert lattice.lm_scores(docs(spark).limit(0), P.path("piece_bpe_32k.model")).count() == 0
+
+
+# --- shared ---------------------------------------------------------------------------------------------------------------
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 90), (90, 100), (5, 5)] + [(200, x) for x in range(201, 240)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(61)} | {90: 90, 100: 90} | {i: 200 for i in range(200, 240)}
+
+
+def test_pipeline(spark, tmp_path):
+    import corpus_pipeline
+
+    path = str(tmp_path / "in")
+    rows = TEXTS + [(20 + i, f"line of document number {i} with words {'abcdefgh'[i % 8] * (i + 3)} and more", "en", f"s{i % 3}") for i in range(30)]
+    docs(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{path}/documents.parquet")
+    frame, columns = spark.read.parquet(f"{path}/documents.parquet"), ["doc_id", "text", "lang", "source", "n_chars"]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, path)
+        assert frame.columns == columns, name
+    out = corpus_pipeline.run(spark, path)
+    assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in frame.collect())
+    assert all(r.n_tokens == len(r.ids) for r in out.collect())
