@@ -88,4 +88,27 @@ QUERIES = {
         op10_lattice_scoring,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op3_jaccard_join": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS l FROM documents
+        ), s AS (
+            SELECT doc_id, unnest(CASE WHEN len(l) >= 5 THEN list_distinct(list_transform(range(1, len(l) - 3), lambda i: array_to_string(l[i:i + 4], ' '))) WHEN len(l) > 0 THEN [array_to_string(l, ' ')] END) AS t FROM w
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY ALL
+        ), e AS (
+            SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+        ), r(id, c) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.c) AS component_id FROM documents d JOIN r ON r.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n""",
+    "op8_embedding_lattice": """
+        WITH RECURSIVE e AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM embeddings x JOIN embeddings y ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]) >= 0.9
+        ), r(id, c) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id
+        )
+        SELECT vec_id, (SELECT count(*) FROM e WHERE a = vec_id) AS n_links, min(c) AS component_id, vec_id = min(c) AS kept FROM embeddings JOIN r ON id = vec_id GROUP BY vec_id""",
+}
