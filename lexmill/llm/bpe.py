@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ._shared import MEMORIES, Remembered, only
 
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 600_000
 QUERY_PIECES = 50_000
 QUERY_BYTES = 800_000
 LONG_PIECE = 1024
@@ -107,8 +107,9 @@ class PieceCoder:
         self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.find = regex.compile(rust_pattern(pattern)).findall
-        self.known = Remembered(CACHE_PIECES)  # piece: (ids, decoded)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.known = Remembered(CACHE_PIECES)  # piece: its ids
+        self.unlike: dict[str, bytes] = {}  # what a piece decodes to, where that is not the piece
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         rows = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self._load("merges", {"first": [x[0] for x in rows], "second": [x[1] for x in rows], "merged": [x[2] for x in rows]}, "*, CAST(merged AS BIGINT) AS rank")
         self._load("vocabulary", {"token": list(self.bytes_of), "hex": [t.hex() for t in self.bytes_of.values()]}, "*")
@@ -130,7 +131,9 @@ class PieceCoder:
         ids = found.column("ids").combine_chunks()
         flat, starts = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
         for k, i, decoded in zip(range(len(ids)), found.column("piece").to_pylist(), found.column("hex").to_pylist()):
-            self.known.young[pieces[i]] = (flat[starts[k] : starts[k + 1]].tobytes(), bytes.fromhex(decoded))
+            self.known.young[pieces[i]] = flat[starts[k] : starts[k + 1]].tobytes()
+            if decoded != raw[i].hex():
+                self.unlike[pieces[i]] = bytes.fromhex(decoded)
 
     def learn(self, pieces: set[str]) -> None:
         """Encodes the pieces that are not known yet."""
@@ -140,7 +143,9 @@ class PieceCoder:
             b = piece.encode()
             if len(b) > LONG_PIECE:
                 ids = merge_long(b, self.ranks)
-                self.known.young[piece] = (np.array(ids, dtype="<u4").tobytes(), b"".join(self.bytes_of[i] for i in ids))
+                self.known.young[piece] = np.array(ids, dtype="<u4").tobytes()
+                if (decoded := b"".join(self.bytes_of[i] for i in ids)) != b:
+                    self.unlike[piece] = decoded
                 continue
             batch.append(piece)
             raw.append(b)
@@ -155,8 +160,10 @@ class PieceCoder:
         """(ids as little-endian 32-bit integers, decoded bytes) of each text."""
         split = [self.find(t) if t else [] for t in texts]
         self.learn(set(chain.from_iterable(split)))
-        get = self.known.young.__getitem__
-        return [(b"".join([x[0] for x in found]), b"".join([x[1] for x in found])) for found in (list(map(get, pieces)) for pieces in split)]
+        get, unlike = self.known.young.__getitem__, self.unlike
+        ids = [b"".join(map(get, pieces)) for pieces in split]
+        decoded = [b"".join(unlike.get(p) or p.encode() for p in pieces) if unlike else "".join(pieces).encode() for pieces in split]
+        return list(zip(ids, decoded))
 
 
 _coders: dict[str, PieceCoder] = {}
@@ -171,8 +178,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep: list[
         only("bpe")
         coder = _coders.get(ranks_path) or _coders.setdefault(ranks_path, PieceCoder(ranks_path, pattern))
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                some = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
                 coded = coder.code(some.column(some.num_columns - 1).to_pylist())
                 out = [some.column(i) for i in range(len(keep))]
                 out += [pa.array([len(a) // 4 for a, _ in coded], pa.int64()), pa.array([hashlib.sha256(a).hexdigest() for a, _ in coded], pa.string()), pa.array([hashlib.sha256(b).hexdigest() for _, b in coded], pa.string())]

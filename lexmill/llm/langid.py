@@ -78,7 +78,7 @@ class GramVectors:
 
     def __init__(self, dims: int):
         self.dims, self.letters, self.place = dims, {}, {}
-        self.rows = np.empty((1024, dims), dtype=np.float32)
+        self.rows = np.empty((1024, dims), dtype=np.int8)
 
     def letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
@@ -96,8 +96,8 @@ class GramVectors:
     def bundle(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Sum of the bound vectors times their counts; any number of n-grams."""
         total = np.zeros(self.dims)
-        for at in range(0, len(codes), 8192):
-            part, n = codes[at : at + 8192].tolist(), counts[at : at + 8192]
+        for at in range(0, len(codes), 2048):
+            part, n = codes[at : at + 2048].tolist(), counts[at : at + 2048]
             if len(self.place) + len(part) > CACHE_GRAMS:
                 self.place.clear()
             index = []
@@ -108,7 +108,7 @@ class GramVectors:
                         self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
                     self.rows[i] = self.bind(code)
                 index.append(i)
-            total += n.astype(np.float32) @ self.rows[index]
+            total += n.astype(np.float32) @ self.rows[index].astype(np.float32)
         return total
 
 
