@@ -42,9 +42,9 @@ GROUP_ROWS = 256
 COMMON = 64
 COLUMNS = 4096
 LARGE_LABELS = 100_000
-DEALS = 4
-CHUNK_TOKENS, CHUNK_DOCS = 3_000_000, 65_000
-KNOWN_WORDS = 500_000
+DEALS = 1
+CHUNK_TOKENS, CHUNK_DOCS = 1_500_000, 65_000
+KNOWN_WORDS = 250_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 PLACES = np.random.default_rng(5).integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 
@@ -91,7 +91,7 @@ def _pack(chunk: list[tuple[int, int, np.ndarray]], buckets: int):
     np.maximum.at(sizes, where, np.array([n for _, n, _ in chunk], dtype=np.int64))
     lengths = np.array([len(t) for _, _, t in chunk])
     tokens = np.concatenate([t for _, _, t in chunk])
-    owner = np.repeat(where.astype(np.int64), lengths)
+    owner = np.repeat(where.astype(np.int32), lengths)
     order = np.argsort(tokens, kind="stable")
     tokens, owner = tokens[order], owner[order]
     if len(ids) < len(chunk) and len(tokens):  # an id's rows may hold a token twice
@@ -280,12 +280,13 @@ def _labelling(words):
 
     def task(batches):
         for batch in batches:
-            labels = []
+            labels, sizes = [], []
             for text in batch.column(1):
                 tokens = shingles(text.as_py())
+                sizes.append(len(tokens))
                 common = _common(words, tokens)
                 labels.append(int(_mix(tokens[common] if 2 * common.sum() >= len(tokens) else tokens).min().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(labels, pa.int64()), batch.column(1)], names=["id", "label", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(labels, pa.int64()), pa.array(sizes, pa.int64()), batch.column(1)], names=["id", "label", "n", "text"])
 
     return task
 
@@ -409,23 +410,27 @@ def _need(n: Column, percent: int) -> Column:
 
 
 def grouped_texts(texts: DataFrame, words) -> DataFrame:
-    """(id, grp, text): texts by label, labels of over GROUP_ROWS texts dealt to several groups."""
-    labelled = staged(texts.mapInArrow(_labelling(words), "id long, label long, text string"), "labelled")
+    """(id, grp, n, text): texts by label and size, labels of over GROUP_ROWS texts dealt to several groups."""
+    labelled = staged(texts.mapInArrow(_labelling(words), "id long, label long, n long, text string"), "labelled")
+    band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT)))  # members of a group are about as large
+    labelled = labelled.withColumn("label", F.xxhash64("label", band))
     large = labelled.groupBy("label").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("_parts")).where("_parts > 1")
     if large.count() <= LARGE_LABELS:
         large = F.broadcast(large)
     part = F.pmod(F.xxhash64("id"), F.coalesce("_parts", F.lit(1)))
-    return labelled.join(large, "label", "left").select("id", F.xxhash64("label", part).alias("grp"), "text")
+    return labelled.join(large, "label", "left").select("id", F.xxhash64("label", part).alias("grp"), "n", "text")
 
 
 def link_groups(members: DataFrame, words, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) that span the components of members (id, grp, text)."""
+    """Links (a, b) that span the components of members (id, grp, n, text)."""
     matrix = members.select("grp", "text").mapInArrow(_signing(percent, words), "grp long, token long").distinct()
     matrix = staged(matrix, "matrix")
     shared = matrix.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1")
-    matrix = staged(matrix.join(shared.select("token"), "token"), "matrix")
-    pairs = matrix.select("token", F.col("grp").alias("g1")).join(matrix.select("token", F.col("grp").alias("g2")), "token").where("g1 < g2").select("g1", "g2").distinct()
-    sizes = members.groupBy("grp").agg(F.count("*").alias("n"))
+    sizes = staged(members.groupBy("grp").agg(F.count("*").alias("n"), F.min("n").alias("lo"), F.max("n").alias("hi")), "group-sizes")
+    matrix = staged(matrix.join(shared.select("token"), "token").join(sizes.select("grp", "lo", "hi"), "grp"), "matrix")
+    left, right = (matrix.select("token", *[F.col(c).alias(c + k) for c in ("grp", "lo", "hi")]) for k in "12")
+    alike = (F.col("lo1") * percent <= F.col("hi2") * 100) & (F.col("lo2") * percent <= F.col("hi1") * 100)
+    pairs = left.join(right, "token").where((F.col("grp1") < F.col("grp2")) & alike).select(F.col("grp1").alias("g1"), F.col("grp2").alias("g2")).distinct()
     inside = sizes.where("n > 1").select(F.col("grp").alias("g1"), F.col("grp").alias("g2"))
     # a pair goes where its smaller group is dealt; a deal gets each of its groups' texts once
     sized = pairs.unionByName(inside).join(sizes.select(F.col("grp").alias("g1"), F.col("n").alias("n1")), "g1").join(sizes.select(F.col("grp").alias("g2"), F.col("n").alias("n2")), "g2")
