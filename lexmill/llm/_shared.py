@@ -72,11 +72,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 MEMORIES: dict[str, object] = {}
 
 
+_serves: str | None = None
+
+
 def only(name: str) -> None:
-    """Called by an operator's tasks: a worker that served other operators forgets what they held."""
+    """Called by an operator's tasks: a worker that served other operators forgets what they held.
+
+    What was freed is handed back to the system, where the C library can.
+    """
+    global _serves
+    if _serves == name:
+        return
     for other, forget in MEMORIES.items():
         if other != name:
             forget()
+    if _serves is not None:
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    _serves = name
 
 
 class Remembered:
