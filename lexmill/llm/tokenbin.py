@@ -301,13 +301,15 @@ class WordEncoder:
         number, self.words.new = self.words.__getitem__, []
         docs = [(t or b"").lower().split() for t in texts]
         counts = np.array([len(d) for d in docs], dtype=np.int64)
-        index = np.fromiter(map(number, chain.from_iterable(docs)), np.int64, int(counts.sum()))
+        index = np.fromiter(map(number, chain.from_iterable(docs)), np.int32, int(counts.sum()))
         if self.words.new:
             self._words(self.words.new)
         lengths = self.lengths[index]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.flat[np.repeat(self.starts[index] - ends[:-1], lengths) + np.arange(ends[-1])]
-        return np.split(ids, ends[np.cumsum(counts)][:-1]) if docs else []
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        kind = np.int32 if ends[-1] + len(self.flat) < 2**31 else np.int64  # half the memory to move
+        places = np.repeat((self.starts[index] - ends[:-1]).astype(kind), lengths)
+        places += np.arange(ends[-1], dtype=kind)
+        return np.split(self.flat[places], ends[np.cumsum(counts)][:-1]) if docs else []
 
 
 _encoders: dict[str, WordEncoder] = {}
