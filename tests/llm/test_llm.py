@@ -317,6 +317,17 @@ def test_near_hashes_share_a_key():
         assert (lines.block_keys(h) == lines.block_keys(g)).any()
 
 
+def test_long_lines_by_characters(spark):
+    """A long line with a letter changed in every ninth word is 98 % equal by characters."""
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abcdefghilmnoprstu"), 6)) for _ in range(100)]
+    edited = [w[:-1] + "z" if i % 9 == 0 else w for i, w in enumerate(words)]
+    few = ["".join(rng.choice(list("abcdefghilmnoprstu"), 90)) for _ in range(8)]
+    rows = [" ".join(words), " ".join(edited), " ".join(few), " ".join([few[0][:-1] + "z", *few[1:]])]
+    got = by_id(lines.dedup_lines(docs(spark, [(i, t, "en", "a") for i, t in enumerate(rows)])), "text")
+    assert got == {0: rows[0], 1: "", 2: rows[2], 3: ""}
+
+
 # --- 10 scoring --------------------------------------------------------------------------------------------------------
 def test_lattice_sums_all_cuts():
     names = ["▁", "▁a", "a", "b", "ab", "▁ab"] + [f"\0{b:02X}" for b in range(256)]
