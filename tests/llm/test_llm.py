@@ -317,6 +317,32 @@ def test_near_hashes_share_a_key():
         assert (lines.block_keys(h) == lines.block_keys(g)).any()
 
 
+def _edited(rng, text, rate):
+    letters, at = list(text), rng.choice(len(text), int(rate * len(text)), replace=False)
+    for i in at:
+        letters[i] = "z"
+    return "".join(letters)
+
+
+def _random_lines(rng, count, length):
+    words = ["".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(2, 9))) for _ in range(3000)]
+    return [" ".join(rng.choice(words, length // 3))[:length].strip() for _ in range(count)]
+
+
+def test_lines_recall(spark):
+    """Pairs at edit similarity 0.9 to 0.99 are found at every length; unlike lines are not linked."""
+    rng, rows, many = np.random.default_rng(5), [], 60
+    cells = [(n, rate) for n in (60, 170, 360, 600) for rate in (0.0, 0.02, 0.05, 0.09)]
+    for n, rate in cells:
+        whole = _random_lines(rng, many, n)
+        rows += whole + [_edited(rng, x, max(rate, 1.01 / n)) for x in whole]
+    got = by_id(lines.dedup_lines(docs(spark, [(i, t, "en", "a") for i, t in enumerate(rows)])), "text")
+    for k, cell in enumerate(cells):
+        at = 2 * many * k
+        assert all(got[i] for i in range(at, at + many))
+        assert sum(got[i] == "" for i in range(at + many, at + 2 * many)) >= 0.85 * many, cell
+
+
 def test_long_lines_by_characters(spark):
     """A long line with a letter changed in every ninth word is 98 % equal by characters."""
     rng = np.random.default_rng(7)
