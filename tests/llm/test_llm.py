@@ -343,6 +343,28 @@ def test_lines_recall(spark):
         assert sum(got[i] == "" for i in range(at + many, at + 2 * many)) >= 0.85 * many, cell
 
 
+def test_lines_chain_in_one_bucket():
+    """L~X~Y with Y unlike L: X and Y are compared though X followed L, in one block and in two."""
+    rows = np.zeros(3, dtype=lines.ENTRY)
+    rows["key"], rows["length"], rows["line"], rows["grp"] = 7, 100, [1, 2, 3], [1, 2, 3]
+    bits = np.zeros((3, 2 * lines.SKETCH), np.uint8)
+    bits[1, 0:80:2] = 1
+    bits[2, 0:160:2] = 1
+    rows["sketch"] = np.packbits(bits, axis=1, bitorder="little").view("<u8")
+    assert lines._starred(rows, 0.9).tolist() == [[2, 1]]
+    rows["grp"] = [1, 1, 3]
+    assert lines._compared(rows, 0.9).tolist() == [[3, 2]]
+    assert lines._crossed(rows, np.array([0, 1]), np.array([2]), 0.9).tolist() == [[3, 2]]
+
+
+def test_lines_chain(spark, monkeypatch):
+    monkeypatch.setattr(lines, "BLOCK_LINES", 2)
+    base = _random_lines(np.random.default_rng(6), 1, 400)[0]
+    chain = [base[: 40 * k].upper().translate(str.maketrans("AEIOU", "vwxyz".upper())) + base[40 * k :] for k in range(6)]
+    got = by_id(lines.dedup_lines(docs(spark, [(i, t, "en", "a") for i, t in enumerate(chain)])), "text")
+    assert got == {0: base, **{i: "" for i in range(1, 6)}}
+
+
 def test_long_lines_by_characters(spark):
     """A long line with a letter changed in every ninth word is 98 % equal by characters."""
     rng = np.random.default_rng(7)
