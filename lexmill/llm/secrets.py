@@ -1,6 +1,7 @@
 """Secret scans with a random forest that removes false positives; DataFrame functions only.
 
-Detectors find candidate tokens in whole texts. A candidate is described by its length, its
+Detectors find candidate tokens in whole texts: runs of SHAPE, the formats of RULES, and words of
+SHORTEST and more characters after a credential's name. A candidate is described by its length, its
 character transitions, how much of it common words cover, its path and the words around it; a
 random forest trained on labelled findings then says how likely it is a secret.
 
@@ -16,13 +17,15 @@ where undecided); an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import staged
 
 TRAIN_ROWS = 20_000
-SHORTEST = 12
+SHORTEST = 8
 #: A run of twelve and more key characters with a digit; each run is looked at once.
 SHAPE = r"(?<![A-Za-z0-9+/=_\-])(?=[A-Za-z0-9+/=_\-]{12})[A-Za-z+/=_\-]*+[0-9]"
 RULES = {
@@ -33,6 +36,9 @@ RULES = {
     "hex": r"^[0-9a-fA-F]{16,}$",
 }
 NAMES = r"(?i)^[^A-Za-z]*(pass(word|wd)?|secret|token|api_?key|access_?key|auth|bearer|credential)s?[^A-Za-z]*$"
+#: What a document has if any word of it can be a candidate: SHAPE, a rule's format or a credential's name.
+FORMATS = SHAPE + "|" + "|".join(RULES[k].strip("^$") for k in ("cloud_key", "prefixed_token", "web_token", "hex")) + r"|(?i:(pass(word|wd)?|secret|token|api_?key|access_?key|auth)[=:].{8})"
+ANYWHERE = FORMATS + r"|(?i:(?<![A-Za-z])(pass(word|wd)?|secret|token|api_?key|access_?key|auth|bearer|credential)s?(?![A-Za-z]))"
 NOT_SECRET = r"(?i)(@|^https?:|^www\.|example|placeholder|changeme|x{6,}|(.)\2{5,}|^[0-9.:,/+\-]+$)"
 #: Common words and word parts that readable names are made of.
 WORDS = ("the and for that with this from have not are was were been will you your all any can has had but one two our out day get use man new now old see way who its did may " "name user file data test demo mail info page item list type code key id www com org net http html json text line word date time north south east west license version number").split()
@@ -44,18 +50,28 @@ def _rate(pattern: str, text: Column) -> Column:
     return F.regexp_count(text, F.lit(pattern)) / F.greatest(F.length(text), F.lit(1))
 
 
+def _word(at: Column) -> Column:
+    """A document's word at a place; empty beyond its ends."""
+    return F.coalesce(F.get("words", at), F.lit(""))
+
+
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     """doc_id, at (place of the word), word, value, rule, before, before2, after, path of every candidate."""
-    some = docs.where(F.col("text").rlike(SHAPE)).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), F.split("text", r"\s+").alias("words"))
-    word = some.select("doc_id", "path", "words", F.posexplode("words").alias("at", "word")).where((F.length("word") >= SHORTEST) & F.col("word").rlike(SHAPE))
-    near = lambda k: F.coalesce(F.expr(f"get(words, at + ({k}))"), F.lit(""))
+    some = docs.where(F.col("text").rlike(ANYWHERE)).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), F.split("text", r"\s+").alias("words"))
+    # places are chosen inside the array: exploding first would copy all words of a document for each of them
+    may = lambda i: (F.length(_word(i)) >= SHORTEST) & (_word(i).rlike(FORMATS) | _word(i - 1).rlike(NAMES) | _word(i - 2).rlike(NAMES))
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), may)
+    word = some.select("doc_id", "path", "words", F.explode(places).alias("at")).withColumn("word", _word(F.col("at")))
+    near = lambda k: _word(F.col("at") + k)
     trimmed = F.regexp_replace("word", r"""^[\"'`(\[{<,;]+|[\"'`)\]}>,;.!?%]+$""", "")
+    format_ = reduce(lambda a, b: a | b, [trimmed.rlike(x) for x in RULES.values()])
+    word = word.where(F.col("word").rlike(SHAPE) | near(-1).rlike(NAMES) | near(-2).rlike(NAMES) | format_)
     value = F.regexp_replace(trimmed, r"""(?i)^[a-z_\-]+[=:][\"'`]?(?=.{8,})""", "")
     rule = F.lit("generic")
     for name, pattern in reversed(RULES.items()):
         rule = F.when(F.col("token").rlike(pattern), F.lit(name)).otherwise(rule)
     out = word.select("doc_id", "path", "at", near(-1).alias("before"), near(-2).alias("before2"), near(1).alias("after"), trimmed.alias("token"), value.alias("value"))
-    return out.where(F.length("value") >= 8).withColumn("rule", rule)
+    return out.where(F.length("value") >= SHORTEST).withColumn("rule", rule)
 
 
 def described(found: DataFrame) -> DataFrame:
