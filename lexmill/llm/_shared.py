@@ -6,6 +6,7 @@ share. Only where that setting is absent (local tests) a folder of our own is ma
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -13,9 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """URI of a fresh folder name below the cluster's shared folder (not created yet)."""
+    """URI of a fresh folder name below the cluster's shared folder (not created yet).
+
+    Without ``spark.checkpoint.dir`` a folder of this machine is made, for a local master only.
+    """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not (spark.sparkContext.master or "").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set("spark.checkpoint.dir", base)
     if "://" not in base and base.startswith("/"):
@@ -33,7 +39,34 @@ def staged_twice(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
     read = df.sparkSession.read.schema(df.schema)
-    return read.parquet(path), read.parquet(path)
+    out = read.parquet(path), read.parquet(path)
+    for x in out:
+        x._staged_at = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Deletes a staged table that nothing reads any more."""
+    fs, path = open_store(df._staged_at)
+    fs.delete_dir(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files that nothing refers to: its cleaner follows the driver's collector."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        name = f"_{name}"
+        while name in taken:
+            name = f"_{name}"
+        taken.add(name)
+        out.append(name)
+    return out
 
 
 def open_store(uri: str):

@@ -319,16 +319,6 @@ def test_lines_with_an_edit(spark):
     assert sum(got[40 + i] == "" for i in range(40)) >= 24
 
 
-def test_near_hashes_share_a_key():
-    rng = np.random.default_rng(0)
-    for _ in range(50):
-        h = rng.integers(0, 2**63, (1, 2), dtype=np.uint64)
-        g = h.copy()
-        for b in rng.choice(128, lines.BLOCKS - lines.KEEP, replace=False):
-            g[0, b // 64] ^= np.uint64(1) << np.uint64(b % 64)
-        assert (lines.block_keys(h) == lines.block_keys(g)).any()
-
-
 def _edited(rng, text, rate):
     letters, at = list(text), rng.choice(len(text), int(rate * len(text)), replace=False)
     for i in at:
@@ -355,26 +345,87 @@ def test_lines_recall(spark):
         assert sum(got[i] == "" for i in range(at + many, at + 2 * many)) >= 0.85 * many, cell
 
 
-def test_lines_chain_in_one_bucket():
-    """L~X~Y with Y unlike L: X and Y are compared though X followed L, in one block and in two."""
-    rows = np.zeros(3, dtype=lines.ENTRY)
-    rows["key"], rows["length"], rows["line"], rows["grp"] = 7, 100, [1, 2, 3], [1, 2, 3]
-    bits = np.zeros((3, 2 * lines.SKETCH), np.uint8)
-    bits[1, 0:80:2] = 1
-    bits[2, 0:160:2] = 1
-    rows["sketch"] = np.packbits(bits, axis=1, bitorder="little").view("<u8")
-    assert lines._starred(rows, 0.9).tolist() == [[2, 1]]
-    rows["grp"] = [1, 1, 3]
-    assert lines._compared(rows, 0.9).tolist() == [[3, 2]]
-    assert lines._crossed(rows, np.array([0, 1]), np.array([2]), 0.9).tolist() == [[3, 2]]
+def _entries(rng, count, length=120):
+    base = _random_lines(rng, 1, length)[0]
+    family = [_edited(rng, base, 0.03) for _ in range(count)]
+    return lines.entries([x.encode() for x in family], np.arange(count))[0], family
 
 
-def test_lines_chain(spark, monkeypatch):
-    monkeypatch.setattr(lines, "BLOCK_LINES", 2)
+def _grouped(pairs, count):
+    root = list(range(count))
+    for a, b in pairs:
+        low, high = sorted((root[a], root[b]))
+        root = [low if r == high else r for r in root]
+    return root
+
+
+def test_lines_of_a_dense_key():
+    """A family of one key gives a forest that spans it, whole and in two blocks; pairs of groups as asked."""
+    rng = np.random.default_rng(3)
+    rows, family = _entries(rng, 60)
+    key = np.unique(rows["key"], return_counts=True)
+    rows = rows[rows["key"] == key[0][key[1].argmax()]]
+    t = lines.Rows(np.concatenate([rows, rows[:5]]))
+    n = len(rows)
+    assert n > lines.SMALL and len(t.key) == n
+    i, j, dense = lines._near_pairs(t, 0.9, np.zeros(1, bool))
+    assert dense.all() and len(i) < n * n / 2
+    every = t.near(*np.triu_indices(n, 1), 0.9)
+    whole = list(zip(*(x[every] for x in np.triu_indices(n, 1))))
+    forest = list(zip(*lines._forest(t, 0.9, np.arange(n))))
+    assert len(forest) < n and _grouped(forest, n) == _grouped(whole, n)
+    cut = np.arange(n) % 2
+    forest = list(zip(*lines._forest(t, 0.9, np.arange(n), cut)))
+    assert _grouped(forest, n) == _grouped([(a, b) for a, b in whole if a % 2 != b % 2], n)
+    i, j = lines._crossing(t, 0.9, np.arange(n) // 10)
+    assert set(zip(i.tolist(), j.tolist())) == {(a, b) for a, b in whole if a // 10 != b // 10}
+
+
+def test_lines_chain(spark):
+    """Forty lines, each like its neighbours only, are one group."""
     base = _random_lines(np.random.default_rng(6), 1, 400)[0]
-    chain = [base[: 40 * k].upper().translate(str.maketrans("AEIOU", "vwxyz".upper())) + base[40 * k :] for k in range(6)]
+    chain = [base[: 9 * k].upper().translate(str.maketrans("AEIOU", "vwxyz".upper())) + base[9 * k :] for k in range(40)]
     got = by_id(lines.dedup_lines(docs(spark, [(i, t, "en", "a") for i, t in enumerate(chain)])), "text")
-    assert got == {0: base, **{i: "" for i in range(1, 6)}}
+    assert got == {0: base, **{i: "" for i in range(1, 40)}}
+
+
+def test_lines_in_blocks(spark, monkeypatch):
+    """The same lines stay when keys are dealt to blocks and families give forests."""
+    rng = np.random.default_rng(9)
+    bases = _random_lines(rng, 4, 150)
+    rows = [(i, "\n".join([_edited(rng, bases[i % 4], 0.01 * (i % 7)), f"{bases[i % 4]} {i}", " ".join(rng.permutation(bases[0].split()))]), "en", "a") for i in range(160)]
+    want = by_id(lines.dedup_lines(docs(spark, rows)), "text")
+    monkeypatch.setattr(lines, "HOT_LINES", 40)
+    monkeypatch.setattr(lines, "BLOCK_LINES", 16)
+    monkeypatch.setattr(lines, "SMALL", 4)
+    monkeypatch.setattr(lines, "DENSE", 1)
+    assert by_id(lines.dedup_lines(docs(spark, rows)), "text") == want
+    assert sum(len(t) for t in want.values()) < 0.4 * sum(len(t) for _, t, *_ in rows)
+
+
+def test_lines_rows_with_shared_ids(spark):
+    """Rows that share a doc_id are rows of their own; of equal rows one stays; helper names may clash."""
+    same = "this line stands in both rows here"
+    frame = spark.createDataFrame([(1, same, 7), (1, "a quite unique line stands in this row", 7), (5, f"{same} x y z w\nok", 7), (5, f"{same} x y z w\nok", 7), (None, same, 7), (2, same, 7)], "doc_id long, text string, _doc int")
+    rows = lines.dedup_lines(frame).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in rows) == [(0, same), (1, "a quite unique line stands in this row"), (1, same), (2, ""), (5, "ok"), (5, f"{same} x y z w\nok")]
+    assert all(r._doc == 7 for r in rows)
+
+
+@pytest.mark.parametrize("length", [12, 20, 34, 60, 100, 104, 279, 700])
+def test_candidates_recall(length):
+    """Lines with one letter changed, and up to 9 % of them, share a key and pass the sieve."""
+    rng = np.random.default_rng(length)
+    for rate in (1.01 / length, 0.02, 0.05, 0.08):
+        met, many = 0, 150
+        if int(rate * length) < 1 or int(rate * length) > 0.1 * length:
+            continue
+        whole = _random_lines(rng, many, length)
+        both = [x.encode() for w in whole for x in (w, _edited(rng, w, rate))]
+        t = lines.Rows(lines.entries(both, np.arange(2 * many))[0])
+        i, j, _ = lines._near_pairs(t, 0.9, np.zeros(len(t.first), bool))
+        met = len({a for a, b in t.pairs(i, j).tolist() if a == b + 1 and b % 2 == 0})
+        assert met >= 0.9 * many, (length, rate, met)
 
 
 def test_long_lines_by_characters(spark):
