@@ -15,6 +15,7 @@ P = pytest.importorskip("public_tokenizers")
 
 from lexmill.llm import bpe, jaccard, langid, lattice, lines, media, mixing, secrets, tokenbin, vectors  # noqa: E402
 from lexmill.llm._graph import components  # noqa: E402
+from lexmill.llm.edits import edit_distances  # noqa: E402
 from lexmill.llm._shared import open_store, shared_dir  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, held string"
@@ -377,8 +378,36 @@ def test_lines_of_a_dense_key():
     cut = np.arange(n) % 2
     forest = list(zip(*lines._forest(t, 0.9, np.arange(n), cut)))
     assert _grouped(forest, n) == _grouped([(a, b) for a, b in whole if a % 2 != b % 2], n)
-    i, j = lines._crossing(t, 0.9, np.arange(n) // 10)
-    assert set(zip(i.tolist(), j.tolist())) == {(a, b) for a, b in whole if a // 10 != b // 10}
+    norms = [family[x] for x in t.line]
+    links = list(zip(*lines._joined(t, norms, np.arange(n) // 10, 0.9)))
+    true = [(a, b) for a, b in whole if lines.alike([norms[a]], [norms[b]], 0.9)[0]]
+    same = [(a, a + 1) for a in range(n - 1) if a // 10 == (a + 1) // 10]
+    assert set(links) <= {(a, b) for a, b in true if a // 10 != b // 10} and _grouped(links + same, n) == _grouped(true + same, n)
+
+
+def test_edit_distances():
+    def slow(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    rng, left, right = np.random.default_rng(0), ["", "a", "", "same"], ["", "", "bc", "same"]
+    for _ in range(120):
+        a = list(rng.choice(list("abcñ "), rng.integers(0, 200)))
+        b = list(a) if rng.random() < 0.8 else list(rng.choice(list("abc"), rng.integers(0, 150)))
+        for _ in range(rng.integers(0, 14)):
+            k = int(rng.integers(0, len(b) + 1))
+            b[k : k + int(rng.integers(0, 3))] = list(rng.choice(list("xé"), rng.integers(0, 2)))
+        left.append("".join(a))
+        right.append("".join(b))
+    want = [slow(a, b) for a, b in zip(left, right)]
+    for share in (0, 0.05, 0.1, 0.4, 1):
+        most = [int(share * max(len(a), len(b))) for a, b in zip(left, right)]
+        assert all(d == w if w <= m else d > m for d, w, m in zip(edit_distances(left, right, most).tolist(), want, most))
 
 
 def test_lines_chain(spark):
