@@ -3,8 +3,8 @@
 A batch's texts are split by the pattern. Its pieces that are not known yet become token-position
 rows (piece, place, token id); one recursive query joins adjacent tokens to the merge table and
 contracts each piece's leftmost pair of least rank, for all pieces at once, until no pair is left.
-Decoding is an ordered aggregation of the token's bytes by place. Pieces are remembered, up to
-CACHE_PIECES, so each is encoded about once a worker.
+A piece that is a token is that token. Pieces are remembered, up to CACHE_PIECES, so each is encoded
+about once a worker. Decoding is an ordered aggregation, by document, of the bytes of its ids.
 
 A recursive query takes a step per merge, which is quadratic in the length of a piece; pieces of
 over LONG_PIECE bytes (a run of letters without a break) are contracted in the same order by a heap.
@@ -30,6 +30,7 @@ from ._shared import MEMORIES, Remembered, only
 CACHE_PIECES = 600_000
 QUERY_PIECES = 50_000
 QUERY_BYTES = 800_000
+QUERY_TOKENS = 400_000
 LONG_PIECE = 1024
 
 #: One window over all pieces gives each token its neighbour; a pair's rank and place in one number
@@ -52,10 +53,12 @@ WITH RECURSIVE state(step, piece, place, token) AS (
 SELECT s.piece, s.place, s.token
 FROM state s JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) l ON s.piece = l.piece AND s.step = l.step
 """
-#: Ids of a piece in order, and what they decode to.
-COLLECT = """
-SELECT t.piece, list(t.token ORDER BY t.place) AS ids, string_agg(v.hex, '' ORDER BY t.place) AS hex
-FROM tokens t JOIN vocabulary v ON v.token = t.token GROUP BY t.piece
+#: Ids of a piece in order.
+COLLECT = "SELECT piece, list(token ORDER BY place) AS ids FROM tokens GROUP BY piece"
+#: What the ids of each document decode to: the tokens' bytes in order, as characters of the same numbers.
+DECODE = """
+SELECT d.document, string_agg(v.bytes, '' ORDER BY d.place) AS bytes
+FROM stream d JOIN vocabulary v ON v.token = d.token GROUP BY d.document
 """
 
 
@@ -97,25 +100,23 @@ def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class PieceCoder:
-    """Ids and decoded bytes of pieces, by DuckDB; lives in a worker."""
+    """Ids of pieces and bytes of ids, by DuckDB; lives in a worker."""
 
     def __init__(self, path: str, pattern: str):
         import duckdb
         import regex
 
         self.ranks = load_ranks(path)
-        self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.find = regex.compile(rust_pattern(pattern)).findall
         self.known = Remembered(CACHE_PIECES)  # piece: its ids
-        self.unlike: dict[str, bytes] = {}  # what a piece decodes to, where that is not the piece
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         rows = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self._load("merges", {"first": [x[0] for x in rows], "second": [x[1] for x in rows], "merged": [x[2] for x in rows]}, "*, CAST(merged AS BIGINT) AS rank")
-        self._load("vocabulary", {"token": list(self.bytes_of), "hex": [t.hex() for t in self.bytes_of.values()]}, "*")
+        self._load("vocabulary", {"token": list(self.ranks.values()), "bytes": [t.decode("latin-1") for t in self.ranks]}, "*")
 
     def _load(self, name: str, columns: dict[str, list], what: str) -> None:
-        self.db.register("loading", pa.table({k: pa.array(v, pa.string() if k == "hex" else pa.int32()) for k, v in columns.items()}))
+        self.db.register("loading", pa.table({k: pa.array(v, pa.string() if k == "bytes" else pa.int32()) for k, v in columns.items()}))
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT {what} FROM loading")
         self.db.unregister("loading")
 
@@ -130,10 +131,8 @@ class PieceCoder:
         self.db.unregister("seed")
         ids = found.column("ids").combine_chunks()
         flat, starts = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
-        for k, i, decoded in zip(range(len(ids)), found.column("piece").to_pylist(), found.column("hex").to_pylist()):
+        for k, i in enumerate(found.column("piece").to_pylist()):
             self.known.young[pieces[i]] = flat[starts[k] : starts[k + 1]].tobytes()
-            if decoded != raw[i].hex():
-                self.unlike[pieces[i]] = bytes.fromhex(decoded)
 
     def learn(self, pieces: set[str]) -> None:
         """Encodes the pieces that are not known yet."""
@@ -141,11 +140,11 @@ class PieceCoder:
         batch, raw, size = [], [], 0
         for piece in new:
             b = piece.encode()
+            if (whole := self.ranks.get(b)) is not None:  # a piece of the vocabulary is its own token
+                self.known.young[piece] = whole.to_bytes(4, "little")
+                continue
             if len(b) > LONG_PIECE:
-                ids = merge_long(b, self.ranks)
-                self.known.young[piece] = np.array(ids, dtype="<u4").tobytes()
-                if (decoded := b"".join(self.bytes_of[i] for i in ids)) != b:
-                    self.unlike[piece] = decoded
+                self.known.young[piece] = np.array(merge_long(b, self.ranks), dtype="<u4").tobytes()
                 continue
             batch.append(piece)
             raw.append(b)
@@ -160,10 +159,27 @@ class PieceCoder:
         """(ids as little-endian 32-bit integers, decoded bytes) of each text."""
         split = [self.find(t) if t else [] for t in texts]
         self.learn(set(chain.from_iterable(split)))
-        get, unlike = self.known.young.__getitem__, self.unlike
+        get = self.known.young.__getitem__
         ids = [b"".join(map(get, pieces)) for pieces in split]
-        decoded = [b"".join(unlike.get(p) or p.encode() for p in pieces) if unlike else "".join(pieces).encode() for pieces in split]
-        return list(zip(ids, decoded))
+        return list(zip(ids, self.decode(ids)))
+
+    def decode(self, documents: list[bytes]) -> list[bytes]:
+        """The bytes that each document's ids (little-endian 32-bit integers) stand for."""
+        out, at = [b""] * len(documents), 0
+        while at < len(documents):
+            upto, many = at, 0
+            while upto < len(documents) and (upto == at or many + len(documents[upto]) // 4 <= QUERY_TOKENS):
+                many += len(documents[upto]) // 4
+                upto += 1
+            token = np.frombuffer(b"".join(documents[at:upto]), dtype="<u4").astype(np.int32)
+            document = np.repeat(np.arange(at, upto, dtype=np.int32), [len(x) // 4 for x in documents[at:upto]])
+            self.db.register("stream", pa.table({"document": document, "place": np.arange(len(token), dtype=np.int32), "token": token}))
+            found = self.db.sql(DECODE).to_arrow_table()
+            self.db.unregister("stream")
+            for k, text in zip(found.column("document").to_pylist(), found.column("bytes")):
+                out[k] = text.as_py().encode("latin-1")
+            at = upto
+        return out
 
 
 _coders: dict[str, PieceCoder] = {}
