@@ -42,7 +42,7 @@ GROUP_ROWS = 256
 COMMON = 64
 COLUMNS = 4096
 LARGE_LABELS = 100_000
-DEALS = 1
+DEAL_TOKENS = 1_000_000  # about as many tokens of groups are dealt to a task
 CHUNK_TOKENS, CHUNK_DOCS = 1_500_000, 65_000
 KNOWN_WORDS = 250_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -333,7 +333,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     a, b = np.concatenate(left), np.concatenate(right)
     rows, columns = (np.repeat(np.arange(len(x)), [len(t) for t in x]) for x in (left, right))
     shared = np.intersect1d(np.unique(a), np.unique(b), assume_unique=True)
-    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    out = np.zeros((len(left), len(right)))
     for tokens, owner in ((a, rows), (b, columns)):
         order = np.argsort(tokens, kind="stable")
         tokens[:], owner[:] = tokens[order], owner[order]
@@ -371,7 +371,7 @@ def _open_pair(sides: list[tuple[np.ndarray, list[np.ndarray]]], percent: int) -
     left, right = rows
     if not len(left) or not len(right):
         return ids[:0], ids[:0]
-    inter = _overlaps([sets[i] for i in left], [sets[i] for i in right])
+    inter = np.rint(_overlaps([sets[i] for i in left], [sets[i] for i in right])).astype(np.int64)
     i, j = np.nonzero(inter * 100 >= (sizes[left][:, None] + sizes[right][None, :] - inter) * percent)
     i, j = left[i], right[j]
     root = ids.copy()
@@ -435,7 +435,8 @@ def link_groups(members: DataFrame, words, percent: int = PERCENT) -> DataFrame:
     # a pair goes where its smaller group is dealt; a deal gets each of its groups' texts once
     sized = pairs.unionByName(inside).join(sizes.select(F.col("grp").alias("g1"), F.col("n").alias("n1")), "g1").join(sizes.select(F.col("grp").alias("g2"), F.col("n").alias("n2")), "g2")
     smaller = F.when(F.col("n1") <= F.col("n2"), F.col("g1")).otherwise(F.col("g2"))
-    pairs = sized.select(F.pmod(F.xxhash64(smaller), F.lit(DEALS * partitions(members.sparkSession))).alias("deal"), "g1", "g2")
+    tokens = members.agg(F.sum("n")).first()[0] or 0
+    pairs = sized.select(F.pmod(F.xxhash64(smaller), F.lit(max(partitions(members.sparkSession), -(-tokens // DEAL_TOKENS)))).alias("deal"), "g1", "g2")
     pairs = staged(pairs, "group-pairs")
     needed = pairs.select("deal", F.explode(F.array("g1", "g2")).alias("grp")).distinct()
     rows = needed.join(members, "grp").select("deal", "grp", "id", "text").unionByName(pairs, allowMissingColumns=True)
