@@ -38,6 +38,7 @@ OCCUPANCY = 512
 PROBES = 4
 SCALE = 8.0
 BLOCK_ROWS = 1024
+MOST_GROUPS, MOST_TABLES = 12, 64
 SEED = 88
 
 
@@ -117,7 +118,13 @@ def cells(unit: np.ndarray, matrix: np.ndarray, probes: int) -> np.ndarray:
 
 
 def plan_tables(dims: int, count: int, cosine: float = COSINE, miss: float = MISS, probes: int = PROBES) -> tuple[int, int]:
-    """(groups, tables) for ``count`` vectors of a length, by simulation."""
+    """(groups, tables) for ``count`` vectors of a length.
+
+    Groups are independent of each other, so the share of random pairs in one cell is that of one group
+    to the power of their number; it is simulated for one group and carried on to any number of vectors.
+    Tables follow from simulated pairs at the threshold. Where more than MOST_TABLES would be needed,
+    groups are taken away: cells are larger then, and their blocks more, but the miss rate holds.
+    """
     rng = np.random.default_rng(SEED)
     a, b = rng.normal(size=(2, 1500, dims))
     a /= np.linalg.norm(a, axis=1)[:, None]
@@ -126,19 +133,26 @@ def plan_tables(dims: int, count: int, cosine: float = COSINE, miss: float = MIS
         b = cosine * a + math.sqrt(max(0.0, 1 - cosine**2)) * b / np.linalg.norm(b, axis=1)[:, None]
     else:
         b = a
-    for groups in range(1, 9):
+    one = cells(a, projections(dims, 1, 8), 0)[:, :, 0]
+    pairs = len(a) * (len(a) - 1)
+    shared = max(1 / pairs, np.mean([(n * (n - 1)).sum() / pairs for n in (np.unique(one[:, t], return_counts=True)[1] for t in range(8))]))
+    groups = 1
+    while groups < MOST_GROUPS and shared < 1 and count * shared**groups > OCCUPANCY:
+        groups += 1
+    while True:
         matrix = projections(dims, groups, 2)
         x, y = cells(a, matrix, probes), cells(b, matrix, probes)
-        shared = np.mean([(np.unique(x[:, t, 0], return_counts=True)[1].astype(float) ** 2).sum() for t in range(2)]) / len(a) ** 2
-        if count * shared <= OCCUPANCY or shared <= 2 / len(a):
-            break
-    met = ((x[:, :, :1] == y).any(axis=2) | (y[:, :, :1] == x).any(axis=2)).mean()
-    return groups, min(64, max(2, math.ceil(math.log(miss) / math.log(max(1e-9, 1 - min(met, 0.999))))))
+        met = ((x[:, :, :1] == y).any(axis=2) | (y[:, :, :1] == x).any(axis=2)).mean()
+        tables = max(2, math.ceil(math.log(miss) / math.log(1 - min(met, 0.999)))) if met > 0 else MOST_TABLES + 1
+        if tables <= MOST_TABLES or groups == 1:
+            return groups, tables
+        groups -= 1
 
 
 def _unit(column: pa.Array, dims: int) -> np.ndarray:
     x = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     x = x.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+    x = x / np.abs(x).max(axis=1)[:, None]  # squares neither overflow nor vanish
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
@@ -188,7 +202,8 @@ def _block_links(dims: int, matrix: np.ndarray, cosine: float, probes: int):
 def link_vectors(vectors: DataFrame, cosine: float = COSINE, miss: float = MISS, probes: int = PROBES) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding)."""
     spark = vectors.sparkSession
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    exact = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if exact else "array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
     valid = rows.where(good & F.col("vec_id").isNotNull())

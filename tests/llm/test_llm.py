@@ -90,8 +90,7 @@ def test_token_binary(spark, monkeypatch):
     from tokenizers import Tokenizer
 
     path = P.path("word_bpe_49k.json")
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(path)  # as the library has it: added tokens are found in texts
     got = by_id(tokenbin.tokens_to_shards(docs(spark), path), "start", "n_tokens", "ids_crc32")
     start = 0
     for i, text, *_ in TEXTS:
@@ -288,6 +287,17 @@ def test_link_counts_once_per_pair(spark, monkeypatch):
     assert {r.n_links for r in got} == {49} and {r.component_id for r in got} == {0}
 
 
+def test_plan_follows_the_number_of_vectors():
+    plans = [vectors.plan_tables(64, n) for n in (10**5, 10**7, 10**9)]
+    assert plans[0][0] < plans[1][0] <= plans[2][0] and all(t <= vectors.MOST_TABLES for _, t in plans)
+
+
+def test_double_vectors(spark):
+    rows = [(1, [1e60, 2e60]), (2, [1e-200, 2e-200]), (3, [1.0, 2.0]), (4, [2.0, -1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
 # --- 9 lines ---------------------------------------------------------------------------------------------------------
 def test_lines(spark):
     long_ = " ".join(f"palabra{i}" for i in range(200))
