@@ -203,7 +203,8 @@ class WordEncoder:
     The tokenizer folds case and its splits never cross white space, nor run from a letter or digit
     into ASCII punctuation, so a text's ids are those of its words in order, and a word's those of
     its stem and of the punctuation after it. New stems are encoded many at a time, between
-    separators that no stem holds. Words are numbered and their ids lie in one array; words and stems
+    separators that no stem holds. Texts that hold an added token, and all texts if the tokenizer does
+    not split so, go to the library whole. Words are numbered and their ids lie in one array; words and stems
     are remembered, up to about CACHE_WORDS each.
     """
 
@@ -215,7 +216,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = sorted({t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()})
+        self.stemmed = self._splits_as_known()
         ids = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
         self.separator = ids[0] if len(ids) == 1 else None
         vocabulary = self.tokenizer.get_vocab()
@@ -224,6 +226,15 @@ class WordEncoder:
         self.stems = Remembered(CACHE_WORDS)
         self._forget()
 
+    def _splits_as_known(self) -> bool:
+        """Whether texts may be cut at white space and before punctuation, told from what the tokenizer does."""
+        whole = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        for text in ("Some words, (and) MORE! don't stop-it: a.b c_d", "Él niño 12,5 über; ñandú... x=y", "one\ttwo\n\n three"):
+            parts = [x for w in text.lower().split() for x in (w.rstrip(self.TRAILING.decode()), w[len(w.rstrip(self.TRAILING.decode())) :])]
+            if whole(text) != [i for p in parts for i in whole(p)]:
+                return False
+        return True
+
     def _forget(self) -> None:
         self.words, self.flat = _Numbers(), np.empty(0, np.uint32)
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -295,7 +306,18 @@ class WordEncoder:
         self.lengths = np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(parts), dtype="<u4")])
 
+    def _whole(self, text: bytes | None) -> bool:
+        """Whether a text goes to the library as it is: it may hold an added token, or the tokenizer splits otherwise."""
+        return bool(text) and (not self.stemmed or any(t in text.lower() for t in self.added))
+
     def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        apart = [i for i, t in enumerate(texts) if self._whole(t)]
+        out = self._by_words([None if self._whole(t) else t for t in texts] if apart else texts)
+        for i in apart:
+            out[i] = np.array(self.tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids, dtype=np.uint32)
+        return out
+
+    def _by_words(self, texts: list[bytes | None]) -> list[np.ndarray]:
         if len(self.words) > CACHE_WORDS:
             self._forget()
         number, self.words.new = self.words.__getitem__, []
