@@ -5,16 +5,16 @@ source's target becomes whole passes over its blocks plus a prefix of one more p
 selection on word sums (no sort, no window over documents). The integer block quotas of all sources
 are split between halves of the output shards, again and again, by multivariate hypergeometric
 draws, so that each shard knows how many blocks of each source it holds. Shard k then takes the next
-blocks of each source's permuted sequence, which are disjoint by construction, and orders its
-documents by a shard-local key.
+blocks of each source's permuted sequence, which are disjoint by construction; documents join their
+blocks, which says what is taken, and each shard orders its documents by a local key.
 
-Only one row per source is gathered on the driver (``source`` is a dimension; documented bound
-``MAX_SOURCES``), never a row per document.
+Only one row per source (``source`` is a dimension; documented bound ``MAX_SOURCES``) and the top of
+the tree pass the driver; tasks split the rest, and no array grows with the number of shards.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order; sources
 without words have target 0; an empty table gives no rows; rows that repeat a doc_id are mixed each
 for itself; columns that clash with the result's names are ignored by ``mix_sizes`` and kept by
-``mix_documents`` (whose helper columns carry an ``_mix_`` prefix).
+``mix_documents`` (helper columns take free names).
 """
 
 from __future__ import annotations
@@ -22,15 +22,17 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import staged
+from ._shared import free_names, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_SOURCES = 1_000_000
 BLOCK_WORDS = 65_536
-SHARD_WORDS = 16_000_000
+SHARD_WORDS = 8_000_000
+SUBTREES = 1024
 AXIS_BITS, LEVEL_BITS, LEVELS = 60, 12, 3
 
 
@@ -91,8 +93,47 @@ def _boundaries(docs: DataFrame, need: DataFrame) -> DataFrame:
     return state
 
 
-def plan_mix(sizes: DataFrame, weights=(5.0, 2.0, 1.0), share=1.5, cap=2.0, seed=20, block_words=BLOCK_WORDS, shard_words=SHARD_WORDS) -> DataFrame:
-    """One row per source: target, whole passes, boundary prefix, block bits, cuts between shards.
+def subtrees(quotas: np.ndarray, shards: int, most: int, rng: np.random.Generator) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The top of the tree, at most about ``most`` nodes: (first shard, shards, quotas, blocks before) of each."""
+    nodes = [(0, shards, quotas)]
+    while len(nodes) < most and any(n > 1 for _, n, _ in nodes):
+        lower = []
+        for first, n, own in nodes:
+            if n > 1:
+                left, total = n // 2, int(own.sum())
+                drawn = rng.multivariate_hypergeometric(own, total * left // n, method="marginals") if total else own * 0
+                lower += [(first, left, drawn), (first + left, n - left, own - drawn)]
+            else:
+                lower.append((first, n, own))
+        nodes = lower
+    before = np.cumsum([own for _, _, own in nodes], axis=0) - [own for _, _, own in nodes]
+    return [(first, n, own, start) for (first, n, own), start in zip(nodes, before)]
+
+
+def shard_blocks(spark: SparkSession, quotas: np.ndarray, shards: int, seed: int) -> DataFrame:
+    """(src, at, shard): which shard draws the block at a place of a source's permuted sequence.
+
+    The driver splits down to SUBTREES nodes; tasks split those to shards.
+    """
+    nodes = subtrees(quotas, shards, SUBTREES, np.random.default_rng(seed))
+    rows = [(f, n, own.tolist(), start.tolist()) for f, n, own, start in nodes if len(own)]
+
+    def task(batches):
+        for batch in batches:
+            for first, n, own, start in zip(*(c.to_pylist() for c in batch.columns)):
+                counts = split_quotas(np.array(own, dtype=np.int64), n, np.random.default_rng([seed, first]))
+                for i, (blocks, at) in enumerate(zip(own, start)):
+                    shard = np.repeat(np.arange(first, first + n), counts[:, i])
+                    for k in range(0, blocks, 100_000):
+                        some = shard[k : k + 100_000]
+                        yield pa.RecordBatch.from_pydict({"src": np.full(len(some), i, np.int32), "at": np.arange(at + k, at + k + len(some)), "shard": some})
+
+    frame = spark.createDataFrame(rows, "first long, shards long, quotas array<long>, before array<long>")
+    return frame.repartition(max(1, min(len(rows), 64))).mapInArrow(task, "src int, at long, shard long")
+
+
+def plan_mix(sizes: DataFrame, weights=(5.0, 2.0, 1.0), share=1.5, cap=2.0, seed=20, block_words=BLOCK_WORDS, shard_words=SHARD_WORDS) -> tuple[DataFrame, DataFrame, int]:
+    """One row per source (target, whole passes, boundary prefix, block bits), the blocks of shards, and how many shards.
 
     ``sizes`` has source, size (words) and axis.
     """
@@ -110,39 +151,48 @@ def plan_mix(sizes: DataFrame, weights=(5.0, 2.0, 1.0), share=1.5, cap=2.0, seed
     partial = [(e + (1 << (LEVELS * LEVEL_BITS - b)) - 1) >> (LEVELS * LEVEL_BITS - b) for e, b in zip(prefix, bits)]
     quotas = np.array([p * (1 << b) + x for p, b, x in zip(passes, bits, partial)], dtype=np.int64)
     shards = max(1, math.ceil(sum(targets) / shard_words))
-    counts = split_quotas(quotas, shards, np.random.default_rng(seed)) if len(words) else np.zeros((1, 0), dtype=np.int64)
-    cuts = np.cumsum(counts, axis=0)
-    rows = [(s, n, float(t), p, e, b, [int(x) for x in cuts[:-1, i]]) for i, ((s, n), t, p, e, b) in enumerate(zip(totals, targets, passes, prefix, bits))]
-    return spark.createDataFrame(rows, "_mix_source string, source_size long, target double, _mix_passes int, _mix_prefix long, _mix_bits int, _mix_cuts array<long>")
+    rows = [(s, i, n, float(t), p, e, b) for i, ((s, n), t, p, e, b) in enumerate(zip(totals, targets, passes, prefix, bits))]
+    plan = spark.createDataFrame(rows, "plan_source string, src int, source_size long, target double, passes int, prefix long, bits int")
+    return plan, shard_blocks(spark, quotas, shards, seed), shards
 
 
-def apply_mix(docs: DataFrame, plan: DataFrame, source: str, axis: str) -> DataFrame:
-    """Adds _mix_copies and _mix_shards (the shard of each copy) to rows with a source and an axis column."""
-    out = docs.join(plan, docs[source].eqNullSafe(plan["_mix_source"]))
-    copies = F.col("_mix_passes") + (F.shiftright(axis, AXIS_BITS - LEVELS * LEVEL_BITS) < F.col("_mix_prefix")).cast("int")
-    out = out.withColumn("_mix_copies", copies)
-    block = F.expr(f"shiftright({axis}, {AXIS_BITS} - _mix_bits)")
-    out = out.withColumn("_mix_block", block)
-    shards = F.expr("transform(if(_mix_copies > 0, sequence(0, _mix_copies - 1), array()), e -> size(filter(_mix_cuts, c -> c <= e * shiftleft(1L, _mix_bits) + _mix_block)))")
-    return out.withColumn("_mix_shards", shards)
+def drawn_copies(docs: DataFrame, plan: DataFrame, blocks: DataFrame, axis: str, keep: list[str], copy: str, shard: str) -> DataFrame:
+    """The ``keep`` columns of docs, a row for each copy that a shard's block quota draws, with its number and shard.
+
+    A copy stands in block ``copy * 2^bits + block of its axis``; of the last pass, what lies before the
+    boundary is offered. ``docs`` has source and the ``axis`` column.
+    """
+    a, some = plan.alias("p"), docs.alias("d")
+    b = blocks.select(F.col("src").alias("block_src"), F.col("at").alias("block_at"), F.col("shard").alias("block_shard"))
+    joined = some.join(a, F.col("d.source").eqNullSafe(F.col("p.plan_source")))
+    position = F.col(f"d.{axis}")
+    copies = F.col("p.passes") + (F.shiftright(position, AXIS_BITS - LEVELS * LEVEL_BITS) < F.col("p.prefix")).cast("int")
+    offered = joined.select(F.struct(*[F.col(f"d.`{c}`") for c in keep]).alias("d"), F.struct("p.*").alias("p"), F.explode(F.when(copies > 0, F.sequence(F.lit(0), copies - 1)).otherwise(F.array().cast("array<int>"))).alias("n"))
+    at = F.expr(f"n * shiftleft(1L, p.bits) + shiftright(d.`{axis}`, {AXIS_BITS} - p.bits)")
+    drawn = offered.withColumn("at", at).join(b, (F.col("p.src") == F.col("block_src")) & (F.col("at") == F.col("block_at")))
+    return drawn.select(*[F.col(f"d.`{c}`").alias(c) for c in keep], F.col("n").alias(copy), F.col("block_shard").alias(shard))
 
 
 def mix_sizes(docs: DataFrame, seed: int = 20, **options) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken, copies, shards."""
-    sizes = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), axis_position(seed, "doc_id", "text").alias("axis")), "mix")
-    plan = plan_mix(sizes, seed=seed, **options)
-    out = apply_mix(sizes, plan, "source", "axis")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("_mix_copies")).alias("taken"), F.col("_mix_copies").alias("copies"), F.col("_mix_shards").alias("shards"))
+    row = F.monotonically_increasing_id().alias("row")
+    sizes = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), axis_position(seed, "doc_id", "text").alias("axis"), row), "mix")
+    plan, blocks, _ = plan_mix(sizes, seed=seed, **options)
+    drawn = drawn_copies(sizes, plan, blocks, "axis", ["row", "axis"], "copy", "shard").groupBy("row").agg(F.count("*").cast("int").alias("copies"), F.sort_array(F.collect_list("shard")).alias("shards"))
+    out = sizes.join(plan, sizes["source"].eqNullSafe(plan["plan_source"])).join(drawn, "row", "left")
+    copies = F.coalesce("copies", F.lit(0))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"), F.coalesce("shards", F.array().cast("array<long>")).alias("shards"))
 
 
 def mix_documents(docs: DataFrame, seed: int = 20, **options) -> DataFrame:
     """The mixed rows with the columns of ``docs``: a document taken twice appears twice, one not taken goes.
 
-    Rows of an output shard lie together, in the order of a shard-local key.
+    Rows of an output shard lie together in one partition, in the order of a shard-local key.
     """
-    keyed = docs.withColumn("_mix_size", word_count(F.col("text"))).withColumn("_mix_axis", axis_position(seed, "doc_id", "text"))
-    sizes = staged(keyed.select("source", F.col("_mix_size").alias("size"), F.col("_mix_axis").alias("axis")), "mix")
-    plan = plan_mix(sizes, seed=seed, **options).select("_mix_source", "_mix_passes", "_mix_prefix", "_mix_bits", "_mix_cuts")
-    drawn = apply_mix(keyed, plan, "source", "_mix_axis").select(*[docs[c] for c in docs.columns], "_mix_axis", F.posexplode("_mix_shards").alias("_mix_copy", "_mix_shard"))
-    local = F.xxhash64(F.lit(seed + 1), "_mix_shard", "_mix_axis", "_mix_copy")
-    return drawn.withColumn("_mix_order", local).repartition("_mix_shard", F.pmod("_mix_order", F.lit(64))).sortWithinPartitions("_mix_shard", "_mix_order").select(*docs.columns)
+    axis, copy, shard, order = free_names(docs, "axis", "copy", "shard", "order")
+    keyed = docs.withColumn(axis, axis_position(seed, "doc_id", "text"))
+    sizes = staged(docs.select("source", word_count(F.col("text")).alias("size"), axis_position(seed, "doc_id", "text").alias("axis")), "mix")
+    plan, blocks, shards = plan_mix(sizes, seed=seed, **options)
+    drawn = drawn_copies(keyed, plan, blocks, axis, [*docs.columns, axis], copy, shard)
+    local = F.xxhash64(F.lit(seed + 1), F.col(shard), F.col(axis), F.col(copy))
+    return drawn.withColumn(order, local).repartition(shards, shard).sortWithinPartitions(shard, order).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -55,6 +55,9 @@ def test_language_id(spark):
     assert langid.language_id(docs(spark).limit(0)).count() == 0
     kept = langid.keep_identified(docs(spark))
     assert kept.columns == docs(spark).columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 8, 9, 10, 11, 12}
+    odd = docs(spark, TEXTS + [(13, "ᚠᚢᚦᚨᚱᚲ ᚷᚹᚺᚾᛁᛃ ᛇᛈᛉᛊᛏᛒ ᛖᛗᛚᛜᛞᛟ " * 20, None, "a")]).withColumnsRenamed({"held": "_text", "score": "_lang_pred"})
+    kept = langid.keep_identified(odd)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 8, 9, 10, 11, 12}
 
 
 def test_grams_and_bundles():
@@ -207,6 +210,13 @@ def test_tree():
     assert counts.shape == (5, 3) and (counts.sum(axis=0) == [7, 0, 100]).all() and (counts >= 0).all()
 
 
+def test_subtrees():
+    quotas = np.array([700, 0, 33])
+    nodes = mixing.subtrees(quotas, 37, 8, np.random.default_rng(1))
+    assert 8 <= len(nodes) <= 16 and sum(n for _, n, _, _ in nodes) == 37 and (sum(own for _, _, own, _ in nodes) == quotas).all()
+    assert all((before == sum((own for f, _, own, _ in nodes if f < first), np.zeros(3, int))).all() for first, _, _, before in nodes)
+
+
 def test_mixing(spark):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(["w"] * int(rng.integers(0, 30))), "en", [None, "b", "a", "é"][i % 4]) for i in range(400)] + [(500, None, "en", "a")]
@@ -220,6 +230,21 @@ def test_mixing(spark):
         taken[s] += r.taken
         targets[s] = r.target
         assert r.taken <= 2 * r.size and len(r.shards) == r.copies
+    def brute_targets(total, weight):
+        """Shares by weight; sources over twice their size are fixed at that, one by one, and the rest reshared."""
+        fixed = {}
+        while True:
+            rest = 1.5 * sum(total.values()) - sum(fixed.values())
+            open_ = [s for s in total if s not in fixed]
+            share = {s: rest * weight[s] / sum(weight[x] for x in open_) for s in open_}
+            over = [s for s in open_ if share[s] > 2 * total[s]]
+            if not over:
+                return fixed | share
+            fixed[over[0]] = 2 * total[over[0]]
+
+    points = sorted(sizes, key=lambda s: (s is None, s or ""))
+    brute = brute_targets(sizes, {s: (5, 2, 1)[k % 3] for k, s in enumerate(points)})
+    assert all(targets[s] == pytest.approx(brute[s]) for s in points)
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     want = mixing.fill_targets([sizes[s] for s in order], [[5, 2, 1][i % 3] for i in range(len(order))], 1.5, 2)
     assert [targets[s] for s in order] == pytest.approx(want)
