@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import MEMORIES, Remembered, only
+from ._shared import MEMORIES, Remembered, free_names, only
 
 CACHE_PIECES = 600_000
 QUERY_PIECES = 50_000
@@ -207,4 +207,4 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep: list[
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
     schema = [*fields, "n_tokens long", "ids_sha256 string", "decoded_sha256 string", *["ids array<int>"] * ids]
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(task, ", ".join(schema))
+    return docs.select(*keep, F.col("text").alias(*free_names(docs, "text"))).mapInArrow(task, ", ".join(schema))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import MEMORIES, only
+from ._shared import MEMORIES, free_names, only
 
 DIMS = 1024
 GRAM = 3
@@ -179,7 +179,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str]
             yield pa.RecordBatch.from_arrays(out, names=[*keep, *result])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(task, ", ".join([*fields, f"`{result[0]}` string", f"`{result[1]}` double"]))
+    return docs.select(*keep, F.col("text").alias(*free_names(docs, "text"))).mapInArrow(task, ", ".join([*fields, f"`{result[0]}` string", f"`{result[1]}` double"]))
 
 
 def remainder(doc_id: Column, n: int) -> Column:
@@ -193,14 +193,22 @@ def language_id(docs: DataFrame, dims: int = DIMS) -> DataFrame:
     return identify(keyed, prototypes, ["doc_id", "held_out"], dims)
 
 
-def keep_identified(docs: DataFrame, languages: set[str] | None = None, least: float = 0.0, dims: int = DIMS) -> DataFrame:
+#: Cosines of texts without any n-gram of a language lie about 0 with a deviation of 1 / sqrt(DIMS).
+CHANCE = 4
+
+
+def keep_identified(docs: DataFrame, languages: set[str] | None = None, least: float | None = None, dims: int = DIMS) -> DataFrame:
     """Documents whose predicted language is known (and in ``languages``) with a cosine of at least ``least``.
 
-    ``und`` documents go. The lang column is left as it is; all columns of docs are returned.
+    By default that is CHANCE deviations of what unrelated letters give by chance. ``und`` documents go.
+    The lang column is left as it is; all columns of docs are returned. Rows are judged one by one, so
+    repeated rows and ties share a fate.
     """
+    least = CHANCE / dims**0.5 if least is None else least
     prototypes = learn_prototypes(docs, dims)
-    judged = identify(docs, prototypes, docs.columns, dims, ("_lang_pred", "_lang_score"))
-    good = (F.col("_lang_pred") != UNDETERMINED) & (F.col("_lang_score") >= least)
+    lang, score = free_names(docs, "lang_pred", "lang_score")
+    judged = identify(docs, prototypes, docs.columns, dims, (lang, score))
+    good = (F.col(lang) != UNDETERMINED) & (F.col(score) >= least)
     if languages is not None:
-        good &= F.col("_lang_pred").isin(sorted(languages))
+        good &= F.col(lang).isin(sorted(languages))
     return judged.where(good).select(*docs.columns)
