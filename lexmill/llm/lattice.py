@@ -2,11 +2,14 @@
 
 A word's probability is the sum over all ways to cut it into pieces of an existing vocabulary
 (white space ends a cut, a word starts with the vocabulary's word mark, characters can always be
-spelled by byte pieces); log-space forward recursion gives that marginal. One more path takes a
-training word whole: its count less a discount, over all tokens; the discounts' mass (absolute
-discounting, n1 / (n1 + 2 n2)) is what the cuts into pieces share. A text's score adds its words and
-one end. The vocabulary's own scores start the piece probabilities; expected piece counts over the
-training words (forward and backward recursion) then fit them to the corpus.
+spelled by byte pieces), each piece weighted by the vocabulary's own score; log-space forward
+recursion gives that marginal. A text's score adds its words and one end, which is as likely as it is
+among training tokens. That is ``score``.
+
+Two options change it: ``rounds`` fits the weights by expected piece counts over the training words
+(forward and backward recursion); ``whole_words`` adds a path that takes a training word whole, by
+its count less a discount over all tokens, the discounts' mass (absolute discounting, n1 / (n1 + 2 n2))
+being what the cuts share.
 
 Words recur, so the recursion runs once per distinct word. A task numbers the words of its part of
 the corpus and writes it packed; only (part, word, training count) rows are shuffled: to sum counts,
@@ -33,7 +36,8 @@ from .langid import remainder
 
 MARK = "▁"
 PART_WORDS, PART_TOKENS = 600_000, 6_000_000
-ROUNDS = 2
+ROUNDS = 0
+SPAN = 1 << 15
 LONG_WORD = 256
 NEVER = -1e30
 LN10 = math.log(10)
@@ -142,12 +146,13 @@ def _log_sum(parts: list[np.ndarray]) -> np.ndarray:
     return top + np.log(np.exp(stack - top).sum(axis=0))
 
 
-def forward(logs: list[np.ndarray], spelled: np.ndarray) -> np.ndarray:
-    """Log mass of all cuts of each prefix, (n, L + 1)."""
+def forward(logs: list[np.ndarray], spelled: np.ndarray, known: np.ndarray | None = None) -> np.ndarray:
+    """Log mass of all cuts of each prefix, (n, L + 1); ``known`` are the first columns (by default the empty prefix)."""
     n, width = spelled.shape
+    known = np.zeros((n, 1)) if known is None else known
     mass = np.full((n, width + 1), NEVER)
-    mass[:, 0] = 0.0
-    for j in range(1, width + 1):
+    mass[:, : known.shape[1]] = known
+    for j in range(known.shape[1], width + 1):
         parts = [mass[:, j - 1] + spelled[:, j - 1]]
         parts += [mass[:, j - 1 - k] + logs[k][:, j - 1 - k] for k in range(min(len(logs), j))]
         mass[:, j] = _log_sum(parts)
@@ -183,12 +188,28 @@ def grids(words: list[bytes]):
             yield some, np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(some), width), size[some]
 
 
+def long_score(word: bytes, pieces: Pieces) -> float:
+    """As ``word_scores`` of one word of any length: span by span, carrying the masses that a piece can reach back to."""
+    points = np.frombuffer((MARK + word.decode("utf-8", "replace")).encode("utf-32-le"), dtype=np.uint32)
+    known, at, back = np.zeros((1, 1)), 0, 0
+    while at < len(points):
+        _, logs, spelled = pieces.edges(points[None, at - back : at + SPAN])
+        mass = forward(logs, spelled, known)
+        at = min(at + SPAN, len(points))
+        back = min(pieces.longest, mass.shape[1] - 1)
+        known = mass[:, mass.shape[1] - 1 - back :]
+    return float(known[0, -1])
+
+
 def word_scores(words: list[bytes], pieces: Pieces) -> np.ndarray:
     """Natural log of each word's marginal probability."""
-    out = np.empty(len(words))
-    for some, grid, lengths in grids(words):
+    out, long_ = np.empty(len(words)), np.array([len(w) > SPAN for w in words], dtype=bool)
+    for i in np.flatnonzero(long_):
+        out[i] = long_score(words[i], pieces)
+    short = np.flatnonzero(~long_)
+    for some, grid, lengths in grids([words[i] for i in short]):
         _, logs, spelled = pieces.edges(grid)
-        out[some] = forward(logs, spelled)[np.arange(len(some)), lengths]
+        out[short[some]] = forward(logs, spelled)[np.arange(len(some)), lengths]
     return out
 
 
@@ -263,7 +284,7 @@ def fit_pieces(counts: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> Piec
     return Pieces(names, logs, spelled)
 
 
-def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> DataFrame:
+def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, whole_words: bool = False) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; ``docs`` has doc_id, held_out, text."""
     packed, body = staged_twice(pack_documents(docs), "lm-parts")
     words = packed.select("part", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "x")).select("part", "at", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
@@ -281,8 +302,10 @@ def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> D
         table = Pieces(names, logs, spelled)
         for batch in batches:
             c = batch.column(1).to_numpy()
-            whole = np.where(c > 0, np.log(np.maximum(c - discount, 1e-9) / max(tokens, 1)), NEVER)
-            marginal = np.logaddexp(whole, cut + word_scores(batch.column(0).to_pylist(), table))
+            marginal = word_scores(batch.column(0).to_pylist(), table)
+            if whole_words:
+                whole = np.where(c > 0, np.log(np.maximum(c - discount, 1e-9) / max(tokens, 1)), NEVER)
+                marginal = np.logaddexp(whole, cut + marginal)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marginal)], names=["word", "c", "marginal"])
 
     marked = counts.mapInArrow(mark, "word binary, c long, marginal double")
@@ -324,7 +347,7 @@ def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> D
     return body.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(score, schema)
 
 
-def lm_scores(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> DataFrame:
+def lm_scores(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, whole_words: bool = False) -> DataFrame:
     """Scores all documents, learning from six of seven crc32 remainders of doc_id."""
     held = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
-    return score_documents(docs.select("doc_id", held.alias("held_out"), "text"), vocabulary, rounds)
+    return score_documents(docs.select("doc_id", held.alias("held_out"), "text"), vocabulary, rounds, whole_words)

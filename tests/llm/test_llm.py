@@ -199,6 +199,28 @@ def test_secrets_shortest_of_each_rule(spark):
     assert {r.value for r in rows if r.doc_id in (5, 6, 7, 8, 9)} == {"abc12345", "abcdefgh", "a1b2c3d4e5"}
 
 
+def test_secrets_learn_from_labels(spark):
+    """Labelled findings decide: keys and build numbers of one shape, told apart by the words around them."""
+    rng, texts, label = np.random.default_rng(11), [], []
+    letters = list("abcdefghijklmnopqrstuvwxyz0123456789")
+    for i in range(300):
+        value = "a1" + "".join(rng.choice(letters, 18))
+        secret = bool(rng.random() < 0.5)
+        before = rng.choice(["signing", "private", "login"] if secret else ["build", "commit", "release"])
+        texts.append(f"the {before} {value} was seen here")
+        label.append(float(secret))
+    frame = spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    marks = spark.createDataFrame([(i, 2, x) for i, x in enumerate(label[:200])], "doc_id long, at int, label double")
+    got = by_id(secrets.scan_secrets(frame, marks), "kept")
+    held = [(got[i], bool(label[i])) for i in range(200, 300)]
+    hits = sum(k and x for k, x in held)
+    assert hits / sum(k for k, _ in held) > 0.9 and hits / sum(x for _, x in held) > 0.9
+
+
+def test_secret_features_hide_the_rules():
+    assert not {"fixed_prefix", "named_before", "assigns_before", "assigned", "entropy", "at_sign"} & set(secrets.FEATURES)
+
+
 # --- 6 mixing ----------------------------------------------------------------------------------------------
 def test_targets():
     assert mixing.fill_targets([10, 10, 10], [5, 2, 1], 1.5, 2) == pytest.approx([20.0, 2 / 3 * 25, 1 / 3 * 25])
@@ -525,6 +547,32 @@ def test_lattice_sums_all_cuts():
     assert used[names.index("▁ab")] > 0 and used.sum() <= 15.1
 
 
+def test_long_words_by_spans(monkeypatch):
+    names, weights, spelled = lattice.load_vocabulary(P.path("piece_bpe_32k.model"))
+    pieces = lattice.Pieces(names, np.log(weights / weights.sum()), spelled)
+    words = [("internationalñ" * n)[: 9 * n].encode() for n in (4, 30, 41)] + ["x".encode() * 129]
+    whole = lattice.word_scores(words, pieces)
+    monkeypatch.setattr(lattice, "SPAN", 32)
+    assert lattice.word_scores(words, pieces) == pytest.approx(whole)
+
+
+def brute_score(words, ends):
+    """log10 of the marginal of each word under the vocabulary's own scores, and of the ends."""
+    names, weights, spelled = lattice.load_vocabulary(P.path("piece_bpe_32k.model"))
+    p = dict(zip(names, weights / weights.sum()))
+    single = [p[names[k]] for k in spelled]
+    total = 0.0
+    for word in words:
+        text = "▁" + word.decode()
+        mass = [1.0] + [0.0] * len(text)
+        for i in range(len(text)):
+            for n in range(1, min(len(text) - i, 20) + 1):
+                part = text[i : i + n]
+                mass[i + n] += mass[i] * (p.get(part, 0.0) + (math.prod(single[b] for b in part.encode()) if n == 1 else 0.0))
+        total += math.log10(mass[-1])
+    return total + math.log10(ends)
+
+
 def test_scores(spark):
     got = {r.doc_id: r for r in lattice.lm_scores(docs(spark), P.path("piece_bpe_32k.model")).collect()}
     words = {i: (t or "").encode().lower().split() for i, t, *_ in TEXTS}
@@ -539,6 +587,8 @@ def test_scores(spark):
         base = sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w) + math.log10((ends + 1) / (n + v + 1))
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(w) + 1, sum(counts[x] > 0 for x in w) + 1, n)
         assert r.base_score == pytest.approx(base) and r.score < 0 and math.isfinite(r.score)
+        if sum(map(len, w)) < 1000:
+            assert r.score == pytest.approx(brute_score(w, ends / n))
     assert lattice.lm_scores(docs(spark).limit(0), P.path("piece_bpe_32k.model")).count() == 0
 
 
