@@ -7,7 +7,8 @@ random forest trained on labelled findings then says how likely it is a secret.
 
 Labelled findings come as a table (doc_id, at, label) or, without one, from formats that decide by
 themselves: key formats with fixed prefixes and values assigned to a credential's name are secrets;
-addresses, links, plain words, numbers and placeholders are not. At most ``train_rows`` labelled
+addresses, links, numbers, placeholders and values of little entropy are not. The columns that decide
+there are hidden from the forest, which learns what such values and their surroundings look like. At most ``train_rows`` labelled
 findings (by hash order, a documented bound) fit the forest; everything is scanned and scored.
 
 Defined results: null and empty texts have no findings; a null path is an empty one; repeated rows
@@ -43,7 +44,17 @@ NOT_SECRET = r"(?i)(@|^https?:|^www\.|example|placeholder|changeme|x{6,}|(.)\2{5
 #: Common words and word parts that readable names are made of.
 WORDS = ("the and for that with this from have not are was were been will you your all any can has had but one two our out day get use man new now old see way who its did may " "name user file data test demo mail info page item list type code key id www com org net http html json text line word date time north south east west license version number").split()
 PAIRS = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce".split()
-FEATURES = ["length", "entropy", "digits", "uppers", "vowels", "changes", "pairs", "dictionary", "hexadecimal", "at_sign", "fixed_prefix", "named_before", "assigns_before", "assigned", "path_test", "before_length", "after_length", "before_letters"]
+#: Classes of characters; the share of each transition between two of them is a feature.
+CLASSES = {"lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "other": "[^A-Za-z0-9]"}
+TRANSITIONS = {f"{a}_{b}": f"{x}(?={y})" for a, x in CLASSES.items() for b, y in CLASSES.items()}
+#: Neighbouring words by the hash of their letters, in so many columns a side.
+NEIGHBOURS = 12
+#: What the forest sees. The columns that label findings by rule are not among them.
+FEATURES = [
+    *("length", "digits", "uppers", "vowels", "pairs", "dictionary", "hexadecimal", "path_test", "before_length", "after_length", "before_letters"),
+    *TRANSITIONS,
+    *(f"{side}_{k}" for side in ("before", "after") for k in range(NEIGHBOURS)),
+]
 
 
 def _rate(pattern: str, text: Column) -> Column:
@@ -74,8 +85,14 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     return out.where(F.length("value") >= SHORTEST).withColumn("rule", rule)
 
 
+def _bucket(side: str) -> Column:
+    """Which of NEIGHBOURS columns the letters of a neighbouring word belong to; none if it has no letter."""
+    letters = F.lower(F.regexp_replace(F.col(side), r"[^\p{L}]", ""))
+    return F.when(letters != "", F.pmod(F.xxhash64(letters), F.lit(NEIGHBOURS))).otherwise(-1)
+
+
 def described(found: DataFrame) -> DataFrame:
-    """Adds the FEATURES columns, all doubles."""
+    """Adds the FEATURES columns and those of ``rule_labels``, all doubles."""
     v = F.col("value")
     entropy = F.expr("-aggregate(transform(array_distinct(split(value, '')), c -> (length(value) - length(replace(value, c, ''))) / length(value)), 0D, (s, p) -> s + if(p > 0, p * log2(p), 0D))")
     words = "|".join(sorted((w for w in WORDS if len(w) > 2), key=len, reverse=True))
@@ -85,7 +102,7 @@ def described(found: DataFrame) -> DataFrame:
         "digits": _rate(r"[0-9]", v),
         "uppers": _rate(r"[A-Z]", v),
         "vowels": _rate(r"(?i)[aeiou]", v),
-        "changes": _rate(r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])", v),
+        **{name: _rate(pattern, v) for name, pattern in TRANSITIONS.items()},
         "pairs": _rate(r"(?i)(?=" + "|".join(PAIRS) + ")", v),
         "dictionary": (F.length(v) - F.length(F.regexp_replace(F.lower(v), words, ""))) / F.greatest(F.length(v), F.lit(1)),
         "hexadecimal": v.rlike(r"^[0-9a-fA-F]+$"),
@@ -98,6 +115,7 @@ def described(found: DataFrame) -> DataFrame:
         "before_length": F.length("before"),
         "after_length": F.length("after"),
         "before_letters": _rate(r"\p{L}", F.col("before")),
+        **{f"{side}_{k}": _bucket(side) == k for side in ("before", "after") for k in range(NEIGHBOURS)},
     }
     return found.withColumns({k: c.cast("double") for k, c in columns.items()})
 
@@ -106,7 +124,7 @@ def rule_labels(found: DataFrame) -> Column:
     """1.0, 0.0 or null (undecided) by formats that decide alone."""
     named = (F.col("named_before") > 0) & ((F.col("assigns_before") > 0) | F.col("before").rlike(r"[=:]$"))
     placeholder = F.col("token").rlike(NOT_SECRET)
-    return F.when(placeholder, 0.0).when((F.col("fixed_prefix") > 0) | (F.col("assigned") > 0) | named, 1.0).when((F.col("entropy") < 2.5) | (F.col("dictionary") > 0.5), 0.0)
+    return F.when(placeholder, 0.0).when((F.col("fixed_prefix") > 0) | (F.col("assigned") > 0) | named, 1.0).when(F.col("entropy") < 2.5, 0.0)
 
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source", train_rows: int = TRAIN_ROWS, trees: int = 20, threshold: float = 0.5, seed: int = 5) -> DataFrame:
