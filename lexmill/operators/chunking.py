@@ -58,14 +58,19 @@ def pack_paragraphs(c: Column, most: int = vocab.CHUNK_CHARS) -> Column:
 
 
 def sentence_overlap(pieces: Column, overlap: int = vocab.CHUNK_OVERLAP) -> Column:
-    """Each later piece begins with the last sentence of the original piece before it, if short enough."""
+    """Each later piece begins with the last sentence of the original piece before it, if short enough.
+
+    One pass carries that sentence along, so that ``pieces`` is made once.
+    """
     last = lambda p: _trim(F.element_at(F.filter(F.split(p, vocab.SENTENCE_END), lambda s: F.trim(s) != ""), -1))
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("tail"))
 
-    def joined(p: Column, i: Column) -> Column:
-        tail = F.when(i > 0, last(F.get(pieces, i - 1)))
-        return F.when((F.length(tail) > 0) & (F.length(tail) <= overlap), F.concat(tail, F.lit("\n\n"), p)).otherwise(p)
+    def step(acc: Column, p: Column) -> Column:
+        fits = (F.length(acc["tail"]) > 0) & (F.length(acc["tail"]) <= overlap)
+        whole = F.when(fits, F.concat(acc["tail"], F.lit("\n\n"), p)).otherwise(p)
+        return F.struct(F.array_append(acc["done"], whole).alias("done"), last(p).alias("tail"))
 
-    return F.transform(pieces, joined)
+    return F.aggregate(pieces, start, step, lambda acc: acc["done"])
 
 
 def split_text(c: Column, most: int = vocab.CHUNK_CHARS, overlap: int = vocab.CHUNK_OVERLAP) -> Column:

@@ -23,8 +23,17 @@ NUMERAL_PLAIN = r"^\s*\**\s*(" + _WORDS + r"|[0-9]{1,2})\s*\**\s*[\.\)\:\-]"
 
 
 def classify_decision(c: Column) -> Column:
-    folded = F.lower(text.strip_accents(F.coalesce(c, F.lit(""))))
-    return F.coalesce(text.first_rule(folded, vocab.DECISION_RULES, "(?U)"), F.lit(vocab.OTHER_DECISION))
+    return _decision(_folded(c))
+
+
+def _folded(c: Column) -> Column:
+    return F.lower(text.strip_accents(F.coalesce(c, F.lit(""))))
+
+
+def _decision(folded: Column) -> Column:
+    """Decision type of a folded text; most texts fail the one pattern that any rule needs."""
+    some = folded.rlike("(?U)" + "|".join(f"(?:{pattern})" for _, pattern in vocab.DECISION_RULES))
+    return F.when(some, text.first_rule(folded, vocab.DECISION_RULES, "(?U)")).otherwise(F.lit(vocab.OTHER_DECISION))
 
 
 def split_orders(df: DataFrame, keep: list[str], operative: str, plain: bool = False, with_targets: bool = True) -> DataFrame:

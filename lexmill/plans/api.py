@@ -44,14 +44,21 @@ class Library:
         placed = rows.select(taxonomy.classified(F.col("tipo"), F.col("sector"), F.col("entidad"), F.col("corte")).alias("x")).select("x.*")
         return taxonomy.library_order(taxonomy.library_rollup(placed))
 
-    def search(self, query: str, limit: int = 10, **filters) -> DataFrame:
-        """BM25 over filtered chunks."""
+    def search(self, query: str, limit: int = 10, vector: list[float] | None = None, **filters) -> DataFrame:
+        """BM25 over filtered chunks; with the query's ``vector``, fused with the nearest by the chunks' ``embedding``."""
         if not 1 <= limit <= SEARCH_LIMIT:
             raise ValueError(f"limit must be 1 to {SEARCH_LIMIT}")
         chunks = search.payload_filter(self._need("chunks"), **filters)
         asked = chunks.sparkSession.createDataFrame([(0, query)], "q int, query string")
         scored = search.bm25(search.inverted_index(chunks, "uid", "text"), chunks, "uid", asked, "q", "query")
-        return search.top_per_query(scored, "q", "uid", limit).join(chunks, "uid").select("uid", "canonical_id", "section", "body", F.round("score", 4).alias("score"), "rank").orderBy("rank")
+        if vector is None:
+            found = search.top_per_query(scored, "q", "uid", limit)
+        else:
+            depth = search.prefetch_depth(limit)
+            point = chunks.sparkSession.createDataFrame([(0, vector)], "q int, embedding array<double>")
+            dense = search.nearest(chunks, point, "uid", "q", "embedding", depth, own=True)
+            found = search.fuse([search.top_per_query(scored, "q", "uid", depth), dense], "q", "uid", limit)
+        return found.join(chunks, "uid").select("uid", "canonical_id", "section", "body", F.round("score", 4).alias("score"), "rank").orderBy("rank")
 
     def text_in_force(self, canonical: str, date: str | None = None, article: str | None = None) -> DataFrame:
         """Text of an article at a date; the article may be part of the id."""

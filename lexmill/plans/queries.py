@@ -375,7 +375,7 @@ _TYPES = ["MODIFICA", "DEROGA_TOTAL", "SUSPENDE", "INEXEQUIBLE", "EXEQUIBLE_COND
 
 
 @query(
-    f"""WITH e AS (SELECT user_id, event_id, ({'[' + _quoted(_TYPES) + ']'})[1 + event_id * event_id % 7] AS t, event_id % 2 = 0 AS j FROM events WHERE (event_id * 31) % 97 < 3),
+    f"""WITH e AS (SELECT user_id, event_id, CASE WHEN (event_id * 31) % 97 < 3 THEN ({'[' + _quoted(_TYPES) + ']'})[1 + event_id * event_id % 7] ELSE 'REGLAMENTA' END AS t, event_id % 2 = 0 AS j FROM events),
     f AS (SELECT user_id, bool_or(j AND t = 'INEXEQUIBLE') AS inex, bool_or(NOT j AND t = 'DEROGA_TOTAL') AS der, bool_or(NOT j AND t = 'SUSPENDE') AS sus, bool_or(j AND t = 'EXEQUIBLE_CONDICIONADA') AS con, bool_or(NOT j AND t = 'MODIFICA') AS mod,
       arg_min(concat('S', event_id), event_id) FILTER (WHERE j AND t = 'INEXEQUIBLE') AS s1, arg_min(concat('S', event_id), event_id) FILTER (WHERE j AND t = 'EXEQUIBLE_CONDICIONADA') AS s2 FROM e GROUP BY user_id), u AS (SELECT DISTINCT user_id FROM events)
     SELECT u.user_id AS doc_id, CASE WHEN inex THEN 'inexequible' WHEN der OR u.user_id % 5 = 0 THEN 'derogado' WHEN sus THEN 'suspendido' WHEN con THEN 'exequible_condicionada' WHEN mod THEN 'modificado' ELSE 'vigente' END AS estado,
@@ -385,8 +385,9 @@ _TYPES = ["MODIFICA", "DEROGA_TOTAL", "SUSPENDE", "INEXEQUIBLE", "EXEQUIBLE_COND
 )
 def validity_state(spark, sf):
     events = table(spark, sf, "events")
-    kind = F.element_at(F.array(*map(F.lit, _TYPES)), (F.col("event_id") * F.col("event_id") % 7 + 1).cast("int"))
-    touched = events.where("(event_id * 31) % 97 < 3").select(F.col("user_id").alias("doc_id"), F.col("event_id").cast("int").alias("pos"), F.expr("CASE WHEN event_id % 2 = 0 THEN 'jurisprudence' ELSE 'modification' END").alias("kind"), F.lit("").alias("article_affected"), kind.alias("normalized_type"), F.concat(F.lit("S"), F.col("event_id").cast("string")).alias("source_text"))
+    severe = F.element_at(F.array(*map(F.lit, _TYPES)), (F.col("event_id") * F.col("event_id") % 7 + 1).cast("int"))
+    kind = F.when(F.expr("(event_id * 31) % 97 < 3"), severe).otherwise("REGLAMENTA")  # most events change no state
+    touched = events.select(F.col("user_id").alias("doc_id"), F.col("event_id").cast("int").alias("pos"), F.expr("CASE WHEN event_id % 2 = 0 THEN 'jurisprudence' ELSE 'modification' END").alias("kind"), F.lit("").alias("article_affected"), kind.alias("normalized_type"), F.concat(F.lit("S"), F.col("event_id").cast("string")).alias("source_text"))
     norms = events.select(F.col("user_id").alias("doc_id")).distinct().withColumn("vigencia", F.expr("CASE WHEN doc_id % 5 = 0 THEN 'Derogada' ELSE 'Vigente' END"))
     return validity.norm_reports(norms, touched)
 
@@ -394,12 +395,12 @@ def validity_state(spark, sf):
 def _timeline(spark, sf):
     events = table(spark, sf, "events")
     span = F.expr("CASE WHEN event_id % 5 = 0 THEN 'sin fecha' ELSE concat('desde ', date_format(ts, 'dd/MM/yyyy'), ' hasta ', date_format(date_add(to_date(ts), cast(event_id % 20 as int)), 'dd/MM/yyyy')) END")
-    past = events.where("event_id % 3 = 0").select("user_id", F.col("event_id").cast("int").alias("pos"), F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("text"), span.alias("date_range"))
+    past = events.select("user_id", F.col("event_id").cast("int").alias("pos"), F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("text"), span.alias("date_range"))
     now = events.select("user_id").distinct().withColumn("text", F.lit("actual"))
     return validity.version_timeline(past, now, ["user_id"])
 
 
-_TIMELINE = """past AS (SELECT user_id, event_id, concat('v', event_id) AS texto, CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) END AS desde, CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) + CAST(event_id % 20 AS INT) END AS hasta FROM events WHERE event_id % 3 = 0),
+_TIMELINE = """past AS (SELECT user_id, event_id, concat('v', event_id) AS texto, CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) END AS desde, CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) + CAST(event_id % 20 AS INT) END AS hasta FROM events),
     allv AS (SELECT user_id, event_id, texto, desde, hasta, false AS vigente FROM past UNION ALL SELECT u.user_id, NULL, 'actual', (SELECT max(hasta) FROM past p WHERE p.user_id = u.user_id), NULL, true FROM (SELECT DISTINCT user_id FROM events) u),
     t AS (SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY vigente, desde NULLS FIRST, event_id) AS INT) AS orden, texto, desde, hasta, vigente FROM allv)"""
 
@@ -410,11 +411,11 @@ def version_timeline(spark, sf):
 
 
 @query(
-    f"""WITH {_TIMELINE}, d AS (SELECT CAST(max(ts) AS DATE) - 10 AS d FROM events WHERE event_id < 500), r AS (SELECT t.*, CASE WHEN (desde IS NULL OR d >= desde) AND (hasta IS NULL OR d <= hasta) THEN orden WHEN vigente THEN 1073741824 END AS k FROM t, d)
+    f"""WITH {_TIMELINE}, d AS (SELECT CAST(max(ts) AS DATE) - 10 AS d FROM events), r AS (SELECT t.*, CASE WHEN (desde IS NULL OR d >= desde) AND (hasta IS NULL OR d <= hasta) THEN orden WHEN vigente THEN 1073741824 END AS k FROM t, d)
     SELECT user_id, arg_min(texto, k) AS texto, arg_min(vigente, k) AS vigente FROM r WHERE k IS NOT NULL GROUP BY user_id"""
 )
 def as_of_text(spark, sf):
-    at = table(spark, sf, "events").where("event_id < 500").agg(F.date_sub(F.max(F.to_date("ts")), 10).alias("at"))
+    at = table(spark, sf, "events").agg(F.date_sub(F.max(F.to_date("ts")), 10).alias("at"))
     return validity.text_as_of(_timeline(spark, sf).join(F.broadcast(at)), ["user_id"], F.col("at")).select("user_id", "texto", "vigente")
 
 
@@ -551,6 +552,22 @@ def hybrid_rrf(spark, sf):
     return search.fuse([_ranked(spark, sf, docs, depth), search.top_per_query(overlap, "item_id", "doc_id", depth)], "item_id", "doc_id", 10)
 
 
+@query(
+    f"""WITH {_BM25}, q AS (SELECT item_id, embedding AS e FROM benchmark JOIN embeddings ON vec_id = item_id), c AS (SELECT item_id, vec_id AS doc_id, round(list_cosine_similarity(e::DOUBLE[], embedding::DOUBLE[]), 9) AS score FROM q, embeddings),
+    b AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM s),
+    o AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM c),
+    f AS (SELECT item_id, doc_id, round(sum(1.0 / (60 + rank))::DOUBLE, 9) AS score FROM (SELECT * FROM b WHERE rank <= 40 UNION ALL SELECT * FROM o WHERE rank <= 40) GROUP BY item_id, doc_id),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM f) SELECT item_id, doc_id, score, rank FROM r WHERE rank <= 10"""
+)
+def hybrid_dense(spark, sf):
+    """Lexical and dense branches fused; a vector belongs to the document (or item) of its number."""
+    docs, vectors = table(spark, sf, "documents"), table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id")
+    asked = table(spark, sf, "benchmark").select("item_id").join(vectors.withColumnRenamed("doc_id", "item_id"), "item_id")
+    depth = search.prefetch_depth(10)
+    dense = search.nearest(vectors, asked, "doc_id", "item_id", "embedding", depth, own=True)
+    return search.fuse([_ranked(spark, sf, docs, depth), dense], "item_id", "doc_id", 10)
+
+
 @query(
     f"WITH documents AS (SELECT d.* FROM documents d LEFT JOIN labels l USING (doc_id) WHERE lang = 'en' AND NOT coalesce(toxic = 1, false)), {_BM25}, r AS (SELECT item_id, doc_id, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS INT) AS rank FROM s) SELECT * FROM r WHERE rank <= 20"
 )
@@ -569,18 +586,19 @@ def keyword_snippet(spark, sf):
 
 
 # --- quality -----------------------------------------------------------------------------------------------
-@query(
-    f"""WITH {CATALOG}, c AS (SELECT (SELECT count(DISTINCT doc_id) FROM documents) AS d, (SELECT count(DISTINCT doc_id) FROM labels) AS s), e AS (SELECT count(*) AS n, count(*) FILTER (WHERE scrape_status IN ('error', 'needs_ocr')) AS o FROM catalog)
+_CHECKS = f"""WITH {CATALOG}, c AS (SELECT (SELECT count(DISTINCT doc_id) FROM documents) AS d, (SELECT count(DISTINCT doc_id) FROM labels) AS s), e AS (SELECT count(*) AS n, count(*) FILTER (WHERE scrape_status IN ('error', 'needs_ocr')) AS o FROM catalog)
     SELECT 'reconciliation' AS "check", CASE WHEN abs(d - s) / greatest(d, s, 1) >= 0.1 THEN 'FAIL' WHEN abs(d - s) / greatest(d, s, 1) >= 0.02 THEN 'WARN' ELSE 'PASS' END AS status, round(abs(d - s) / greatest(d, s, 1), 6) AS rate, d AS n, s AS other FROM c
     UNION ALL SELECT 'error_budget', CASE WHEN o / n >= 0.2 THEN 'FAIL' WHEN o / n >= 0.05 THEN 'WARN' ELSE 'PASS' END, round(o / n, 6), n, o FROM e
     UNION ALL SELECT 'completeness', CASE WHEN o / n >= 0.05 THEN 'FAIL' WHEN o > 0 THEN 'WARN' ELSE 'PASS' END, round(o / n, 6), n, o FROM (SELECT count(*) AS n, count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS o FROM (SELECT doc_id FROM documents ORDER BY n_chars DESC, doc_id LIMIT 300))"""
-)
+
+
+@query(_CHECKS)
 def quality_checks(spark, sf):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     return quality.all_checks([quality.reconciliation(docs, labels, "doc_id"), quality.error_budget(catalog_rows(spark, sf)), quality.completeness(docs.select("doc_id", "n_chars"), labels, "doc_id", F.desc("n_chars"))])
 
 
-@query("SELECT 'FAIL' AS verdict")
+@query(f"""SELECT CASE WHEN bool_or(status = 'FAIL') THEN 'FAIL' WHEN bool_or(status = 'WARN') THEN 'WARN' WHEN bool_or(status = 'INFO') AND NOT bool_or(status = 'PASS') THEN 'INFO' ELSE 'PASS' END AS verdict FROM ({_CHECKS})""")
 def quality_verdict(spark, sf):
     return quality.verdict(quality_checks(spark, sf))
 
