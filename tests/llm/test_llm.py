@@ -442,7 +442,10 @@ def test_lines_of_a_dense_key():
     assert set(links) <= {(a, b) for a, b in true if a // 10 != b // 10} and _grouped(links + same, n) == _grouped(true + same, n)
 
 
-def test_edit_distances():
+@pytest.mark.parametrize("enough", [0, 10**6])
+def test_edit_distances(enough, monkeypatch):
+    monkeypatch.setattr("lexmill.llm.edits.ENOUGH", enough)
+
     def slow(a, b):
         row = list(range(len(b) + 1))
         for i, x in enumerate(a, 1):
