@@ -4,7 +4,7 @@ A batch's texts are split by the pattern. Its pieces that are not known yet beco
 rows (piece, place, token id); one recursive query joins adjacent tokens to the merge table and
 contracts each piece's leftmost pair of least rank, for all pieces at once, until no pair is left.
 A piece that is a token is that token. Pieces are remembered, up to CACHE_PIECES, so each is encoded
-about once a worker. Decoding is an ordered aggregation, by document, of the bytes of its ids.
+about once a worker. Decoding aggregates the bytes of each document's ids in their order.
 
 A recursive query takes a step per merge, which is quadratic in the length of a piece; pieces of
 over LONG_PIECE bytes (a run of letters without a break) are contracted in the same order by a heap.
@@ -33,32 +33,35 @@ QUERY_BYTES = 800_000
 QUERY_TOKENS = 400_000
 LONG_PIECE = 1024
 
-#: One window over all pieces gives each token its neighbour; a pair's rank and place in one number
-#: make the leftmost pair of least rank a minimum.
-ENCODE = """
-WITH RECURSIVE state(step, piece, place, token) AS (
-    SELECT 0, piece, place, token FROM seed
+#: A token-position row is one number: piece, place (PLACE_BITS), token (TOKEN_BITS). One window over all
+#: pieces gives each token its neighbour; a pair's rank, place and next place in one number make the
+#: leftmost pair of least rank a minimum.
+TOKEN_BITS, PLACE_BITS = 21, 11
+_TOKEN, _PLACE = (1 << TOKEN_BITS) - 1, (1 << PLACE_BITS) - 1
+_BOTH = TOKEN_BITS + PLACE_BITS
+ENCODE = f"""
+WITH RECURSIVE state(step, v) AS (
+    SELECT 0, v FROM seed
     UNION ALL
-    SELECT step + 1, s.piece, s.place, CASE WHEN s.place = CAST(b.best & 4294967295 AS INTEGER) THEN CAST(b.best >> 32 AS INTEGER) ELSE s.token END
+    SELECT step + 1, CASE WHEN (s.v >> {TOKEN_BITS}) & {_PLACE} = (b.best >> {PLACE_BITS}) & {_PLACE} THEN s.v - (s.v & {_TOKEN}) + (b.best >> {2 * PLACE_BITS}) ELSE s.v END
     FROM state s JOIN (
-        SELECT q.piece, min((m.rank << 32) | q.place) AS best, arg_min(q.next_place, (m.rank << 32) | q.place) AS gone
-        FROM (SELECT piece, place, token, lead(token) OVER a AS next, lead(place) OVER a AS next_place, lead(piece) OVER a AS next_piece
-              FROM state WINDOW a AS (ORDER BY piece, place)) q
-        JOIN merges m ON m.first = q.token AND m.second = q.next
-        WHERE q.next_piece = q.piece
-        GROUP BY q.piece
-    ) b ON s.piece = b.piece
-    WHERE s.place <> b.gone
+        SELECT q.v >> {_BOTH} AS piece, min((m.rank << {2 * PLACE_BITS}) | (((q.v >> {TOKEN_BITS}) & {_PLACE}) << {PLACE_BITS}) | ((q.next >> {TOKEN_BITS}) & {_PLACE})) AS best
+        FROM (SELECT v, lead(v) OVER (ORDER BY v) AS next FROM state) q
+        JOIN merges m ON m.pair = ((q.v & {_TOKEN}) << {TOKEN_BITS}) | (q.next & {_TOKEN})
+        WHERE q.next >> {_BOTH} = q.v >> {_BOTH}
+        GROUP BY 1
+    ) b ON s.v >> {_BOTH} = b.piece
+    WHERE (s.v >> {TOKEN_BITS}) & {_PLACE} <> b.best & {_PLACE}
 )
-SELECT s.piece, s.place, s.token
-FROM state s JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) l ON s.piece = l.piece AND s.step = l.step
+SELECT s.v
+FROM state s JOIN (SELECT v >> {_BOTH} AS piece, max(step) AS step FROM state GROUP BY 1) l ON s.v >> {_BOTH} = l.piece AND s.step = l.step
+ORDER BY s.v
 """
-#: Ids of a piece in order.
-COLLECT = "SELECT piece, list(token ORDER BY place) AS ids FROM tokens GROUP BY piece"
-#: What the ids of each document decode to: the tokens' bytes in order, as characters of the same numbers.
+#: What the ids of each document decode to: the tokens' bytes, as characters of the same numbers,
+#: aggregated in the order of the ids (``ids`` counts from 1 in the list of all tokens).
 DECODE = """
-SELECT d.document, string_agg(v.bytes, '' ORDER BY d.place) AS bytes
-FROM stream d JOIN vocabulary v ON v.token = d.token GROUP BY d.document
+SELECT d.document, list_aggregate(list_select(v.all_bytes, d.ids), 'string_agg', '') AS bytes
+FROM stream d, vocabulary v
 """
 
 
@@ -111,28 +114,28 @@ class PieceCoder:
         self.find = regex.compile(rust_pattern(pattern)).findall
         self.known = Remembered(CACHE_PIECES)  # piece: its ids
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
-        rows = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
-        self._load("merges", {"first": [x[0] for x in rows], "second": [x[1] for x in rows], "merged": [x[2] for x in rows]}, "*, CAST(merged AS BIGINT) AS rank")
-        self._load("vocabulary", {"token": list(self.ranks.values()), "bytes": [t.decode("latin-1") for t in self.ranks]}, "*")
-
-    def _load(self, name: str, columns: dict[str, list], what: str) -> None:
-        self.db.register("loading", pa.table({k: pa.array(v, pa.string() if k == "bytes" else pa.int32()) for k, v in columns.items()}))
-        self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT {what} FROM loading")
+        if max(self.ranks.values()) > _TOKEN:
+            raise ValueError(f"a token's number takes at most {TOKEN_BITS} bits")
+        rows = [(self.ranks[t[:i]] << TOKEN_BITS | self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
+        spelled = {r: t.decode("latin-1") for t, r in self.ranks.items()}
+        self._load("merges", {"pair": pa.array([x[0] for x in rows], pa.int64()), "rank": pa.array([x[1] for x in rows], pa.int64())})
+        self._load("vocabulary", {"all_bytes": pa.array([[spelled.get(r) for r in range(max(spelled) + 1)]], pa.list_(pa.string()))})
+
+    def _load(self, name: str, columns: dict[str, pa.Array]) -> None:
+        self.db.register("loading", pa.table(columns))
+        self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM loading")
         self.db.unregister("loading")
 
     def _query(self, pieces: list[str], raw: list[bytes]) -> None:
         lengths = np.array([len(b) for b in raw], dtype=np.int64)
-        piece = np.repeat(np.arange(len(raw), dtype=np.int32), lengths)
-        place = (np.arange(len(piece)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+        piece = np.repeat(np.arange(len(raw), dtype=np.int64), lengths)
+        place = np.arange(len(piece)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         token = self.single[np.frombuffer(b"".join(raw), dtype=np.uint8)]
-        self.db.register("seed", pa.table({"piece": piece, "place": place, "token": token}))
-        self.db.execute(f"CREATE OR REPLACE TEMP TABLE tokens AS {ENCODE}")
-        found = self.db.sql(COLLECT).to_arrow_table()
+        self.db.register("seed", pa.table({"v": piece << _BOTH | place << TOKEN_BITS | token}))
+        found = self.db.sql(ENCODE).to_arrow_table().column("v").to_numpy()
         self.db.unregister("seed")
-        ids = found.column("ids").combine_chunks()
-        flat, starts = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
-        for k, i in enumerate(found.column("piece").to_pylist()):
-            self.known.young[pieces[i]] = flat[starts[k] : starts[k + 1]].tobytes()
+        data, ends = (found & _TOKEN).astype("<u4").tobytes(), (4 * np.cumsum(np.bincount(found >> _BOTH, minlength=len(raw)))).tolist()
+        self.known.young.update((text, data[i:j]) for text, i, j in zip(pieces, [0, *ends], ends))
 
     def learn(self, pieces: set[str]) -> None:
         """Encodes the pieces that are not known yet."""
@@ -172,12 +175,13 @@ class PieceCoder:
                 many += len(documents[upto]) // 4
                 upto += 1
             token = np.frombuffer(b"".join(documents[at:upto]), dtype="<u4").astype(np.int32)
-            document = np.repeat(np.arange(at, upto, dtype=np.int32), [len(x) // 4 for x in documents[at:upto]])
-            self.db.register("stream", pa.table({"document": document, "place": np.arange(len(token), dtype=np.int32), "token": token}))
+            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in documents[at:upto]])])
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(token + 1))
+            self.db.register("stream", pa.table({"document": np.arange(at, upto, dtype=np.int32), "ids": ids}))
             found = self.db.sql(DECODE).to_arrow_table()
             self.db.unregister("stream")
             for k, text in zip(found.column("document").to_pylist(), found.column("bytes")):
-                out[k] = text.as_py().encode("latin-1")
+                out[k] = (text.as_py() or "").encode("latin-1")
             at = upto
         return out
 
