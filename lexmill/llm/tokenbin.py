@@ -276,9 +276,11 @@ class WordEncoder:
 
     def _learn(self, stems: list[bytes]) -> None:
         """Letters alone are told apart by the tokens that end a split, other stems by a separator token."""
-        texts = [s.decode() for s in stems]
-        plain = [t for t in texts if self._one_split(t)]
-        rest = self._lots(plain, " ", self._at_ends) + [t for t in texts if not self._one_split(t)]
+        plain, other = [], []
+        for s in stems:
+            text = s.decode()
+            (plain if s.isalpha() or self._one_split(text) else other).append(text)
+        rest = self._lots(plain, " ", self._at_ends) + other
         mixed = [t for t in rest if self.separator is not None and self.SEPARATOR not in t]
         rest = self._lots(mixed, f" {self.SEPARATOR} ", self._at_separators) + [t for t in rest if self.separator is None or self.SEPARATOR in t]
         for t in rest:
@@ -306,22 +308,25 @@ class WordEncoder:
         self.lengths = np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(parts), dtype="<u4")])
 
-    def _whole(self, text: bytes | None) -> bool:
+    def _whole(self, lowered: bytes) -> bool:
         """Whether a text goes to the library as it is: it may hold an added token, or the tokenizer splits otherwise."""
-        return bool(text) and (not self.stemmed or any(t in text.lower() for t in self.added))
+        return bool(lowered) and (not self.stemmed or any(t in lowered for t in self.added))
 
     def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        apart = [i for i, t in enumerate(texts) if self._whole(t)]
-        out = self._by_words([None if self._whole(t) else t for t in texts] if apart else texts)
+        lowered = [(t or b"").lower() for t in texts]
+        apart = [i for i, t in enumerate(lowered) if self._whole(t)]
+        for i in apart:
+            lowered[i] = b""
+        out = self._by_words(lowered)
         for i in apart:
             out[i] = np.array(self.tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids, dtype=np.uint32)
         return out
 
-    def _by_words(self, texts: list[bytes | None]) -> list[np.ndarray]:
+    def _by_words(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.words) > CACHE_WORDS:
             self._forget()
         number, self.words.new = self.words.__getitem__, []
-        docs = [(t or b"").lower().split() for t in texts]
+        docs = [t.split() for t in texts]
         counts = np.array([len(d) for d in docs], dtype=np.int64)
         index = np.fromiter(map(number, chain.from_iterable(docs)), np.int32, int(counts.sum()))
         if self.words.new:
