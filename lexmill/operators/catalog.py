@@ -169,3 +169,10 @@ def clean_fields(raw: DataFrame, mapping: dict[str, str], defaults: dict[str, st
     fields = [F.when(F.upper(F.trim(F.col(src))) != "NULL", text.blank_to_null(F.col(src))).alias(dst) for src, dst in mapping.items() if src in raw.columns]
     present = {dst for src, dst in mapping.items() if src in raw.columns}
     return raw.select(*fields, *[F.lit(v).alias(k) for k, v in (defaults or {}).items() if k not in present])
+
+
+def unmapped_log(parsed: DataFrame) -> DataFrame:
+    """suin_id, raw_type, article_affected, source_text, context of affectations whose type is not known, one row each."""
+    both = F.concat(*[F.coalesce(F.col(c), F.array().cast(parsed.schema[c].dataType)) for c in ("modifications", "jurisprudence")])
+    rows = parsed.select("suin_id", F.explode(both).alias("x")).where("NOT x.mapped")
+    return rows.select("suin_id", "x.raw_type", "x.article_affected", "x.source_text", "x.context")

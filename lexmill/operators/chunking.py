@@ -9,6 +9,7 @@ from ..functions import text, vocab
 from ..functions.ids import canonical_id, chunk_uid
 from . import sections as S
 from .affectations import index_key
+from .catalog import replace_by_key
 
 TRIM = r"^\s+|\s+$"
 PARAGRAPH = r"\n\s*\n"
@@ -163,3 +164,20 @@ def chunk_rulings(sections: DataFrame, buckets: DataFrame, texts: DataFrame, rul
     by_bucket = _labelled(_pieces(rows, most, overlap), ["normalized_section", "content_type"])
     flat = texts.join(left.join(rows.select("doc_id").distinct(), "doc_id", "left_anti"), "doc_id")
     return by_section.unionByName(by_bucket).unionByName(chunk_flat(flat.withColumn("tipo", F.lit("SENTENCIA")), most, overlap))
+
+
+#: Columns of the interface's chunk shape that a chunk may lack.
+API_PAYLOAD = {"tipo": "string", "numero": "string", "anio": "string", "corte": "string", "magistrado": "string", "estado_vigencia": "string", "derogado": "boolean", "modificado": "boolean", "afectaciones": "array<string>", "normalized_section": "string", "content_type": "string"}
+
+
+def api_chunks(chunks: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Chunks as the interface lists them: numbered from 1 in each document, with their length; payload columns that are missing are null."""
+    number = F.row_number().over(Window.partitionBy(doc).orderBy("canonical_id", "chunk_index", "uid"))
+    have = set(chunks.columns)
+    payload = [F.col(c) if c in have else F.lit(None).cast(kind).alias(c) for c, kind in API_PAYLOAD.items()]
+    return chunks.select(doc, number.alias("chunk_id"), "uid", "section", "canonical_id", F.coalesce("title", F.lit("")).alias("title"), F.col("body").alias("text"), F.length("body").alias("char_count"), "chunk_index", "n_chunks", *payload)
+
+
+def upsert_chunks(stored: DataFrame, new: DataFrame, order: list[Column]) -> DataFrame:
+    """Stored chunks after an upsert by uid; of new chunks with one uid the first by ``order`` counts."""
+    return replace_by_key(stored, new, ["uid"], order)

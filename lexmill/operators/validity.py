@@ -85,3 +85,42 @@ def _reports(base: DataFrame, touching: DataFrame, key: list[str], norms: DataFr
     out = out.join(versions, key)
     changed = F.col("estado").isin("vigente", "desconocido") & F.col("has_versions")
     return out.withColumn("motivo", F.when(changed, "Vigente con modificaciones").otherwise(F.col("motivo"))).withColumn("estado", F.when(changed, "modificado").otherwise(F.col("estado"))).drop("has_versions")
+
+
+#: Origins of edges that decide validity, and those that are rulings.
+EDGE_SOURCES, RULING_SOURCES = ("suin", "jurisprudencia", "resuelve"), ("jurisprudencia", "resuelve")
+
+
+def graph_reports(norms: DataFrame, articles: DataFrame, edges: DataFrame) -> DataFrame:
+    """id, nivel, estado, vigente, motivo of norms and articles, from the edges that come in.
+
+    norms: id, vigencia. articles: id, norma, has_versions. edges: src, dst, rel, source, tipo,
+    articulo, texto. An article takes its own edges and those on its whole norm. A type is ``tipo``,
+    else the relation; on norms it is the relation. Edges have no order: of several sources of a type
+    the least text is quoted, the article's own first. Edges are brought down to one row a target,
+    type and origin before anything is joined.
+    """
+    ruled = F.col("source").isin(*RULING_SOURCES)
+    known = edges.where(F.col("source").isin(*EDGE_SOURCES))
+    few = known.groupBy("dst", whole_document(F.col("articulo")).alias("whole"), ruled.alias("ruled"), "rel", F.coalesce("tipo", "rel").alias("tipo")).agg(F.min(F.coalesce("texto", F.lit(""))).alias("fuente"))
+    none, empty = F.array().cast("array<string>"), F.array().cast("array<struct<fuente:string,tipo:string>>")
+
+    def summed(rows: DataFrame, kind: str, changes: str, rulings: str) -> DataFrame:
+        own = F.collect_set(F.when(~F.col("ruled"), F.col(kind))).alias(changes)
+        said = F.sort_array(F.collect_set(F.when(F.col("ruled"), F.struct("fuente", F.col(kind).alias("tipo"))))).alias(rulings)
+        return rows.groupBy("dst").agg(own, said)
+
+    def judged(rows: DataFrame, changes: Column, rulings: Column) -> DataFrame:
+        return rows.withColumn("_r", classify_validity(changes, rulings, F.col("vigencia")))
+
+    whole = few.where("whole")
+    of_norm = summed(whole, "rel", "_c", "_j").withColumnRenamed("dst", "id")
+    top = judged(norms.select("id", "vigencia").join(of_norm, "id", "left"), F.coalesce("_c", none), F.coalesce("_j", empty)).select("id", F.lit("norma").alias("nivel"), "_r.*")
+    falls = summed(whole, "tipo", "_nc", "_nj").withColumnRenamed("dst", "norma")
+    own = summed(few, "tipo", "_c", "_j").withColumnRenamed("dst", "id")
+    rows = articles.select("id", "norma", "has_versions").join(norms.select(F.col("id").alias("norma"), "vigencia"), "norma").join(falls, "norma", "left").join(own, "id", "left")
+    rows = judged(rows, F.array_union(F.coalesce("_c", none), F.coalesce("_nc", none)), F.concat(F.coalesce("_j", empty), F.coalesce("_nj", empty)))
+    changed = F.col("_r.estado").isin("vigente", "desconocido") & F.coalesce("has_versions", F.lit(False))
+    state = F.when(changed, "modificado").otherwise(F.col("_r.estado")).alias("estado")
+    why = F.when(changed, "Vigente con modificaciones").otherwise(F.col("_r.motivo")).alias("motivo")
+    return top.unionByName(rows.select("id", F.lit("articulo").alias("nivel"), state, "_r.vigente", why))

@@ -50,7 +50,7 @@ class Library:
             raise ValueError(f"limit must be 1 to {SEARCH_LIMIT}")
         chunks = search.payload_filter(self._need("chunks"), **filters)
         asked = chunks.sparkSession.createDataFrame([(0, query)], "q int, query string")
-        scored = search.bm25(search.inverted_index(chunks, "uid", "text"), chunks, "uid", asked, "q", "query")
+        scored = search.bm25(chunks, "uid", "text", asked, "q", "query")
         if vector is None:
             found = search.top_per_query(scored, "q", "uid", limit)
         else:

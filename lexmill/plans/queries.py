@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, text, vocab
-from ..operators import affectations, catalog, chunking, citations, graph, jurimetrics, orders, quality, search, sections, taxonomy, validity
+from ..operators import affectations, catalog, chunking, citations, graph, jurimetrics, nodes, orders, quality, rulings, search, sections, taxonomy, validity
 from .standins import CATALOG, LEGAL_TEXTS, legal_texts, table
 from .standins import catalog as catalog_rows
 
@@ -488,6 +488,71 @@ def toc_parent(spark, sf):
     return graph.toc_parents(toc, "conv_id", "turn", "kind")
 
 
+_NORM_ID = "concat('co:', lower(tipo), ':', numero, ':', anio)"
+
+
+@query(f"WITH {CATALOG}, r AS (SELECT *, row_number() OVER (PARTITION BY {_NORM_ID} ORDER BY id DESC) AS k FROM catalog WHERE tipo <> 'SENTENCIA') SELECT {_NORM_ID} AS id, 'Norma' AS label, tipo, numero, anio, suin_id FROM r WHERE k = 1")
+def norm_nodes(spark, sf):
+    return nodes.norm_nodes(catalog_rows(spark, sf))
+
+
+@query(
+    f"""WITH {CATALOG}, r AS (SELECT *, row_number() OVER (PARTITION BY canonical_id ORDER BY id DESC) AS k FROM catalog WHERE tipo = 'SENTENCIA')
+    SELECT DISTINCT concat('mag_', lower(magistrado_ponente)) AS src, canonical_id AS dst, 'FUE_PONENTE_DE' AS rel FROM r WHERE k = 1 AND magistrado_ponente IS NOT NULL"""
+)
+def judge_edges(spark, sf):
+    return nodes.judge_edges(nodes.ruling_nodes(catalog_rows(spark, sf)))
+
+
+def _amending(spark, sf):
+    """Customers as norms whose orders are articles that affect other norms."""
+    rows = table(spark, sf, "orders")
+    target = F.expr("CASE o_orderkey % 3 WHEN 0 THEN concat('Ley ', o_orderkey % 20, ' de 1993') WHEN 1 THEN concat('DECRETO ', o_orderkey % 15, ' de 2001') ELSE 'otra cosa' END")
+    affects = F.array(F.struct(F.expr("CASE WHEN o_orderkey % 2 = 0 THEN 'MODIFICA' ELSE 'tipo raro' END").alias("normalized_type"), target.alias("target_text")))
+    parsed = rows.groupBy(F.col("o_custkey").cast("string").alias("suin_id")).agg(F.sort_array(F.collect_list(F.struct("o_orderkey", affects.alias("affects")))).alias("articles"))
+    return parsed.select("suin_id", F.concat(F.lit("n"), "suin_id").alias("id")), parsed
+
+
+@query(
+    """WITH o AS (SELECT concat('n', o_custkey) AS src, o_orderkey AS k, CASE o_orderkey % 3 WHEN 0 THEN concat('co:ley:', o_orderkey % 20, ':1993') WHEN 1 THEN concat('co:decreto:', o_orderkey % 15, ':2001') END AS dst,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'MODIFICA' ELSE 'AFECTA' END AS rel, CASE o_orderkey % 3 WHEN 0 THEN concat('Ley ', o_orderkey % 20, ' de 1993') ELSE concat('DECRETO ', o_orderkey % 15, ' de 2001') END AS texto FROM orders)
+    SELECT src, dst, rel, arg_min(texto, k) AS texto FROM o WHERE dst IS NOT NULL GROUP BY src, dst, rel"""
+)
+def outgoing_edges(spark, sf):
+    return nodes.outgoing_edges(*_amending(spark, sf)).select("src", "dst", "rel", "texto")
+
+
+_INCOMING = """CASE l_orderkey % 11 WHEN 0 THEN 'INEXEQUIBLE' WHEN 1 THEN 'DEROGA_TOTAL' WHEN 2 THEN 'EXEQUIBLE_CONDICIONADA' WHEN 3 THEN 'MODIFICA' ELSE 'REGLAMENTA' END"""
+
+
+@query(
+    f"""WITH e AS (SELECT l_suppkey AS norma, l_partkey AS part, {_INCOMING} AS t, l_linenumber % 2 = 0 AS j, concat('S', l_orderkey) AS texto FROM lineitem WHERE l_linenumber < 4),
+    a AS (SELECT part, norma, t, j, min(texto) AS f FROM e GROUP BY ALL), k AS (SELECT DISTINCT norma, part FROM e),
+    f AS (SELECT norma, part, bool_or(j AND t = 'INEXEQUIBLE') AS inex, bool_or(NOT j AND t = 'DEROGA_TOTAL') AS der, bool_or(j AND t = 'EXEQUIBLE_CONDICIONADA') AS con, bool_or(NOT j AND t = 'MODIFICA') AS mod, min(f) FILTER (WHERE j AND t = 'INEXEQUIBLE') AS s1, min(f) FILTER (WHERE j AND t = 'EXEQUIBLE_CONDICIONADA') AS s2 FROM a GROUP BY norma, part)
+    SELECT concat('n', norma, ':', part) AS id, 'articulo' AS nivel, CASE WHEN inex THEN 'inexequible' WHEN der OR norma % 5 = 0 THEN 'derogado' WHEN con THEN 'exequible_condicionada' ELSE 'modificado' END AS estado, NOT (inex OR der OR norma % 5 = 0) AS vigente,
+    CASE WHEN inex THEN concat('Declarado inexequible por ', s1) WHEN der THEN 'Derogado totalmente' WHEN norma % 5 = 0 THEN 'Norma derogada' WHEN con THEN concat('Exequible de forma condicionada por ', s2) ELSE 'Vigente con modificaciones' END AS motivo FROM f JOIN k USING (norma, part)
+    UNION ALL SELECT concat('n', norma), 'norma', CASE WHEN norma % 5 = 0 THEN 'derogado' ELSE 'vigente' END, norma % 5 <> 0, CASE WHEN norma % 5 = 0 THEN 'Norma derogada' ELSE 'Vigente' END FROM (SELECT DISTINCT norma FROM e)"""
+)
+def graph_validity(spark, sf):
+    """Articles by what comes in; all have earlier versions, so those without a severe change count as modified."""
+    lines = table(spark, sf, "lineitem").where("l_linenumber < 4")
+    norm = F.concat(F.lit("n"), F.col("l_suppkey").cast("string"))
+    art = F.concat(norm, F.lit(":"), F.col("l_partkey").cast("string"))
+    edges = lines.select(F.lit("x").alias("src"), art.alias("dst"), F.expr(_INCOMING).alias("rel"), F.expr("CASE WHEN l_linenumber % 2 = 0 THEN 'jurisprudencia' ELSE 'suin' END").alias("source"), F.lit(None).cast("string").alias("tipo"), F.lit("Artículo 1").alias("articulo"), F.concat(F.lit("S"), F.col("l_orderkey").cast("string")).alias("texto"))
+    norms = lines.select(norm.alias("id"), F.expr("CASE WHEN l_suppkey % 5 = 0 THEN 'Derogada' ELSE 'Vigente' END").alias("vigencia")).distinct()
+    return validity.graph_reports(norms, lines.select(art.alias("id"), norm.alias("norma"), F.lit(True).alias("has_versions")).distinct(), edges)
+
+
+@query(f"WITH {LEGAL_TEXTS} SELECT CAST(id AS VARCHAR) AS suin_id, 'Penal' AS sala, 'Ana Ruiz' AS magistrado_ponente, md5(concat('II. DECISIÓN', chr(10), chr(10), resuelve)) AS resuelve, 2 AS sections, 3 AS orders, 6 AS citaciones, concat('Sentencia C-', regexp_extract(texto, 'C-(\\d+)', 1), ' de ', anio) AS sentencia FROM legal_texts")
+def rulings_mapped(spark, sf):
+    head = "# I. ANTECEDENTES\nSala de Casación Penal\n**Magistrada Ponente:** Ana Ruiz\n"
+    md = F.concat(F.lit(head), "texto", F.lit("\n# II. DECISIÓN\n"), "resuelve")
+    docs = legal_texts(spark, sf).select(F.col("id").cast("string").alias("suin_id"), md.alias("md"), *[F.lit(None).cast("string").alias(c) for c in ("tipo", "numero", "corte", "magistrado_ponente")], "anio")
+    out = rulings.map_rulings(docs)
+    named = F.get(F.filter("citaciones", lambda c: c.startswith("Sentencia")), 0)
+    return out.select("suin_id", "sala", "magistrado_ponente", F.md5(F.col("resuelve").cast("binary")).alias("resuelve"), *[F.size(c).alias(c) for c in ("sections", "orders", "citaciones")], named.alias("sentencia"))
+
+
 # --- retrieval ---------------------------------------------------------------------------------------------
 def _asked(spark, sf):
     """Keyword queries: the three longest distinct words of each benchmark item."""
@@ -505,8 +570,7 @@ _BM25 = f"""{_ASKED}, w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(tex
 
 def _ranked(spark, sf, docs=None, k=20):
     docs = table(spark, sf, "documents") if docs is None else docs
-    index = search.inverted_index(docs, "doc_id", "text")
-    scored = search.bm25(index, docs, "doc_id", _asked(spark, sf), "item_id", "q")
+    scored = search.bm25(docs, "doc_id", "text", _asked(spark, sf), "item_id", "q")
     return search.top_per_query(scored.withColumn("score", F.round("score", 6)), "item_id", "doc_id", k)
 
 
@@ -545,9 +609,8 @@ def similarity_edges(spark, sf):
 )
 def hybrid_rrf(spark, sf):
     docs = table(spark, sf, "documents")
-    index = search.inverted_index(docs, "doc_id", "text")
-    asked = _asked(spark, sf).select("item_id", F.explode(F.split("q", " ")).alias("term"))
-    overlap = index.join(asked, "term").groupBy("item_id", "doc_id").agg(F.count("*").alias("score"))
+    asked = search.asked_terms(_asked(spark, sf), "item_id", "q")
+    overlap = search.postings(docs, "doc_id", "text", asked).join(asked, "term").groupBy("item_id", "doc_id").agg(F.count("*").alias("score"))
     depth = search.prefetch_depth(10)
     return search.fuse([_ranked(spark, sf, docs, depth), search.top_per_query(overlap, "item_id", "doc_id", depth)], "item_id", "doc_id", 10)
 

@@ -9,6 +9,7 @@ part of this module: raw pages come from files or tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,6 +84,23 @@ def matches(c: Column, pattern: str, groups: int) -> Column:
     return F.arrays_zip(*parts)
 
 
+#: Result links of the prosecutor's search (text before, text from the link on, address),
+#: links to its pages, and the countries under the regional court.
+PROSECUTOR_LINK = r"(?is)(.{0,600}?)(?=(href=.{0,595}))href=[\"']([^\"']*?/relatoria/media/file/[^\"']+)[\"']"
+PROSECUTOR_PAGE = r"(?is)^.*href=[\"'][^\"']*?/guia/[^\"']*?/docs/[^\"'/]+?\.html?[\"']"
+IACHR_COUNTRIES = (
+    "Argentina", "Bolivia", "Brasil", "Chile", "Colombia", "Costa Rica", "Ecuador", "El Salvador", "Guatemala", "Haití", "Honduras",
+    "México", "Nicaragua", "Panamá", "Paraguay", "Perú", "República Dominicana", "Suriname", "Trinidad y Tobago", "Uruguay", "Venezuela",
+)
+
+
+def leading_country(c: Column) -> Column:
+    """The longest country name that a text starts with, accents aside; else its first word."""
+    bare = F.lower(text.strip_accents(c))
+    named = F.transform(F.filter(F.array(*map(F.lit, IACHR_COUNTRIES)), lambda p: F.startswith(bare, F.lower(text.strip_accents(p)))), lambda p: F.struct(F.length(p), p.alias("p")))
+    return F.coalesce(F.array_max(named)["p"], F.get(F.split(c, " "), 0))
+
+
 def group(c: Column, pattern: str, k: int) -> Column:
     """Group of the first match, null if there is none or it is empty."""
     return F.nullif(F.regexp_extract(c, pattern, k), F.lit(""))
@@ -200,7 +218,10 @@ def iachr_phases(df: DataFrame, html: str, ficha: str, country: str = "Colombia"
 
 
 def jep_items(df: DataFrame, mirrors: bool = False) -> DataFrame:
-    """Seeds of API items (nombre, tipo, year, numero, entidad, link); mirrored courts stay out."""
+    """Seeds of API items (pos, nombre, tipo, year, numero, entidad, link); mirrored courts stay out.
+
+    Of items with one link the first by ``pos`` counts.
+    """
     blob = F.lower(F.concat_ws(" ", "tipo", "entidad"))
     rows = df.where(F.coalesce(F.trim("link"), F.lit("")) != "")
     rows = rows if mirrors else rows.where(~blob.rlike(JEP_MIRROR) & blob.rlike(JEP_ORIGIN))
@@ -213,7 +234,7 @@ def jep_items(df: DataFrame, mirrors: bool = False) -> DataFrame:
     kind = kind.otherwise("AUTO")
     stem = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.trim("link"), r"(?i)\.html?$", ""), r"^(AV|SV|SVAV)_Dr[ae]?-[^_]+_", ""), r"(?i)^(Auto|Sentencia|Setencia|Resoluci[oó]n)_", "")
     number = F.coalesce(text.blank_to_null(F.col("numero")), F.nullif(F.regexp_replace(stem, r"^[_\-]+|[_\-]+$", ""), F.lit("")), F.trim("link"))
-    rows = rows.withColumn("pos", F.monotonically_increasing_id()).withColumn("_l", F.trim("link"))
+    rows = rows.withColumn("_l", F.trim("link"))
     return _seeds(_first(rows, "_l"), tipo=kind, numero=number, anio=_year_within(F.trim("year"), 1990, 2030), source="jep", corte=F.when(kind.isin("SENTENCIA", "AUTO"), "jep"), external_id=F.col("_l"), source_url=F.concat(F.lit(JEP_DOCS), "_l"), extra=_extra(entidad=F.col("entidad"), categoria=F.col("tipo"), titulo=F.col("nombre")))
 
 
@@ -233,8 +254,9 @@ def docket_year(docket: Column, stamp: Column, latest: int) -> Column:
     return F.coalesce(F.when(F.length(digits) >= 16, _year_within(F.substring(digits, 13, 4), 1990, latest)), _year_within(F.substring(stamp, 1, 4), 1990, latest))
 
 
-def discipline_results(df: DataFrame, payload: str, latest: int = 2027) -> DataFrame:
-    """Seeds of rulings named in a search response, linked or bare."""
+def discipline_results(df: DataFrame, payload: str, latest: int | None = None) -> DataFrame:
+    """Seeds of rulings named in a search response, linked or bare; years after ``latest`` (next year) are none."""
+    latest = latest or date.today().year + 1
     rows = _each(df, payload, DISCIPLINE_NAME, 2).withColumn("_f", F.concat("m.g1", F.lit("ADJUNTA"), "m.g2", F.lit(".pdf")))
     rows = _first(rows, "_f")
     url = F.concat(F.lit(DISCIPLINE_DOCS + "/"), "_f")
@@ -242,11 +264,10 @@ def discipline_results(df: DataFrame, payload: str, latest: int = 2027) -> DataF
 
 
 def prosecutor_results(df: DataFrame, html: str) -> DataFrame:
-    """Seeds of result links; type and year come from the text between the link before and 600 characters on."""
-    link = r"(?is)href=[\"']([^\"']*?/relatoria/media/file/[^\"']+)[\"'](.{0,600}?)(?=href=[\"']|\z)"
-    rows = _each(df, html, link, 2).withColumn("u", F.col("m.g1"))
+    """Seeds of result links; type and year come from 600 characters on either side, but not from before the last link."""
+    rows = _each(df, html, PROSECUTOR_LINK, 3).withColumn("u", F.col("m.g3"))
     rows = _first(rows.withColumn("u", F.when(F.col("u").startswith("http"), F.col("u")).otherwise(F.concat(F.lit("https://apps.procuraduria.gov.co"), "u"))), "u")
-    around = text.strip_tags(F.col("m.g2"))
+    around = text.strip_tags(F.concat(F.regexp_replace("m.g1", PROSECUTOR_PAGE, ""), F.col("m.g2")))
     docket = F.regexp_extract("u", r"([^/]+?)(?:\.[^/]*)?/*$", 1)
     kind = F.when(F.lower(F.regexp_extract(around, r"(?iu)\b(concepto|fallo|decisi[oó]n\s+disciplinaria|sentencia|auto)\b", 1)).isin("", "concepto"), "CONCEPTO").otherwise("FALLO DISCIPLINARIO")
     return _seeds(rows, tipo=kind, numero=docket, anio=group(around, r"\b((?:19|20)\d{2})\b", 1), source="organos_control", external_id=docket, source_url=F.col("u"), extra=_extra(entidad="PROCURADURIA", radicado=docket))

@@ -124,8 +124,8 @@ def _incoming(root: Node, doc: str, section: str) -> list[dict]:
     return out
 
 
-def _versions(root: Node, art: str) -> list[dict]:
-    box, out = root.find("div", id=f"^div{art}leg_ant$"), []
+def _versions(box: Node | None) -> list[dict]:
+    out = []
     for v in box.find_all("div", style=r"background-color.*#E0E0E0") if box else []:
         date = v.find("font", color="#336600")
         span = date.text() if date else ""
@@ -133,50 +133,59 @@ def _versions(root: Node, art: str) -> list[dict]:
     return out
 
 
+def _layout(root: Node) -> tuple[list[tuple[str, Node]], dict[str, Node], dict[str, list[Node]], list[tuple[str, Node]]]:
+    """One pass: (anchor, text block after it), earlier-version blocks, notes by anchor, outgoing blocks."""
+    anchored, waiting, older, notes, outgoing = [], [], {}, {}, []
+    for node in root.walk():
+        if node.tag == "a" and re.match(r"ver_\d+", node.attrs.get("name", "")):
+            waiting.append(node.attrs["name"].replace("ver_", ""))
+        elif node.tag == "div" and (ident := node.attrs.get("id", "")):
+            if re.search(r"toggle_\d+", ident):
+                anchored += [(art, node) for art in waiting]
+                waiting = []
+            if m := re.search(r"^div(.*)leg_ant$", ident):
+                older.setdefault(m[1], node)
+            if m := re.search(r"NotasDestino(.*)$", ident):
+                notes.setdefault(m[1], []).append(node)
+            if m := re.search(r"NotasOrigen(\d+)", ident):
+                outgoing.append((m[1], node))
+    return anchored, older, notes, outgoing
+
+
+def _article(art: str, div: Node, strong: Node, number: str, kind: str, meta: dict[str, str]) -> dict:
+    em = div.find("em")
+    title = em.text() if em else ""
+    shown = [p.text() for p in div.find_all("p") if not (p.parent and p.parent.attrs.get("style", "").startswith("display: none"))]
+    return {
+        "art_id": art,
+        "number": strong.text(),
+        "number_normalized": number,
+        "title": title.rstrip(".") if title and not title[0].isdigit() else None,
+        "text": clean("\n\n".join(t for t in shown if t) or div.text()),
+        "canonical_id": f"co:{kind}:{meta.get('numero', '').lower()}:{meta.get('anio', '')}:art:{number}",
+    }
+
+
 def _articles(root: Node, meta: dict[str, str]) -> list[dict]:
-    order = list(root.walk())
-    toggles = [(i, n) for i, n in enumerate(order) if n.tag == "div" and re.search(r"toggle_\d+", n.attrs.get("id", ""))]
+    """Articles in page order, the first of each number; outgoing references go to the article of their anchor."""
+    anchored, older, notes, outgoing = _layout(root)
+    kind = vocab.DOCUMENT_TYPES.get(meta.get("tipo", ""), meta.get("tipo", "").lower().replace(" ", "_"))
     out: dict[str, dict] = {}
     by_anchor: dict[str, str] = {}
-    for i, anchor in enumerate(order):
-        if anchor.tag != "a" or not re.match(r"ver_\d+", anchor.attrs.get("name", "")):
-            continue
-        art = anchor.attrs["name"].replace("ver_", "")
-        div = next((n for k, n in toggles if k > i), None)
-        strong = div.find("strong") if div and len("".join(div.strings()).strip()) >= 10 else None
+    for art, div in anchored:
+        strong = div.find("strong") if len("".join(div.strings()).strip()) >= 10 else None
         number = number_of(strong.text()) if strong else None
         if number is None:
             continue
         by_anchor[art] = number
-        if number in out:
-            continue
-        em = div.find("em")
-        title = em.text() if em else ""
-        shown = [p.text() for p in div.find_all("p") if not (p.parent and p.parent.attrs.get("style", "").startswith("display: none"))]
-        body = "\n\n".join(t for t in shown if t) or div.text()
-        kind = vocab.DOCUMENT_TYPES.get(meta.get("tipo", ""), meta.get("tipo", "").lower().replace(" ", "_"))
-        notes = [li.text() for d in root.find_all("div", id=f"NotasDestino{art}$") for li in d.find_all("li", "referencia")]
-        out[number] = {
-            "art_id": art,
-            "number": strong.text(),
-            "number_normalized": number,
-            "title": title.rstrip(".") if title and not title[0].isdigit() else None,
-            "text": clean(body),
-            "canonical_id": f"co:{kind}:{meta.get('numero', '').lower()}:{meta.get('anio', '')}:art:{number}",
-            "notes": notes,
-            "previous_versions": _versions(root, art),
-            "affects": [],
-        }
-    for div in root.find_all("div", id=r"NotasOrigen\d+"):
-        article = out.get(by_anchor.get(re.search(r"NotasOrigen(\d+)", div.attrs["id"])[1], ""))
-        if article is None:
-            continue
-        seen = {(a["normalized_type"], a["target_text"]) for a in article["affects"]}
-        for r in map(_reference, div.find_all("li", "referencia")):
-            if (r["kind"], r["text"]) not in seen:
-                seen.add((r["kind"], r["text"]))
-                article["affects"].append({"normalized_type": r["kind"], "raw_type": r["raw"], "mapped": r["mapped"], "target_text": r["text"], "target_suin_id": r["id"], "target_anchor": r["anchor"], "context": r["context"]})
-    return list(out.values())
+        if number not in out:
+            listed = [li.text() for d in notes.get(art, []) for li in d.find_all("li", "referencia")]
+            out[number] = _article(art, div, strong, number, kind, meta) | {"notes": listed, "previous_versions": _versions(older.get(art)), "affects": {}}
+    for art, div in outgoing:
+        article = out.get(by_anchor.get(art, ""))
+        for r in map(_reference, div.find_all("li", "referencia") if article else []):
+            article["affects"].setdefault((r["kind"], r["text"]), {"normalized_type": r["kind"], "raw_type": r["raw"], "mapped": r["mapped"], "target_text": r["text"], "target_suin_id": r["id"], "target_anchor": r["anchor"], "context": r["context"]})
+    return [a | {"affects": list(a["affects"].values())} for a in out.values()]
 
 
 def parse_norm(html: str | None, doc: str) -> dict:
