@@ -147,7 +147,7 @@ def document_graph(parsed: DataFrame, catalog: DataFrame) -> tuple[DataFrame, Da
     target = named(F.col("x.target_suin_id"), F.col("x.target_text"))
     outgoing = outgoing.groupBy(doc, target.alias("to"), F.coalesce("x.normalized_type", word("AFECTA")).alias("rel")).agg(F.min(F.struct("_a", "_k", F.col("x.target_text").alias("t"))).alias("v"))
     parts.append(_links(outgoing, doc, F.col("to"), cut(F.col("v.t")), word("afecta"), 5, F.col("rel"), True, F.col("v._a") + 2 * (1 << 32)))
-    cited = rows.select(doc, F.array_remove(F.array_distinct(F.transform("citaciones", F.trim)), "").alias("_c"))
+    cited = rows.select(doc, F.array_remove(F.array_distinct(F.transform("citaciones", lambda c: F.trim(c))), "").alias("_c"))
     shown = cited.select(doc, F.posexplode(F.slice("_c", 1, MOST_CITATIONS)).alias("pos", "c"))
     parts.append(_links(shown, doc, F.col("c"), F.col("c"), F.when(F.lower("c").contains("sentencia"), "sentencia_citada").otherwise("citacion"), 4, word("CITA_A"), True, F.col("pos") + 4 * (1 << 32)))
     over = cited.where(F.size("_c") > MOST_CITATIONS).withColumn("rest", F.size("_c") - MOST_CITATIONS)
