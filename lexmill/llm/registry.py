@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ._shared import table
 
@@ -73,6 +74,24 @@ def op10_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of pages are the labels of the same number: bad without quality or if toxic."""
+    from .urls import judge_urls
+
+    outcomes = table(spark, sf_dir, "labels").selectExpr("doc_id AS page_id", "quality = 0 OR toxic = 1 AS bad")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), outcomes, rules)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .negatives import mine_negatives
+
+    vectors = table(spark, sf_dir, "embeddings").selectExpr("vec_id", "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label", "embedding")
+    return mine_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+#: Fixed values of the query: host, path, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 QUERIES = {
     f.__name__: f
     for f in (
@@ -86,6 +105,8 @@ QUERIES = {
         op8_embedding_lattice,
         op9_line_dedup,
         op10_lattice_scoring,
+        op12_host_reputation,
+        op13_hard_negatives,
     )
 }
 ORACLE_SQL = {
@@ -111,4 +132,43 @@ ORACLE_SQL = {
             SELECT vec_id, vec_id FROM embeddings UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id
         )
         SELECT vec_id, (SELECT count(*) FROM e WHERE a = vec_id) AS n_links, min(c) AS component_id, vec_id = min(c) AS kept FROM embeddings JOIN r ON id = vec_id GROUP BY vec_id""",
+    "op12_host_reputation": r"""
+        WITH r(rh, rp, rv) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'allow'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+        q AS (SELECT page_id, rest, coalesce(regexp_extract(rest, '^[^/?#]*'), '') AS h0 FROM u),
+        p AS (SELECT page_id, translate(h0, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(substr(rest, length(h0) + 1), '^[^?#]*'), '') AS path FROM q),
+        m AS (SELECT doc_id, max((quality = 0 OR toxic = 1)::BIGINT) AS bad FROM labels GROUP BY doc_id),
+        c AS (SELECT host, count(m.bad)::DOUBLE AS n, coalesce(sum(m.bad), 0)::DOUBLE AS k FROM p LEFT JOIN m ON m.doc_id = p.page_id GROUP BY host),
+        h AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS bare FROM c),
+        l AS (SELECT host, n, k, CASE WHEN regexp_matches(bare, '^[0-9.]+$') THEN bare ELSE array_to_string(string_split(bare, '.')[-2:], '.') END AS dom, CASE WHEN regexp_matches(bare, '^[0-9.]+$') THEN '' ELSE string_split(bare, '.')[-1] END AS suf FROM h),
+        t AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS mean FROM l),
+        s0 AS (SELECT suf, sum(l.n) AS n, sum(l.k) AS k, any_value(mean) AS mean FROM l, t GROUP BY suf),
+        s1 AS (SELECT sum(power(k - n * mean, 2) - n * mean * (1 - mean)) / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0) AS rho FROM s0),
+        s2 AS (SELECT 1 / least(greatest(coalesce(rho, 1e-4), 1e-4), 0.9) - 1 AS c FROM s1),
+        s3 AS (SELECT suf, (c * mean + k) / (c + n) AS mean FROM s0, s2),
+        d0 AS (SELECT dom, suf, sum(l.n) AS n, sum(l.k) AS k, any_value(s3.mean) AS mean FROM l JOIN s3 USING (suf) GROUP BY dom, suf),
+        d1 AS (SELECT sum(power(k - n * mean, 2) - n * mean * (1 - mean)) / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0) AS rho FROM d0),
+        d2 AS (SELECT 1 / least(greatest(coalesce(rho, 1e-4), 1e-4), 0.9) - 1 AS c FROM d1),
+        d3 AS (SELECT dom, (c * mean + k) / (c + n) AS mean FROM d0, d2),
+        h0 AS (SELECT host, l.n, l.k, d3.mean FROM l JOIN d3 USING (dom)),
+        h1 AS (SELECT sum(power(k - n * mean, 2) - n * mean * (1 - mean)) / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0) AS rho FROM h0),
+        h2 AS (SELECT 1 / least(greatest(coalesce(rho, 1e-4), 1e-4), 0.9) - 1 AS c FROM h1),
+        h3 AS (SELECT host, (c * mean + k) / (c + n) AS share, c + n AS size FROM h0, h2),
+        o AS (SELECT host, CASE WHEN share - 1.645 * sqrt(share * (1 - share) / (size + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS own FROM h3),
+        f AS (SELECT page_id, host, path, own, rh || rp AS rule, rv, row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC NULLS LAST, rv = 'allow', rh || rp) AS i
+            FROM p JOIN o USING (host) LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+        SELECT page_id, host, path, rule, coalesce(rv, own) AS verdict FROM f WHERE i = 1""",
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0
+        ), p AS (
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS i FROM s WHERE same) WHERE i <= 5
+        ), n AS (
+            SELECT p.a AS anchor_id, p.b AS positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS INT) AS rank, s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+            FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+        )
+        SELECT * FROM n WHERE rank <= 10""",
 }
