@@ -74,6 +74,12 @@ def op10_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ranked import search_ranked
+
+    return search_ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes of pages are the labels of the same number: bad without quality or if toxic."""
     from .urls import judge_urls
@@ -105,6 +111,7 @@ QUERIES = {
         op8_embedding_lattice,
         op9_line_dedup,
         op10_lattice_scoring,
+        op11_ranked_search,
         op12_host_reputation,
         op13_hard_negatives,
     )
@@ -132,6 +139,23 @@ ORACLE_SQL = {
             SELECT vec_id, vec_id FROM embeddings UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id
         )
         SELECT vec_id, (SELECT count(*) FROM e WHERE a = vec_id) AS n_links, min(c) AS component_id, vec_id = min(c) AS kept FROM embeddings JOIN r ON id = vec_id GROUP BY vec_id""",
+    "op11_ranked_search": r"""
+        WITH t AS (
+            SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS l FROM documents
+        ), s AS (
+            SELECT count(*) AS nn, sum(len(l))::BIGINT AS ll FROM t WHERE len(l) > 0
+        ), q AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ), h AS (
+            SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(l) AS n, unnest(l) AS term FROM t) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+        ), w AS (
+            SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM h, s GROUP BY term, nn
+        ), r AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + ((50 * n * nn) // ll)))))::BIGINT AS score FROM h JOIN w USING (term) JOIN q USING (term), s GROUP BY item_id, rid, doc_id
+        ), k AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM r WHERE score > 0
+        )
+        SELECT * FROM k WHERE rank <= 50""",
     "op12_host_reputation": r"""
         WITH r(rh, rp, rv) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'allow'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
         u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
