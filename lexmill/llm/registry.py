@@ -165,18 +165,18 @@ ORACLE_SQL = {
         c AS (SELECT host, count(m.bad)::DOUBLE AS n, coalesce(sum(m.bad), 0)::DOUBLE AS k FROM p LEFT JOIN m ON m.doc_id = p.page_id GROUP BY host),
         h AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS bare FROM c),
         l AS (SELECT host, n, k, CASE WHEN regexp_matches(bare, '^[0-9.]+$') THEN bare ELSE array_to_string(string_split(bare, '.')[-2:], '.') END AS dom, CASE WHEN regexp_matches(bare, '^[0-9.]+$') THEN '' ELSE string_split(bare, '.')[-1] END AS suf FROM h),
-        t AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS mean FROM l),
-        s0 AS (SELECT suf, sum(l.n) AS n, sum(l.k) AS k, any_value(mean) AS mean FROM l, t GROUP BY suf),
-        s1 AS (SELECT sum(power(k - n * mean, 2) - n * mean * (1 - mean)) / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0) AS rho FROM s0),
-        s2 AS (SELECT 1 / least(greatest(coalesce(rho, 1e-4), 1e-4), 0.9) - 1 AS c FROM s1),
+        l0 AS (SELECT l.*, coalesce((SELECT least(greatest(avg(k / n), 0.01), 0.99) FROM l WHERE n > 0), 0.5) AS mean FROM l),
+        l1 AS (SELECT least(greatest(coalesce(sum(power(k - n * mean, 2) / n - mean * (1 - mean)) / nullif(sum((n - 1) * mean * (1 - mean)), 0), 0), 1e-4), 0.9) AS rho FROM l0 WHERE n > 0),
+        l2 AS (SELECT dom, suf, CASE WHEN n > 0 THEN n / (1 + (n - 1) * rho) ELSE 0 END AS n, CASE WHEN n > 0 THEN k / (1 + (n - 1) * rho) ELSE 0 END AS k FROM l, l1),
+        t AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS mean FROM l2),
+        s0 AS (SELECT suf, sum(n) AS n, sum(k) AS k, any_value(mean) AS mean FROM l2, t GROUP BY suf),
+        s2 AS (SELECT 1 / rho - 1 AS c FROM (SELECT least(greatest(coalesce(sum(power(k - n * mean, 2) / n - mean * (1 - mean)) / nullif(sum((n - 1) * mean * (1 - mean)), 0), 0), 1e-4), 0.9) AS rho FROM s0 WHERE n > 0)),
         s3 AS (SELECT suf, (c * mean + k) / (c + n) AS mean FROM s0, s2),
-        d0 AS (SELECT dom, suf, sum(l.n) AS n, sum(l.k) AS k, any_value(s3.mean) AS mean FROM l JOIN s3 USING (suf) GROUP BY dom, suf),
-        d1 AS (SELECT sum(power(k - n * mean, 2) - n * mean * (1 - mean)) / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0) AS rho FROM d0),
-        d2 AS (SELECT 1 / least(greatest(coalesce(rho, 1e-4), 1e-4), 0.9) - 1 AS c FROM d1),
+        d0 AS (SELECT dom, suf, sum(n) AS n, sum(k) AS k, any_value(s3.mean) AS mean FROM l2 JOIN s3 USING (suf) GROUP BY dom, suf),
+        d2 AS (SELECT 1 / rho - 1 AS c FROM (SELECT least(greatest(coalesce(sum(power(k - n * mean, 2) / n - mean * (1 - mean)) / nullif(sum((n - 1) * mean * (1 - mean)), 0), 0), 1e-4), 0.9) AS rho FROM d0 WHERE n > 0)),
         d3 AS (SELECT dom, (c * mean + k) / (c + n) AS mean FROM d0, d2),
         h0 AS (SELECT host, l.n, l.k, d3.mean FROM l JOIN d3 USING (dom)),
-        h1 AS (SELECT sum(power(k - n * mean, 2) - n * mean * (1 - mean)) / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0) AS rho FROM h0),
-        h2 AS (SELECT 1 / least(greatest(coalesce(rho, 1e-4), 1e-4), 0.9) - 1 AS c FROM h1),
+        h2 AS (SELECT 1 / rho - 1 AS c FROM (SELECT least(greatest(coalesce(sum(power(k - n * mean, 2) / n - mean * (1 - mean)) / nullif(sum((n - 1) * mean * (1 - mean)), 0), 0), 1e-4), 0.9) AS rho FROM h0 WHERE n > 0)),
         h3 AS (SELECT host, (c * mean + k) / (c + n) AS share, c + n AS size FROM h0, h2),
         o AS (SELECT host, CASE WHEN share - 1.645 * sqrt(share * (1 - share) / (size + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS own FROM h3),
         f AS (SELECT page_id, host, path, own, rh || rp AS rule, rv, row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC NULLS LAST, rv = 'allow', rh || rp) AS i
