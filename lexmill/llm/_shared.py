@@ -24,9 +24,14 @@ def shared_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if "://" not in base and base.startswith("/"):
-        base = "file://" + base
-    return f"{base.rstrip('/')}/lexmill/{label}-{uuid.uuid4().hex}"
+    return f"{qualified(spark, base).rstrip('/')}/lexmill/{label}-{uuid.uuid4().hex}"
+
+
+def qualified(spark: SparkSession, base: str) -> str:
+    """URI of a folder: without a scheme it is one of the cluster's default store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    uri = str(path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString())
+    return "file://" + uri.removeprefix("file:") if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

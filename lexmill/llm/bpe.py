@@ -7,7 +7,8 @@ A piece that is a token is that token. Pieces are remembered, up to CACHE_PIECES
 about once a worker. Decoding aggregates the bytes of each document's ids in their order.
 
 A recursive query takes a step per merge, which is quadratic in the length of a piece; pieces of
-over LONG_PIECE bytes (a run of letters without a break) are contracted in the same order by a heap.
+over LONG_PIECE bytes (a run of letters without a break) are contracted in the same order by a heap. A
+long text is split, encoded and decoded in lots, so DuckDB's memory is bounded whatever a text's length.
 
 Defined results: null text is the empty text: 0 ids and the digests of nothing; repeated rows give a
 row each; an empty table no rows; other columns are ignored (``encode_documents``) or kept.
@@ -18,7 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ QUERY_PIECES = 50_000
 QUERY_BYTES = 800_000
 QUERY_TOKENS = 400_000
 LONG_PIECE = 1024
+#: Texts of more characters are split and encoded so many pieces at a time.
+LONG_TEXT, LOT_PIECES = 1 << 20, 200_000
 
 #: A token-position row is one number: piece, place (PLACE_BITS), token (TOKEN_BITS). One window over all
 #: pieces gives each token its neighbour; a pair's rank, place and next place in one number make the
@@ -111,9 +114,9 @@ class PieceCoder:
 
         self.ranks = load_ranks(path)
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.find = regex.compile(rust_pattern(pattern)).findall
+        self.pattern = regex.compile(rust_pattern(pattern))
         self.known = Remembered(CACHE_PIECES)  # piece: its ids
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})  # queries are bounded: nothing spills to the worker's folder
         if max(self.ranks.values()) > _TOKEN:
             raise ValueError(f"a token's number takes at most {TOKEN_BITS} bits")
         rows = [(self.ranks[t[:i]] << TOKEN_BITS | self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
@@ -160,30 +163,42 @@ class PieceCoder:
 
     def code(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian 32-bit integers, decoded bytes) of each text."""
-        split = [self.find(t) if t else [] for t in texts]
+        long_ = {k: self._long(t) for k, t in enumerate(texts) if t and len(t) > LONG_TEXT}
+        split = [self.pattern.findall(t) if t and k not in long_ else [] for k, t in enumerate(texts)]
         self.learn(set(chain.from_iterable(split)))
         get = self.known.young.__getitem__
-        ids = [b"".join(map(get, pieces)) for pieces in split]
+        ids = [long_.get(k) or b"".join(map(get, pieces)) for k, pieces in enumerate(split)]
         return list(zip(ids, self.decode(ids)))
 
+    def _long(self, text: str) -> bytes:
+        """Ids of a long text, whose pieces are never all held at once."""
+        found, out = (m.group() for m in self.pattern.finditer(text)), []
+        while pieces := list(islice(found, LOT_PIECES)):
+            self.learn(set(pieces))
+            out.append(b"".join(map(self.known.young.__getitem__, pieces)))
+        return b"".join(out)
+
     def decode(self, documents: list[bytes]) -> list[bytes]:
-        """The bytes that each document's ids (little-endian 32-bit integers) stand for."""
-        out, at = [b""] * len(documents), 0
-        while at < len(documents):
+        """The bytes that each document's ids (little-endian 32-bit integers) stand for; a query takes QUERY_TOKENS ids at most."""
+        out: list[list[bytes]] = [[] for _ in documents]
+        lots = [(k, ids[at : at + 4 * QUERY_TOKENS]) for k, ids in enumerate(documents) for at in range(0, len(ids), 4 * QUERY_TOKENS)]
+        at = 0
+        while at < len(lots):
             upto, many = at, 0
-            while upto < len(documents) and (upto == at or many + len(documents[upto]) // 4 <= QUERY_TOKENS):
-                many += len(documents[upto]) // 4
+            while upto < len(lots) and (upto == at or many + len(lots[upto][1]) // 4 <= QUERY_TOKENS):
+                many += len(lots[upto][1]) // 4
                 upto += 1
-            token = np.frombuffer(b"".join(documents[at:upto]), dtype="<u4").astype(np.int32)
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in documents[at:upto]])])
+            some = [ids for _, ids in lots[at:upto]]
+            token = np.frombuffer(b"".join(some), dtype="<u4").astype(np.int32)
+            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in some])])
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(token + 1))
             self.db.register("stream", pa.table({"document": np.arange(at, upto, dtype=np.int32), "ids": ids}))
-            found = self.db.sql(DECODE).to_arrow_table()
+            found = self.db.sql(DECODE).to_arrow_table().sort_by("document")
             self.db.unregister("stream")
             for k, text in zip(found.column("document").to_pylist(), found.column("bytes")):
-                out[k] = (text.as_py() or "").encode("latin-1")
+                out[lots[k][0]].append((text.as_py() or "").encode("latin-1"))
             at = upto
-        return out
+        return [b"".join(parts) for parts in out]
 
 
 _coders: dict[str, PieceCoder] = {}

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._shared import MEMORIES, bloom, only, partitions, staged
+from ._shared import MEMORIES, bloom, free_names, only, partitions, staged
 
 SHINGLE = 5
 PERCENT = 80
@@ -472,7 +472,16 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_one_of_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents that are the smallest doc_id of their component, with all their columns."""
-    found = jaccard_components(docs, percent)
-    gone = found.where("component_id IS NOT NULL AND component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One row of each group of near copies, with all its columns: that of the least doc_id, null last.
+
+    Rows are told apart by a number of their own, so rows that share a doc_id but not their text are
+    documents of their own, and of equal rows one stays. Equal doc_ids go by the hash of the row. Texts
+    without words stay, each.
+    """
+    row, doc, tie = free_names(docs, "row", "doc", "tie")
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")  # written once: the numbers stay
+    found = jaccard_components(numbered.select(F.col(row).alias("doc_id"), "text"), percent).withColumnsRenamed({"doc_id": row})
+    ties = numbered.select(row, F.col("doc_id").alias(doc), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)).alias(tie))
+    order = F.struct(F.col(doc).isNull(), doc, tie, row)
+    kept = ties.join(found, row).groupBy("component_id").agg(F.min(order)[row].alias(row)).select(row)
+    return numbered.join(kept, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

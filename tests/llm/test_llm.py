@@ -16,7 +16,7 @@ P = pytest.importorskip("public_tokenizers")
 from lexmill.llm import bpe, jaccard, langid, lattice, lines, media, mixing, secrets, tokenbin, vectors  # noqa: E402
 from lexmill.llm._graph import components  # noqa: E402
 from lexmill.llm.edits import edit_distances  # noqa: E402
-from lexmill.llm._shared import open_store, shared_dir  # noqa: E402
+from lexmill.llm._shared import open_store, qualified, shared_dir  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, held string"
 BASE = "the quick brown fox jumps over the lazy dog and then it runs far away from the hungry wolf in the dark forest"
@@ -150,6 +150,30 @@ def test_jaccard(spark, monkeypatch):
     assert {r.doc_id for r in jaccard.keep_one_of_group(frame).collect()} == {i for i, (_, c) in want.items() if i == c}
 
 
+def test_keep_one_of_group_by_rows(spark):
+    """Rows that share a doc_id are documents of their own; of equal rows one stays."""
+    other = "other words stand here in this row"
+    rows = [(1, BASE), (2, BASE + " again"), (2, other), (3, "one two"), (3, "one two"), (None, BASE), (None, "alone here"), (4, None), (4, ""), (5, BASE)]
+    frame = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, row string, component_id int").repartition(3)
+    kept = jaccard.keep_one_of_group(frame)
+    assert kept.columns == frame.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, BASE), (2, other), (3, "one two"), (None, "alone here"), (4, None), (4, "")], key=str)
+
+
+def test_shared_folder_of_the_default_store(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://store/")
+    conf.set("fs.viewfs.mounttable.store.link./some", "file:///tmp")
+    try:
+        assert qualified(spark, "/some/path") == "viewfs://store/some/path"
+        assert qualified(spark, "file:///tmp/x") == qualified(spark, "file:/tmp/x") == "file:///tmp/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert qualified(spark, "/some/path") == "file:///some/path"
+
+
 def test_overlaps(monkeypatch):
     monkeypatch.setattr(jaccard, "COLUMNS", 5)
     rng = np.random.default_rng(0)
@@ -174,6 +198,25 @@ def test_bpe(spark):
 
 
 # --- 5 secrets --------------------------------------------------------------------------------------------
+def test_long_texts_in_lots(monkeypatch, tmp_path):
+    """Long texts are cut into lots on the way to ids and back, in a folder that cannot be written."""
+    import tiktoken
+
+    tmp_path.chmod(0o500)
+    monkeypatch.chdir(tmp_path)
+    path = P.path("byte_bpe_50k.tiktoken")
+    coder = bpe.PieceCoder(path, P.PATTERN)
+    encoding = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    (ids, back), (none, empty) = coder.code(["ab, cd é! 12\n" * 4_000_000, None])  # 52 MB
+    assert len(ids) > 4 * 10_000_000 and hashlib.sha256(back).digest() == hashlib.sha256(("ab, cd é! 12\n" * 4_000_000).encode()).digest()
+    assert (none, empty) == (b"", b"") and not list(tmp_path.iterdir())
+    for name, value in (("LONG_TEXT", 50), ("LOT_PIECES", 7), ("QUERY_TOKENS", 5)):
+        monkeypatch.setattr(bpe, name, value)
+    for text in (TEXTS[10][1], BASE * 9, "x" * 3000):
+        (ids, back), *_ = coder.code([text])
+        assert np.frombuffer(ids, "<u4").tolist() == encoding.encode_ordinary(text) and back == text.encode()
+
+
 def test_secrets(spark):
     texts = [f"my key AKIAABCDEFGHIJKLMN{i:02d} is here" for i in range(20)] + ["password=d9f3929e83c8655244 x", 'token = "cda921ed736c00fa810740aabef62d23b83719a6" y', "write to someone.12@mail6.example.com now", "call 4539578763621486 please", "", None, "plainwordwithoutdigits " * 5]
     frame = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
