@@ -42,9 +42,10 @@ def split_orders(df: DataFrame, keep: list[str], operative: str, plain: bool = F
     A numeral is an ordinal word or one or two digits at the start of a line; what stands before the
     first one is dropped. With ``plain`` accented ordinals start no order.
     """
-    pattern = "(?imu)" + (NUMERAL_PLAIN if plain else NUMERAL)
-    marked = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(operative), F.lit("")), r"^\s+|\s+$", ""), f"({pattern})", "\x01$1")
-    parts = F.slice(F.split(marked, "\x01"), 2, 1_000_000)
+    numeral = NUMERAL_PLAIN if plain else NUMERAL
+    pattern = "(?imu)" + numeral
+    whole = F.regexp_replace(F.coalesce(F.col(operative), F.lit("")), r"^\s+|\s+$", "")
+    parts = F.filter(F.split(whole, f"(?imu)(?={numeral})"), lambda p: p.rlike("(?iu)" + numeral))
     body = F.regexp_replace("_b", r"^\s+|\s+$", "")
     out = df.select(*keep, F.posexplode(parts).alias("pos", "_b")).withColumn("text", body).drop("_b")
     label = F.regexp_extract("text", pattern, 1)

@@ -526,7 +526,7 @@ _INCOMING = """CASE l_orderkey % 11 WHEN 0 THEN 'INEXEQUIBLE' WHEN 1 THEN 'DEROG
 
 
 @query(
-    f"""WITH e AS (SELECT l_suppkey AS norma, l_partkey AS part, {_INCOMING} AS t, l_linenumber % 2 = 0 AS j, concat('S', l_orderkey) AS texto FROM lineitem WHERE l_linenumber < 4),
+    f"""WITH e AS (SELECT l_suppkey AS norma, l_partkey AS part, {_INCOMING} AS t, l_linenumber % 2 = 0 AS j, concat('S', l_orderkey) AS texto FROM lineitem),
     a AS (SELECT part, norma, t, j, min(texto) AS f FROM e GROUP BY ALL), k AS (SELECT DISTINCT norma, part FROM e),
     f AS (SELECT norma, part, bool_or(j AND t = 'INEXEQUIBLE') AS inex, bool_or(NOT j AND t = 'DEROGA_TOTAL') AS der, bool_or(j AND t = 'EXEQUIBLE_CONDICIONADA') AS con, bool_or(NOT j AND t = 'MODIFICA') AS mod, min(f) FILTER (WHERE j AND t = 'INEXEQUIBLE') AS s1, min(f) FILTER (WHERE j AND t = 'EXEQUIBLE_CONDICIONADA') AS s2 FROM a GROUP BY norma, part)
     SELECT concat('n', norma, ':', part) AS id, 'articulo' AS nivel, CASE WHEN inex THEN 'inexequible' WHEN der OR norma % 5 = 0 THEN 'derogado' WHEN con THEN 'exequible_condicionada' ELSE 'modificado' END AS estado, NOT (inex OR der OR norma % 5 = 0) AS vigente,
@@ -535,7 +535,7 @@ _INCOMING = """CASE l_orderkey % 11 WHEN 0 THEN 'INEXEQUIBLE' WHEN 1 THEN 'DEROG
 )
 def graph_validity(spark, sf):
     """Articles by what comes in; all have earlier versions, so those without a severe change count as modified."""
-    lines = table(spark, sf, "lineitem").where("l_linenumber < 4")
+    lines = table(spark, sf, "lineitem")
     norm = F.concat(F.lit("n"), F.col("l_suppkey").cast("string"))
     art = F.concat(norm, F.lit(":"), F.col("l_partkey").cast("string"))
     edges = lines.select(F.lit("x").alias("src"), art.alias("dst"), F.expr(_INCOMING).alias("rel"), F.expr("CASE WHEN l_linenumber % 2 = 0 THEN 'jurisprudencia' ELSE 'suin' END").alias("source"), F.lit(None).cast("string").alias("tipo"), F.lit("Artículo 1").alias("articulo"), F.concat(F.lit("S"), F.col("l_orderkey").cast("string")).alias("texto"))
@@ -679,9 +679,114 @@ def bfs_frontier(spark, sf):
     return frontier(links, spark.createDataFrame([(0,)], "node int"), 6)
 
 
-@query()
+_TREE = """RECURSIVE d AS (SELECT CAST(ts AS DATE) AS day, event_type AS tipo, CAST(user_id % 5 AS BIGINT) AS parte, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL),
+    e AS (SELECT min(day) AS a, max(day) AS b FROM d), y AS (SELECT day, sum(n) AS n FROM d GROUP BY day),
+    c AS (SELECT CAST(g AS DATE) AS day, sum(coalesce(y.n, 0)) OVER (ORDER BY g) AS upto FROM (SELECT unnest(generate_series(a - 1, b, INTERVAL 1 DAY)) AS g FROM e) LEFT JOIN y ON y.day = CAST(g AS DATE)),
+    w(a, b) AS (SELECT a, b FROM e UNION ALL SELECT CASE h WHEN 0 THEN a ELSE a + CAST((b - a) // 2 + 1 AS INT) END, CASE h WHEN 0 THEN a + CAST((b - a) // 2 AS INT) ELSE b END
+        FROM (SELECT w.a, w.b FROM w JOIN c p ON p.day = w.a - 1 JOIN c q ON q.day = w.b WHERE w.a < w.b AND q.upto - p.upto > {most}), (VALUES (0), (1)) v(h)),
+    l AS (SELECT w.a, w.b, CAST(q.upto - p.upto AS BIGINT) AS n FROM w JOIN c p ON p.day = w.a - 1 JOIN c q ON q.day = w.b WHERE q.upto > p.upto AND (q.upto - p.upto <= {most} OR w.a = w.b))"""
+
+
+@query(f"WITH {_TREE.format(most=100)} SELECT a AS desde, b AS hasta, n, n > 100 AS denso FROM l")
 def date_bisection(spark, sf):
     from ..sources.crawl import bisected_days
 
     daily = table(spark, sf, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
     return bisected_days(daily, 100)
+
+
+@query(
+    f"""WITH {_TREE.format(most=25)}, t AS (SELECT day, tipo, sum(d.n) AS n FROM d JOIN l ON day = a AND a = b AND l.n > 25 GROUP BY day, tipo)
+    SELECT a AS desde, b AS hasta, CAST(NULL AS VARCHAR) AS tipo, CAST(NULL AS BIGINT) AS parte, n, CAST(0 AS BIGINT) AS lost FROM l WHERE n <= 25
+    UNION ALL SELECT day, day, tipo, NULL, CAST(n AS BIGINT), 0 FROM t WHERE n <= 25
+    UNION ALL SELECT day, day, tipo, parte, CAST(d.n AS BIGINT), greatest(d.n - 25, 0) FROM d JOIN t USING (day, tipo) WHERE t.n > 25"""
+)
+def axes_bisection(spark, sf):
+    """Dense days split by type, dense types of a day by a second axis; what no axis can split is reported as lost."""
+    from ..sources.crawl import bisected
+
+    rows = table(spark, sf, "events").select("ts", F.col("event_type").alias("tipo"), (F.col("user_id") % 5).alias("parte"))
+    return bisected(rows, "ts", 25, ["tipo", "parte"])
+
+
+@query(
+    """WITH e AS (SELECT event_id, event_type, ts, coalesce(value >= 40, false) AS hit FROM events), g AS (SELECT *, sum(hit::INT) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS island FROM e),
+    r AS (SELECT *, sum(1 - hit::INT) OVER (PARTITION BY event_type, island ORDER BY ts, event_id)::BIGINT AS run FROM g), s AS (SELECT event_type, min(struct_pack(ts := ts, event_id := event_id)) AS stop FROM r WHERE run = 6 GROUP BY event_type)
+    SELECT event_id, run, coalesce(struct_pack(ts := ts, event_id := event_id) <= stop, true) AS kept FROM r LEFT JOIN s ON s.event_type IS NOT DISTINCT FROM r.event_type"""
+)
+def miss_runs(spark, sf):
+    """Events of a type as a sequence of hits and misses: the run of misses at each, and what six in a row end."""
+    from ..operators.runs import until_misses
+
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    return until_misses(events, ["event_type"], ["ts", "event_id"], F.col("value") >= 40, 6).select("event_id", "run", "kept")
+
+
+# --- stores and indexes ------------------------------------------------------------------------------------
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, round(arg_max(value, event_id) + CASE WHEN user_id % 10 = 3 THEN 1 ELSE 0 END, 6) AS value FROM events WHERE user_id IS NOT NULL AND user_id % 50 <> 0 GROUP BY user_id")
+def keyed_store_merge(spark, sf):
+    """Events in four batches into a store by user, one of them twice; a compaction, deletions and an update of one column."""
+    from ..sources.folders import work_folder
+    from ..sources.keyed_store import KeyedStore
+
+    store = KeyedStore(spark, work_folder(spark, "keyed-store"), ["user_id"], "event_id", buckets=16)
+    events = table(spark, sf, "events").where("user_id IS NOT NULL").select("user_id", "event_id", "event_type", "value")
+    for k in range(4):
+        store.upsert(events.where(F.col("event_id") % 4 == k), "events", k)
+        if k == 1:
+            store.compact()
+    store.upsert(events.where(F.col("event_id") % 4 == 2), "events", 2)  # again: changes nothing
+    users = events.select("user_id").distinct()
+    store.delete(users.where("user_id % 50 = 0"), F.lit(1 << 60))
+    add = lambda old, new: old.join(new, "user_id").withColumn("value", F.col("value") + F.col("more")).drop("more")
+    store.modify(users.where("user_id % 10 = 3").withColumn("more", F.lit(1.0)), add)
+    return store.read().withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {_BM25}, r AS (SELECT item_id, doc_id, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS INT) AS rank FROM s) SELECT * FROM r WHERE rank <= 20")
+def stored_bm25(spark, sf):
+    """BM25 from a stored index of two segments, opening only blocks that can matter."""
+    from ..operators.postings import StoredIndex
+    from ..sources.folders import work_folder
+
+    index, docs = StoredIndex(spark, work_folder(spark, "postings")), table(spark, sf, "documents")
+    index.add(docs.where("doc_id % 2 = 0"), "text")
+    index.add(docs.where("doc_id % 2 <> 0 OR doc_id IS NULL"), "text")
+    return index.search(_asked(spark, sf), "item_id", "q", 20, digits=6)[0]
+
+
+@query()
+def indexed_neighbours(spark, sf):
+    """Five nearest of every vector from the stored index (approximate: a test holds its recall against ``cosine_knn``'s operator)."""
+    from ..operators.neighbours import NeighbourIndex
+
+    vectors = table(spark, sf, "embeddings")
+    return NeighbourIndex.build(vectors, "vec_id", "embedding").search(vectors.withColumnRenamed("vec_id", "query_id"), "query_id", "embedding")[0]
+
+
+_TERMS = "t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')) AS term FROM documents) GROUP BY ALL)"
+
+
+@query(
+    f"""WITH {_TERMS}, n AS (SELECT count(DISTINCT doc_id) AS n FROM t), f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+    h AS (SELECT doc_id, CAST('0x' || substr(md5(term), 1, 12) AS BIGINT) AS h, (1 + ln(tf)) * (1 + ln((n + 1.0) / (df + 1))) AS v FROM t JOIN f USING (term), n),
+    s AS (SELECT doc_id, CAST(h % 64 AS INT) AS dim, sum(CASE WHEN (h // 64) % 2 = 0 THEN v ELSE -v END) AS v FROM h GROUP BY ALL), z AS (SELECT doc_id, sqrt(sum(v * v)) AS z FROM s GROUP BY doc_id)
+    SELECT doc_id, dim, round(v / z, 5) AS value FROM s JOIN z USING (doc_id) WHERE abs(v / z) > 0.001"""
+)
+def text_embedding(spark, sf):
+    from ..operators.embedding import hashed_vectors
+
+    found = hashed_vectors(table(spark, sf, "documents"), "doc_id", "text", 64)
+    return found.select("doc_id", F.posexplode("embedding").alias("dim", "value")).where(F.abs("value") > 0.001).withColumn("value", F.round("value", 5))
+
+
+@query()
+def text_similarity_edges(spark, sf):
+    """From texts to edges: hashed vectors, the neighbour index, pairs that either end lists (approximate)."""
+    from ..operators.embedding import hashed_vectors
+    from ..operators.neighbours import NeighbourIndex
+    from ..sources.folders import stored
+
+    vectors = stored(hashed_vectors(table(spark, sf, "documents"), "doc_id", "text"), "text-vectors")
+    found, _ = NeighbourIndex.build(vectors, "doc_id", "embedding").search(vectors.withColumnRenamed("doc_id", "query_id"), "query_id", "embedding", search.SIMILAR_TOP)
+    return search.similarity_edges(found, "query_id", "doc_id", search.SIMILAR_LEAST)

@@ -1,8 +1,8 @@
 """The incremental cycle: new captures in, current tables out, with Structured Streaming.
 
 A file source with ``availableNow`` takes what has arrived since the last run; ``foreachBatch``
-merges it. Writing a version under a new name and pointing at it last makes a batch that is run
-again harmless.
+commits it to a store that is merged by key. The store remembers the last batch of a stream, so a
+batch that is run again changes nothing, and what it writes follows the batch.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.catalog import keep_first, requeue_errors
+from ..sources.keyed_store import KeyedStore
 
 
 def current_captures(log: DataFrame, keys: list[str], newest: str = "capture_ts") -> DataFrame:
@@ -19,34 +20,26 @@ def current_captures(log: DataFrame, keys: list[str], newest: str = "capture_ts"
     return keep_first(log, keys, [F.desc_nulls_last(newest), F.xxhash64(*log.columns)])
 
 
-def merge_batch(target: str, keys: list[str], newest: str):
-    """foreachBatch function: merges a batch into the newest version below ``target``; later rows win by ``newest``."""
+def merge_batch(store: KeyedStore, writer: str):
+    """foreachBatch function: commits each batch of the stream ``writer`` once."""
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        old = latest_version(spark, target, before=epoch)
-        rows = batch if old is None else batch.unionByName(old, allowMissingColumns=True)
-        current_captures(rows, keys, newest).write.mode("overwrite").parquet(f"{target}/v{epoch:012d}")
+        store.upsert(batch, writer, epoch)
 
     return merge
 
 
-def latest_version(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete version below ``target`` (of an epoch under ``before``)."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(path) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-    names = [n for n in names if before is None or n < f"v{before:012d}"]
-    return spark.read.parquet(f"{target}/{names[-1]}") if names else None
+def latest_version(spark: SparkSession, target: str, version: int | None = None) -> DataFrame | None:
+    """The table at ``target``, or an earlier version of it; None before its first commit."""
+    store = KeyedStore.open(spark, target)
+    return None if store is None else store.read(version)
 
 
-def ingest_new(spark: SparkSession, incoming: str, schema: str, target: str, checkpoint: str, keys: list[str], newest: str = "capture_ts") -> StreamingQuery:
+def ingest_new(spark: SparkSession, incoming: str, schema: str, target: str, checkpoint: str, keys: list[str], newest: str = "capture_ts", buckets: int = 64) -> StreamingQuery:
     """One run over the Parquet files that are new in ``incoming``; returns when they are merged."""
+    store = KeyedStore(spark, target, keys, newest, buckets)
     stream = spark.readStream.schema(schema).parquet(incoming)
-    query = stream.writeStream.foreachBatch(merge_batch(target, keys, newest)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(merge_batch(store, checkpoint)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
