@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import staged
+from ._shared import dropped, staged
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -26,10 +26,12 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = staged(large, "cc")
+        dropped(now)  # nothing reads a round's table once the next one is written
         least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
         joined = large.join(least, F.col("a") == F.col("u"))
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
         now = staged(small, "cc")
+        dropped(large)
         after = _state(now)
         if after == before:
             break
