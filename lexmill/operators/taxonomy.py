@@ -75,6 +75,28 @@ def library_rollup(placed: DataFrame) -> DataFrame:
     return out.select(level.alias("nivel"), "rama", "cabeza", "entidad_key", name.alias("nombre"), "total")
 
 
+def library_filter(rollup: DataFrame, query: str) -> DataFrame:
+    """Rows of ``library_rollup`` that a search for ``query`` shows, accents and case aside.
+
+    What matches by name brings all that is below it and the nodes above it; the whole library's row
+    stays, with its total. A blank query shows everything.
+    """
+    wanted = query.strip()
+    if not wanted:
+        return rollup
+    bare = lambda c: F.lower(text.strip_accents(c))
+    hit = F.coalesce(F.contains(bare(F.col("nombre")), bare(F.lit(wanted))), F.lit(False))
+    rows = rollup.withColumn("_hit", hit)
+    at = lambda n: F.max(F.when(F.col("nivel") == n, F.col("_hit")).otherwise(F.lit(False)))
+    heads = rows.where("nivel >= 2").groupBy(F.col("rama").alias("_r"), F.col("cabeza").alias("_c")).agg(at(2).alias("_head"), at(3).alias("_below"))
+    branches = rows.where("nivel >= 1").groupBy(F.col("rama").alias("_q")).agg(at(1).alias("_branch"), F.max("_hit").alias("_any"))
+    out = rows.join(branches, rows["rama"].eqNullSafe(branches["_q"]) & (rows["nivel"] >= 1), "left")
+    out = out.join(heads, out["rama"].eqNullSafe(heads["_r"]) & out["cabeza"].eqNullSafe(heads["_c"]) & (out["nivel"] >= 2), "left")
+    level = F.col("nivel")
+    shown = (level == 0) | ((level == 1) & F.col("_any")) | ((level == 2) & (F.col("_branch") | F.col("_head") | F.col("_below"))) | ((level == 3) & (F.col("_branch") | F.col("_head") | F.col("_hit")))
+    return out.where(shown).select(*rollup.columns)
+
+
 def library_order(rollup: DataFrame) -> DataFrame:
     """Presentation order: branches as fixed, heads and issuers by falling total, then by name."""
     place = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, vocab.BRANCHES)), F.col("rama")), F.lit(0)), F.lit(len(vocab.BRANCHES) + 1))

@@ -56,6 +56,55 @@ def text_as_of(timeline: DataFrame, key: list[str], at: Column | None) -> DataFr
     return timeline.groupBy(*key).agg(F.min_by(F.struct("texto", "desde", "hasta", "vigente"), rank).alias("v")).select(*key, "v.*")
 
 
+#: A span of days is halved so often; day numbers count from NIL.
+LEVELS, NIL = 18, -200_000
+
+
+def _nodes_of_day(day: Column) -> Column:
+    """The nodes of the tree over days that hold a day: (level, number), the day first."""
+    return F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.struct(k.alias("level"), F.floor(day / F.pow(F.lit(2), k)).cast("int").alias("number")))
+
+
+def _nodes_of_span(first: Column, last: Column) -> Column:
+    """The fewest nodes that make up the days ``first`` to ``last``: at most two a level."""
+    start = F.struct(first.alias("a"), last.alias("b"), F.array().cast("array<struct<level:int,number:int>>").alias("out"))
+
+    def step(s: Column, k: Column) -> Column:
+        node = lambda n: F.array(F.struct(k.alias("level"), n.alias("number")))
+        none = F.array().cast("array<struct<level:int,number:int>>")
+        open_ = s["a"] <= s["b"]
+        left = open_ & (s["a"] % 2 == 1)
+        right = open_ & (s["b"] % 2 == 0) & ~(left & (s["a"] == s["b"]))
+        out = F.concat(s["out"], F.when(left, node(s["a"])).otherwise(none), F.when(right, node(s["b"])).otherwise(none))
+        a, b = F.when(left, s["a"] + 1).otherwise(s["a"]), F.when(right, s["b"] - 1).otherwise(s["b"])
+        # what is empty stays so: its ends go on as 1 and 0
+        return F.when(a <= b, F.struct(F.floor(a / 2).cast("int").alias("a"), F.floor(b / 2).cast("int").alias("b"), out.alias("out"))).otherwise(F.struct(F.lit(1).alias("a"), F.lit(0).alias("b"), out.alias("out")))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS)), start, step, lambda s: s["out"])
+
+
+def texts_as_of(timeline: DataFrame, key: list[str], requests: DataFrame, at: str = "at") -> DataFrame:
+    """key, at, texto, desde, hasta, vigente: for each distinct (key, date) asked for what ``text_as_of`` gives.
+
+    Versions hold over spans of days, which are cut into nodes of a tree of halved spans; a day meets the
+    nodes that hold it, and one more for the current version. Of the versions of a key on one node only
+    the first counts, so a date meets at most one row a node, however many versions a key has, and
+    most dates of one key meet on nodes of their own. A null date asks for the current version; keys
+    without versions have no row.
+    """
+    day = lambda c: (F.unix_date(c) - NIL).cast("int")
+    rows = timeline.withColumns({"_a": F.coalesce(day(F.col("desde")), F.lit(0)), "_b": F.coalesce(day(F.col("hasta")), F.lit((1 << LEVELS) - 1))})
+    version = lambda rank: F.struct(rank.alias("k"), "texto", "desde", "hasta", "vigente").alias("_v")
+    current = F.struct(F.lit(-1).alias("level"), F.lit(0).alias("number"))
+    held = rows.where("_a <= _b").select(*key, F.explode(_nodes_of_span(F.col("_a"), F.col("_b"))).alias("_n"), version(F.col("orden")))
+    held = held.unionByName(timeline.where("vigente").select(*key, current.alias("_n"), version(F.col("orden") + (1 << 30))))
+    held = held.groupBy(*key, "_n").agg(F.min_by("_v", F.col("_v.k")).alias("_v"))
+    asked = requests.select(*key, F.col(at).cast("date").alias("at")).distinct()
+    nodes = F.when(F.col("at").isNull(), F.array(current)).otherwise(F.array_append(_nodes_of_day(day(F.col("at"))), current))
+    met = asked.select(*key, "at", F.explode(nodes).alias("_n")).join(held, [*key, "_n"])
+    return met.groupBy(*key, "at").agg(F.min_by("_v", F.col("_v.k")).alias("_v")).select(*key, "at", "_v.texto", "_v.desde", "_v.hasta", "_v.vigente")
+
+
 def article_reports(articles: DataFrame, affectations: DataFrame, norms: DataFrame) -> DataFrame:
     """doc_id, art_id, estado, vigente, motivo of every article.
 

@@ -49,6 +49,24 @@ def library_rollup(spark, sf):
     return taxonomy.library_rollup(_placed(spark, sf))
 
 
+_TREE_SQL = ORACLE_SQL["library_rollup"].replace("SELECT CASE gid", ", tree AS (SELECT CASE gid", 1)
+
+
+@query(
+    f"""{_TREE_SQL}), q(q) AS (VALUES ('ira'), ('machin'), ('asia'), ('zzz')), m AS (SELECT tree.*, q, contains(strip_accents(lower(nombre)), q) AS hit FROM tree, q),
+    h AS (SELECT q, rama, cabeza, bool_or(hit AND nivel = 2) AS head, bool_or(hit AND nivel = 3) AS below FROM m WHERE nivel >= 2 GROUP BY ALL), b AS (SELECT q, rama, bool_or(hit AND nivel = 1) AS branch, bool_or(hit) AS any_ FROM m WHERE nivel >= 1 GROUP BY ALL)
+    SELECT m.q, nivel, m.rama, m.cabeza, entidad_key, nombre, total FROM m LEFT JOIN b ON b.q = m.q AND b.rama = m.rama LEFT JOIN h ON h.q = m.q AND h.rama = m.rama AND h.cabeza = m.cabeza
+    WHERE nivel = 0 OR (nivel = 1 AND any_) OR (nivel = 2 AND (branch OR head OR below)) OR (nivel = 3 AND (branch OR head OR hit))"""
+)
+def library_search(spark, sf):
+    """Four searches of the library's tree: by a head's name, by an issuer's, by a branch's, and for nothing."""
+    from functools import reduce
+
+    tree = taxonomy.library_rollup(_placed(spark, sf))
+    asked = {"ira": " ÍRA", "machin": "Machin ", "asia": "ASIA", "zzz": "zzz"}
+    return reduce(lambda a, b: a.unionByName(b), [taxonomy.library_filter(tree, q).withColumn("q", F.lit(k)) for k, q in asked.items()])
+
+
 @query("SELECT doc_id, length(k) AS n, md5(k) AS k FROM (SELECT doc_id, lower(trim(regexp_replace(regexp_replace(strip_accents(coalesce(text, '')), '[^a-zA-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))) AS k FROM documents)")
 def fold_key(spark, sf):
     key = text.fold(F.col("text"))
@@ -419,6 +437,16 @@ def as_of_text(spark, sf):
     return validity.text_as_of(_timeline(spark, sf).join(F.broadcast(at)), ["user_id"], F.col("at")).select("user_id", "texto", "vigente")
 
 
+@query(
+    f"""WITH {_TIMELINE}, q AS (SELECT DISTINCT user_id, CAST(ts AS DATE) + CAST(event_id % 31 AS INT) - 15 AS d FROM events), r AS (SELECT q.user_id, q.d, t.texto, t.vigente, CASE WHEN (desde IS NULL OR d >= desde) AND (hasta IS NULL OR d <= hasta) THEN orden WHEN t.vigente THEN 1073741824 END AS k FROM q JOIN t USING (user_id))
+    SELECT user_id, d AS "at", arg_min(texto, k) AS texto, arg_min(vigente, k) AS vigente FROM r WHERE k IS NOT NULL GROUP BY user_id, d"""
+)
+def as_of_many(spark, sf):
+    """A date of its own for every event: the version of its user that was in force then."""
+    asked = table(spark, sf, "events").select("user_id", F.expr("date_add(to_date(ts), cast(event_id % 31 as int) - 15)").alias("at"))
+    return validity.texts_as_of(_timeline(spark, sf), ["user_id"], asked).select("user_id", "at", "texto", "vigente")
+
+
 # --- graph ----------------------------------------------------------------------------------------------
 def _edges(spark, sf):
     orders_, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
@@ -790,3 +818,16 @@ def text_similarity_edges(spark, sf):
     vectors = stored(hashed_vectors(table(spark, sf, "documents"), "doc_id", "text"), "text-vectors")
     found, _ = NeighbourIndex.build(vectors, "doc_id", "embedding").search(vectors.withColumnRenamed("doc_id", "query_id"), "query_id", "embedding", search.SIMILAR_TOP)
     return search.similarity_edges(found, "query_id", "doc_id", search.SIMILAR_LEAST)
+
+
+@query("SELECT o_orderkey AS id, o_custkey AS entidad, o_orderstatus AS estado, o_totalprice AS valor FROM orders WHERE o_orderkey >= 1000 AND o_orderstatus IN ('F', 'O')")
+def sqlite_catalog_scan(spark, sf):
+    """Orders as a catalog of SQLite files, one a task; read again in key ranges with filters inside SQLite."""
+    from ..sources import datasources
+    from ..sources.folders import work_folder
+
+    datasources.register(spark)
+    path = work_folder(spark, "sqlite")
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey AS id", "o_custkey AS entidad", "o_orderstatus AS estado", "o_totalprice AS valor")
+    rows.write.format("lexmill_sqlite").option("path", path).option("table", "catalog").mode("append").save()
+    return spark.read.format("lexmill_sqlite").option("path", path).option("table", "catalog").option("key", "id").load().where("id >= 1000 AND estado IN ('F', 'O')")

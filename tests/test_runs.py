@@ -72,3 +72,43 @@ def test_bisected_days_equals_the_portal_loop(spark):
     known = {d: n for d, n in days.items() if n}
     want = crawl.bisect(min(known), max(known), lambda a, b: sum(n for d, n in known.items() if a <= d <= b), 50)
     assert sorted((r.desde, r.hasta, r.n) for r in crawl.bisected_days(daily, 50).collect()) == want
+
+
+def test_texts_at_many_dates(spark):
+    """Every (key, date) gets what the one-date operator gives; brute force over closed intervals."""
+    from lexmill.operators import validity
+
+    rng = np.random.default_rng(3)
+    first = date(1900, 1, 1)
+    rows = []
+    for k in ("hot", "b", "c"):
+        for orden in range(1, 300 if k == "hot" else 6):
+            a = first + timedelta(days=int(rng.integers(60_000)))
+            b = a + timedelta(days=int(rng.integers(-2, 900)))
+            rows.append((k, orden, f"{k}{orden}", a if rng.random() < 0.9 else None, b if rng.random() < 0.9 else None, False))
+        if k != "c":
+            rows.append((k, 1000, f"{k} now", None, None, True))
+    timeline = spark.createDataFrame(rows, "k string, orden int, texto string, desde date, hasta date, vigente boolean")
+    asked = [(k, first + timedelta(days=int(rng.integers(62_000)))) for k in ("hot", "b", "c") for _ in range(150)] + [("hot", None), ("c", None), ("none", first), ("b", first), ("b", first)]
+    got = {(r.k, r["at"]): r.texto for r in validity.texts_as_of(timeline, ["k"], spark.createDataFrame(asked, "k string, at date")).collect()}
+    want = {}
+    for k, at in asked:
+        mine = sorted((r for r in rows if r[0] == k), key=lambda r: r[1])
+        hits = [r for r in mine if at and (r[3] is None or r[3] <= at) and (r[4] is None or at <= r[4])] or [r for r in mine if r[5]]
+        if hits:
+            want[k, at] = hits[0][2]
+    assert got == want
+
+
+def test_library_filter(spark):
+    from lexmill.operators import taxonomy
+
+    placed = [("Ejecutiva", "Minas", "Ágora"), ("Ejecutiva", "Minas", "CREG"), ("Ejecutiva", "Salud", "INS"), ("Judicial", "Cortes", "Minería"), (None, None, "Otra")]
+    tree = taxonomy.library_rollup(spark.createDataFrame(placed, "rama string, cabeza string, entidad string"))
+    names = lambda q: sorted(f"{r.nivel}{r.nombre}" for r in taxonomy.library_filter(tree, q).collect())
+    assert names("  ") == sorted(f"{r.nivel}{r.nombre}" for r in tree.collect())
+    assert names("MINÁS") == ["0Biblioteca", "1Ejecutiva", "2Minas", "3CREG", "3Ágora"]
+    assert names("agora ") == ["0Biblioteca", "1Ejecutiva", "2Minas", "3Ágora"]
+    assert names("judic") == ["0Biblioteca", "1Judicial", "2Cortes", "3Minería"]
+    assert names("mine") == ["0Biblioteca", "1Judicial", "2Cortes", "3Minería"]
+    assert names("nada") == ["0Biblioteca"]
