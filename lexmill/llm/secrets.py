@@ -1,5 +1,10 @@
 """Secret scans with a random forest that removes false positives; DataFrame functions only.
 
+What is a word, and which letter follows which, is learnt from the corpus itself: words of letters only
+that at least ``common`` documents hold, and how often each letter follows each in them. A candidate's
+dictionary coverage is the share of its letters in parts that are such words, and its transition score
+the mean log probability of its letter pairs.
+
 Detectors find candidate tokens in whole texts: runs of SHAPE, the formats of RULES, and words of
 SHORTEST and more characters after a credential's name. A candidate is described by its length, its
 character transitions, how much of it common words cover, its path and the words around it; a
@@ -13,7 +18,8 @@ findings (by hash order, a documented bound) fit the forest; everything is scann
 
 Defined results: null and empty texts have no findings; a null path is an empty one; repeated rows
 give findings each; if labels of one kind only exist, the score is the detectors' own label (0.5
-where undecided); an empty table gives no rows; other columns are ignored.
+where undecided); without common words nothing is covered; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -41,9 +47,12 @@ NAMES = r"(?i)^[^A-Za-z]*(pass(word|wd)?|secret|token|api_?key|access_?key|auth|
 FORMATS = SHAPE + "|" + "|".join(RULES[k].strip("^$") for k in ("cloud_key", "prefixed_token", "web_token", "hex")) + r"|(?i:(pass(word|wd)?|secret|token|api_?key|access_?key|auth)[=:].{8})"
 ANYWHERE = FORMATS + r"|(?i:(?<![A-Za-z])(pass(word|wd)?|secret|token|api_?key|access_?key|auth|bearer|credential)s?(?![A-Za-z]))"
 NOT_SECRET = r"(?i)(@|^https?:|^www\.|example|placeholder|changeme|x{6,}|(.)\2{5,}|^[0-9.:,/+\-]+$)"
-#: Common words and word parts that readable names are made of.
-WORDS = ("the and for that with this from have not are was were been will you your all any can has had but one two our out day get use man new now old see way who its did may " "name user file data test demo mail info page item list type code key id www com org net http html json text line word date time north south east west license version number").split()
-PAIRS = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce".split()
+#: Documents that hold a word of the dictionary, at least.
+COMMON = 3
+#: A word of the corpus: letters between blanks, with closing punctuation; the parts of a candidate that may be words.
+CORPUS_WORD = r"(?<!\S)([a-z]{3,24})(?=[.,;:!?]?(?:\s|$))"
+PART = r"[A-Z]?[a-z]{2,}|[A-Z]{3,}(?![a-z])"
+BROADCAST_WORDS = 100_000
 #: Classes of characters; the share of each transition between two of them is a feature.
 CLASSES = {"lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "other": "[^A-Za-z0-9]"}
 TRANSITIONS = {f"{a}_{b}": f"{x}(?={y})" for a, x in CLASSES.items() for b, y in CLASSES.items()}
@@ -91,11 +100,44 @@ def _bucket(side: str) -> Column:
     return F.when(letters != "", F.pmod(F.xxhash64(letters), F.lit(NEIGHBOURS))).otherwise(-1)
 
 
+#: Score of a letter pair that no word has, and of a value without letter pairs.
+UNKNOWN_PAIR = -8.0
+
+
+def corpus_words(docs: DataFrame, common: int = COMMON) -> DataFrame:
+    """(word, df): words of letters that at least ``common`` documents hold."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(CORPUS_WORD), 1))
+    return docs.where("text IS NOT NULL").select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("df")).where(F.col("df") >= common)
+
+
+def pair_scores(words: DataFrame) -> DataFrame:
+    """One row: ``scores``, a map of at most 676 letter pairs to the log probability of the second letter after the first."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", i, F.lit(2)))
+    counted = words.select(F.explode(pairs).alias("pair"), "df").groupBy("pair").agg(F.sum("df").alias("n"))
+    after = counted.groupBy(F.substring("pair", 1, 1).alias("a")).agg(F.sum("n").alias("all"))
+    scored = counted.join(F.broadcast(after), F.substring("pair", 1, 1) == F.col("a")).select("pair", F.log((F.col("n") + 1) / (F.col("all") + 26)).alias("s"))
+    return scored.agg(F.map_from_entries(F.collect_list(F.struct("pair", "s"))).alias("scores"))
+
+
+def with_words(found: DataFrame, words: DataFrame) -> DataFrame:
+    """Adds ``covered`` (letters of a value in parts that are words) and ``pair_score``."""
+    letters = F.regexp_replace(F.lower("value"), "[^a-z]+", " ")
+    pairs = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.length(letters) - 1, F.lit(1))), lambda i: F.substring(letters, i, F.lit(2))), lambda p: p.rlike("^[a-z]{2}$"))
+    values = staged(found.select("value").distinct().select("value", F.transform(F.regexp_extract_all("value", F.lit(PART), 0), F.lower).alias("parts"), pairs.alias("pairs")), "values")
+    small = F.broadcast(words) if words.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS else words
+    covered = values.select("value", F.explode("parts").alias("word")).join(small, "word", "left_semi").groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
+    mean = F.aggregate("pairs", F.lit(0.0), lambda t, p: t + F.coalesce(F.element_at("scores", p), F.lit(UNKNOWN_PAIR))) / F.size("pairs")
+    scored = values.join(F.broadcast(pair_scores(words))).select("value", F.when(F.size("pairs") > 0, mean).alias("pair_score"))  # one row
+    told = staged(scored.join(covered, "value", "left"), "told")
+    if told.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
+        return found.join(F.broadcast(told), "value", "left")
+    return found.join(told, "value", "left")
+
+
 def described(found: DataFrame) -> DataFrame:
-    """Adds the FEATURES columns and those of ``rule_labels``, all doubles."""
+    """Adds the FEATURES columns and those of ``rule_labels``, all doubles; ``found`` has been ``with_words``."""
     v = F.col("value")
     entropy = F.expr("-aggregate(transform(array_distinct(split(value, '')), c -> (length(value) - length(replace(value, c, ''))) / length(value)), 0D, (s, p) -> s + if(p > 0, p * log2(p), 0D))")
-    words = "|".join(sorted((w for w in WORDS if len(w) > 2), key=len, reverse=True))
     columns = {
         "length": F.length(v),
         "entropy": entropy,
@@ -103,8 +145,8 @@ def described(found: DataFrame) -> DataFrame:
         "uppers": _rate(r"[A-Z]", v),
         "vowels": _rate(r"(?i)[aeiou]", v),
         **{name: _rate(pattern, v) for name, pattern in TRANSITIONS.items()},
-        "pairs": _rate(r"(?i)(?=" + "|".join(PAIRS) + ")", v),
-        "dictionary": (F.length(v) - F.length(F.regexp_replace(F.lower(v), words, ""))) / F.greatest(F.length(v), F.lit(1)),
+        "pairs": F.coalesce("pair_score", F.lit(UNKNOWN_PAIR)),
+        "dictionary": F.coalesce("covered", F.lit(0)) / F.greatest(F.length(v), F.lit(1)),
         "hexadecimal": v.rlike(r"^[0-9a-fA-F]+$"),
         "at_sign": F.col("token").contains("@"),
         "fixed_prefix": F.col("rule").isin("cloud_key", "prefixed_token", "web_token"),
@@ -127,9 +169,10 @@ def rule_labels(found: DataFrame) -> Column:
     return F.when(placeholder, 0.0).when((F.col("fixed_prefix") > 0) | (F.col("assigned") > 0) | named, 1.0).when(F.col("entropy") < 2.5, 0.0)
 
 
-def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source", train_rows: int = TRAIN_ROWS, trees: int = 20, threshold: float = 0.5, seed: int = 5) -> DataFrame:
+def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source", train_rows: int = TRAIN_ROWS, trees: int = 20, threshold: float = 0.5, seed: int = 5, common: int = COMMON) -> DataFrame:
     """One row per finding: doc_id, at, rule, shown (masked), value_sha256, score, kept."""
-    found = described(candidates(docs, path))
+    words = staged(corpus_words(docs, common), "words")
+    found = described(with_words(staged(candidates(docs, path), "candidates"), words))
     if labelled is None:
         found = found.withColumn("label", rule_labels(found))
     else:
