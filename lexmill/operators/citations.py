@@ -1,10 +1,16 @@
-"""Citations of norms and rulings in text."""
+"""Citations of norms and rulings in text.
+
+Every family's pattern begins with one of a few words. One pass finds where those words stand, and a
+family's pattern is tried there only; spans are kept in order, so that whether a span is taken is told
+from its neighbours.
+"""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,35 +18,56 @@ from ..functions import vocab
 from ..schemas import CITATION
 
 FIELDS = ("type", "raw", "numero", "anio", "articulo", "nombre")
-_FAMILIES = [(kind, re.compile(pattern, re.IGNORECASE), groups) for kind, pattern, groups in vocab.CITATION_FAMILIES]
-
-
-def find_citations(text: str | None) -> list[dict]:
-    """Citations in order of family, then place; a span taken by an earlier family counts once."""
-    taken: list[tuple[int, int]] = []
-    out: dict[tuple, dict] = {}
-    for kind, pattern, groups in _FAMILIES:
-        for m in pattern.finditer(text or ""):
-            if any(m.start() < end and m.end() > start for start, end in taken):
+#: Words that families begin with, as their patterns write them.
+CUES = ("art[ií]culo", "ley", "decreto", "sentencia", "resoluci[oó]n", "acto", "c[oó]digo")
+_CUE = re.compile(r"\b(?:" + "|".join(f"({c})" for c in CUES) + ")", re.IGNORECASE)
+_FAMILIES = [(kind, re.compile(pattern, re.IGNORECASE), groups, next(k for k, c in enumerate(CUES) if pattern.split(r"\b", 1)[1].startswith(c))) for kind, pattern, groups in vocab.CITATION_FAMILIES]
+
+
+def find_citations(text: str | None) -> list[tuple]:
+    """Citations (FIELDS) in order of family, then place; a span taken by an earlier family counts once."""
+    places: list[list[int]] = [[] for _ in CUES]
+    for m in _CUE.finditer(text or ""):
+        places[m.lastindex - 1].append(m.start())
+    starts: list[int] = []
+    ends: list[int] = []
+    out: dict[tuple, str] = {}
+    for kind, pattern, groups, cue in _FAMILIES:
+        after = 0
+        for place in places[cue]:
+            if place < after:
+                continue
+            m = pattern.match(text, place)
+            if m is None:
+                continue
+            start, after = m.span()
+            at = bisect_left(starts, after)  # taken spans do not overlap: the last one before the end tells
+            if at and ends[at - 1] > start:
                 continue
-            taken.append(m.span())
+            starts.insert(at, start)
+            ends.insert(at, after)
             found = dict(zip(groups, m.groups()))
             if "prefijo" in found:
-                found["numero"] = f"{found.pop('prefijo').upper()}-{found['numero']}"
+                found["numero"] = f"{found['prefijo'].upper()}-{found['numero']}"
             if "nombre" in found:
                 found["nombre"] = found["nombre"].strip().lower()
-            key = (kind, *(found.get(f) for f in FIELDS[2:]))
-            out.setdefault(key, {"type": kind, "raw": m.group(0), **found})
-    return [{f: c.get(f) for f in FIELDS} for c in out.values()]
+            out.setdefault((kind, *(found.get(f) for f in FIELDS[2:])), m.group(0))
+    return [(key[0], raw, *key[1:]) for key, raw in out.items()]
 
 
-def _find_all(text: pd.Series) -> pd.Series:
-    return text.map(find_citations)
+def _find_all(texts: pa.Array) -> pa.Array:
+    found = [find_citations(t) for t in texts.to_pylist()]
+    offsets = [0]
+    for f in found:
+        offsets.append(offsets[-1] + len(f))
+    columns = list(zip(*(c for f in found for c in f))) or [()] * len(FIELDS)
+    rows = pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in columns], FIELDS)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)
 
 
 def citations(text: Column) -> Column:
-    """All families with span suppression: needs match positions, so it runs in Arrow batches."""
-    return F.pandas_udf(_find_all, f"array<{CITATION}>")(text)
+    """All families with span suppression: needs match positions, so it runs over Arrow arrays."""
+    return F.arrow_udf(_find_all, f"array<{CITATION}>")(text)
 
 
 def family(text: Column, kind: str, with_article: bool = False) -> Column:

@@ -117,10 +117,34 @@ def test_orders_and_citations(spark):
     assert rows[0].targets[0].articulo == "5" and rows[0].targets[0].numero == "10"
     assert len(orders.split_orders(spark.createDataFrame([(1, body)], "d int, r string"), ["d"], "r", plain=True).collect()) == 2
     found = citations.find_citations("artículo 5 de la Ley 10 de 1990 y la ley 10 de 1990; Decreto Ley 7 de 1991; sentencia su-62 de 2019")
-    assert [(c["type"], c["numero"], c["articulo"]) for c in found] == [("ley", "10", "5"), ("ley", "10", None), ("decreto", "7", None), ("sentencia", "SU-62", None)]
+    assert [(c[0], c[2], c[4]) for c in found] == [("ley", "10", "5"), ("ley", "10", None), ("decreto", "7", None), ("sentencia", "SU-62", None)]
     assert citations.find_citations(None) == []
 
 
+def plain_citations(text):
+    """Every family's pattern over the whole text, spans kept in a list."""
+    taken, out = [], {}
+    for kind, pattern, groups in vocab.CITATION_FAMILIES:
+        for m in re.finditer(pattern, text, re.IGNORECASE):
+            if any(m.start() < end and m.end() > start for start, end in taken):
+                continue
+            taken.append(m.span())
+            found = dict(zip(groups, m.groups()))
+            number = f"{found['prefijo'].upper()}-{found['numero']}" if "prefijo" in found else found.get("numero")
+            name = found["nombre"].strip().lower() if "nombre" in found else None
+            out.setdefault((kind, number, found.get("anio"), found.get("articulo"), name), m.group(0))
+    return [(k[0], raw, *k[1:]) for k, raw in out.items()]
+
+
+PIECES = ["artículo 5 ", "ARTICULO 29 ", "de la ", "del ", "Ley 10 de 1990", "ley 7 de 2001", "Decreto ", "decreto ley 3 de 1999", " Sentencia C-1 de 2000", "ſentencia T-2 de 2001", "resolución 8 de 1988 ", "acto legislativo 1 de 2003", "Constitución", "código civil", "Código  de procedimiento penal ", "x", " ", "\n", "ley", "artículo 5 de la ley 7 de 2001 "]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join))
+def test_citations_by_cue(text):
+    assert citations.find_citations(text) == plain_citations(text)
+
+
 PAGE = """<body class="documento_cms"><span field="tipo">LEY</span><span field="numero">7</span><span field="anio">2001</span><span field="x">NULL</span>
 <div id="9cuerpo-toc"><li class="vinieta-toc"><a href="#ver_1"></a><span class="toctextart">Art 1</span></li></div>
 <div id="9ResumenNotasVigencia"><ul class="resumenvigencias"><li class="resumenvigencias"><b>Artículo 1:</b><ul><li class="referencia"><span>Derogado</span> <a href="v.asp?id=55#ver_8">Ley 9 de 2002</a> (art 2)</li></ul></li></ul></div>
