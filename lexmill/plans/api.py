@@ -39,10 +39,41 @@ class Library:
         """A catalog page; filters as for ``catalog_page``."""
         return C.catalog_page(self._need("catalog"), limit=min(limit, PAGE_LIMIT), offset=offset, **filters)
 
-    def tree(self) -> DataFrame:
+    def page_after(self, last: tuple[str | None, str | None, int] | None = None, limit: int = 50, **filters) -> DataFrame:
+        """The catalog rows that follow ``last`` (anio, numero, id of a page's last row) in the order of ``page``.
+
+        A filter in place of an offset: no page sorts or passes over the rows of the pages before it.
+        """
+        rows = C.filter_catalog(self._need("catalog"), **filters)
+        if last is not None:
+            anio, numero, ident = last
+            # falling, nulls last: what follows is less or, where the last value is not null, null
+            less = lambda c, v: F.lit(False) if v is None else F.col(c).isNull() | (F.col(c) < v)
+            same = lambda c, v: F.col(c).eqNullSafe(F.lit(v))
+            rows = rows.where(less("anio", anio) | (same("anio", anio) & (less("numero", numero) | (same("numero", numero) & (F.col("id") > ident)))))
+        return rows.orderBy(F.desc("anio"), F.desc("numero"), "id").limit(min(limit, PAGE_LIMIT))
+
+    def document(self, canonical: str) -> dict[str, DataFrame]:
+        """Everything about one norm or ruling: its catalog row, articles, chunks, validity and neighbours, each a filtered table."""
+        row = self._need("catalog").where(F.col("canonical_id") == canonical)
+        below = F.col("canonical_id").startswith(f"{canonical}:art:")
+        known = {"catalog": row}
+        if self.articles is not None:
+            known["articles"] = self.articles.where((F.col("canonical_id") == canonical) | below)
+        if self.chunks is not None:
+            known["chunks"] = self.chunks.where(F.col("norm_canonical_id") == canonical)
+        if self.affectations is not None:
+            norms = row.select(F.col("suin_id").alias("doc_id"), F.coalesce("suin_vigencia", "vigencia").alias("vigencia"))
+            known["validity"] = validity.norm_reports(norms, self.affectations.join(norms.select("doc_id"), "doc_id", "left_semi"))
+        if self.edges is not None:
+            known["graph"] = graph.neighbourhood(self.edges, canonical, None, "ambas", GRAPH_LIMIT)
+        return known
+
+    def tree(self, query: str = "") -> DataFrame:
+        """The library's tree, or what of it a search by name shows."""
         rows = self._need("catalog")
         placed = rows.select(taxonomy.classified(F.col("tipo"), F.col("sector"), F.col("entidad"), F.col("corte")).alias("x")).select("x.*")
-        return taxonomy.library_order(taxonomy.library_rollup(placed))
+        return taxonomy.library_order(taxonomy.library_filter(taxonomy.library_rollup(placed), query))
 
     def search(self, query: str, limit: int = 10, vector: list[float] | None = None, **filters) -> DataFrame:
         """BM25 over filtered chunks; with the query's ``vector``, fused with the nearest by the chunks' ``embedding``."""

@@ -831,3 +831,17 @@ def sqlite_catalog_scan(spark, sf):
     rows = table(spark, sf, "orders").selectExpr("o_orderkey AS id", "o_custkey AS entidad", "o_orderstatus AS estado", "o_totalprice AS valor")
     rows.write.format("lexmill_sqlite").option("path", path).option("table", "catalog").mode("append").save()
     return spark.read.format("lexmill_sqlite").option("path", path).option("table", "catalog").option("key", "id").load().where("id >= 1000 AND estado IN ('F', 'O')")
+
+
+@query("SELECT event_type, count(*) AS rows, count(DISTINCT user_id) AS n, true AS exact FROM events GROUP BY event_type")
+def distinct_sketches(spark, sf):
+    """Distinct users of each event type from sketches that three batches left in a store; exact up to 1,024 a type."""
+    from ..operators import distinct
+    from ..sources.folders import work_folder
+    from ..sources.keyed_store import KeyedStore
+
+    store, events = KeyedStore(spark, work_folder(spark, "sketches"), ["event_type"], buckets=4), table(spark, sf, "events")
+    for k in range(3):
+        distinct.add_batch(store, events.where(F.col("event_id") % 3 == k), "user_id", "events", k)
+    distinct.add_batch(store, events.where("event_id % 3 = 1"), "user_id", "events", 1)  # again: changes nothing
+    return distinct.counts(store.read(), ["event_type"])

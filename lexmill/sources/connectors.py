@@ -248,6 +248,36 @@ def comptroller_index(df: DataFrame, html: str) -> DataFrame:
     return _seeds(rows, tipo=F.when(series == "CGR-OJ", "CONCEPTO").otherwise("RESOLUCION"), numero=number, anio=year, source="organos_control", external_id=F.concat_ws("-", series, padded, year), source_url=F.col("u"), extra=_extra(entidad="CONTRALORIA", serie=series))
 
 
+#: Series of the comptroller's store to folder and prefix; widths of numbers and extensions in use there.
+COMPTROLLER_SERIES = {"CONCEPTO": ("conceptos-juridicos", "CGR-OJ"), "RESOLUCION_REG": ("resoluciones", "REG-EJE"), "RESOLUCION_OGZ": ("resoluciones", "OGZ")}
+COMPTROLLER_STORE = "https://relatoria.blob.core.windows.net/$web"
+COMPTROLLER_WIDTHS, COMPTROLLER_EXTENSIONS, COMPTROLLER_MISSES = (3, 4), ("PDF", "pdf"), 12
+
+
+def comptroller_candidates(df: DataFrame) -> DataFrame:
+    """df (serie, numero, anio) with every address a number may have: its place ``intento`` in the order of trying, and ``url``."""
+    ways = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(e).alias("e")) for w in COMPTROLLER_WIDTHS for e in COMPTROLLER_EXTENSIONS])
+    folder, prefix = (text.lookup(F.col("serie"), {k: v[i] for k, v in COMPTROLLER_SERIES.items()}) for i in (0, 1))
+    digits = F.col("numero").cast("string")
+    padded = F.lpad(digits, F.greatest(F.length(digits), F.col("x.w")), "0")
+    rows = df.select("*", F.posexplode(ways).alias("intento", "x"))
+    url = F.concat(F.lit(f"{COMPTROLLER_STORE}/files/"), folder, F.lit("/"), prefix, F.lit("-"), padded, F.lit("-"), F.col("anio").cast("string"), F.lit("."), F.col("x.e"))
+    return rows.withColumn("url", url).drop("x")
+
+
+def comptroller_found(candidates: DataFrame, answers: DataFrame, misses: int = COMPTROLLER_MISSES) -> DataFrame:
+    """serie, numero, anio, url (null: none) of the numbers that a crawl gets to see.
+
+    answers: url, status. A number is found at its first address that answers 200 or 206; a year's crawl
+    goes on by number and ends with the ``misses``-th number in a row without one.
+    """
+    from ..operators.runs import until_misses
+
+    good = answers.where(F.col("status").isin(200, 206)).select("url").distinct().withColumn("_good", F.lit(True))
+    tried = candidates.join(good, "url", "left").groupBy("serie", "anio", "numero").agg(F.min_by("url", F.when(F.col("_good"), F.col("intento"))).alias("url"))
+    return until_misses(tried, ["serie", "anio"], ["numero"], F.col("url").isNotNull(), misses).where("kept").select("serie", "numero", "anio", "url")
+
+
 def docket_year(docket: Column, stamp: Column, latest: int) -> Column:
     """Year at digits 13 to 16 of a docket number, else the time stamp's."""
     digits = F.regexp_replace(docket, r"\D", "")

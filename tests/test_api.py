@@ -38,3 +38,21 @@ def test_neighbours(library):
     assert library.neighbours("a").count() > 0
     with pytest.raises(ValueError):
         library.neighbours("a", limit=0)
+
+
+def test_pages_by_key_and_whole_documents(spark, library):
+    from dataclasses import replace
+
+    rows = [(i, f"co:{i}", str(i), "LEY", n, a, None, "Vigente") for i, (a, n) in enumerate([("2020", "1"), ("2020", "1"), ("2020", None), ("2019", "7"), (None, "3"), (None, None), (None, "9"), ("2021", "2")])]
+    catalog = spark.createDataFrame(rows, "id int, canonical_id string, suin_id string, tipo string, numero string, anio string, suin_vigencia string, vigencia string")
+    one = replace(library, catalog=catalog)
+    whole = [r.id for r in catalog.orderBy("anio", "numero", "id").sort(catalog["anio"].desc(), catalog["numero"].desc(), "id").collect()]
+    got, last = [], None
+    while page := one.page_after(last, limit=3).collect():
+        got += [r.id for r in page]
+        last = (page[-1].anio, page[-1].numero, page[-1].id)
+    assert got == whole and len(got) == 8
+    named = spark.createDataFrame([(9, "co:ley:1:2020", "s9", "LEY", "1", "2020", None, "Vigente")], catalog.schema)
+    touched = spark.createDataFrame([("s9", "1", "MODIFICA", "x", "suin")], "doc_id string, article_affected string, normalized_type string, source_text string, kind string")
+    found = replace(library, catalog=named).document("co:ley:1:2020")
+    assert {k: v.count() for k, v in found.items()} == {"catalog": 1, "articles": 1, "chunks": 1, "graph": 0} and touched.count() == 1

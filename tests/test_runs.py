@@ -112,3 +112,33 @@ def test_library_filter(spark):
     assert names("judic") == ["0Biblioteca", "1Judicial", "2Cortes", "3Minería"]
     assert names("mine") == ["0Biblioteca", "1Judicial", "2Cortes", "3Minería"]
     assert names("nada") == ["0Biblioteca"]
+
+
+def test_comptroller_enumeration(spark):
+    from lexmill.sources import connectors
+
+    numbers = spark.range(1, 60).selectExpr("'CONCEPTO' AS serie", "cast(id AS int) AS numero", "2020 AS anio").unionByName(spark.createDataFrame([("RESOLUCION_OGZ", 12345, 2021)], "serie string, numero int, anio int"))
+    tried = connectors.comptroller_candidates(numbers)
+    base = "https://relatoria.blob.core.windows.net/$web/files/conceptos-juridicos/CGR-OJ-"
+    assert [r.url for r in tried.where("numero = 7").orderBy("intento").collect()] == [f"{base}007-2020.PDF", f"{base}007-2020.pdf", f"{base}0007-2020.PDF", f"{base}0007-2020.pdf"]
+    assert {r.url.rsplit("/", 1)[1] for r in tried.where("anio = 2021").collect()} == {"OGZ-12345-2021.PDF", "OGZ-12345-2021.pdf"}
+    answers = spark.createDataFrame([(f"{base}001-2020.pdf", 200), (f"{base}0001-2020.pdf", 200), (f"{base}0010-2020.PDF", 206), (f"{base}011-2020.pdf", 404), (f"{base}040-2020.pdf", 200)], "url string, status int")
+    got = {r.numero: r.url for r in connectors.comptroller_found(tried, answers).where("serie = 'CONCEPTO'").collect()}
+    assert sorted(got) == list(range(1, 23))  # 11 to 22 are twelve misses in a row: what follows is not seen
+    assert {k: v for k, v in got.items() if v} == {1: f"{base}001-2020.pdf", 10: f"{base}0010-2020.PDF"}
+
+
+def test_sketches(spark, tmp_path):
+    from lexmill.operators import distinct
+    from lexmill.sources.keyed_store import KeyedStore
+
+    rows = spark.range(60_000).selectExpr("if(id < 50000, 'big', if(id < 50900, 'small', null)) AS g", "if(id % 7 = 0, null, id) AS u").unionByName(spark.createDataFrame([("none", None)], "g string, u long"))
+    want = {r.g: r.n for r in rows.groupBy("g").agg(F.countDistinct("u").alias("n")).collect()}
+    store = KeyedStore(spark, str(tmp_path / "s"), ["g"], buckets=2)
+    for k in range(3):
+        distinct.add_batch(store, rows.where(f"coalesce(u, 0) % 3 = {k}"), "u", "w", k)
+    distinct.add_batch(store, rows.where("u % 3 = 0"), "u", "w", 0)
+    got = {r.g: (r.n, r.exact) for r in distinct.counts(store.read(), ["g"]).collect()}
+    assert set(got) == set(want) and all(got[g] == (want[g], True) for g in ("small", "none"))
+    assert not got["big"][1] and abs(got["big"][0] / want["big"] - 1) < 4 * 0.83 / 2**7 and not got[None][1]
+    assert distinct.counts(distinct.sketches(rows.limit(0), ["g"], "u"), ["g"]).count() == 0
