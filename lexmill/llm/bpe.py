@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from ._shared import MEMORIES, Remembered, free_names, only
 
-CACHE_PIECES = 600_000
-QUERY_PIECES = 50_000
-QUERY_BYTES = 800_000
-QUERY_TOKENS = 400_000
+CACHE_PIECES = 300_000
+QUERY_PIECES = 20_000
+#: Rows that a recursive query may come to: a piece of n bytes has at most n in each of at most n steps.
+QUERY_ROWS = 1_000_000
+QUERY_TOKENS = 200_000
 LONG_PIECE = 1024
 #: Texts of more characters are split and encoded so many pieces at a time.
 LONG_TEXT, LOT_PIECES = 1 << 20, 200_000
@@ -154,8 +155,8 @@ class PieceCoder:
                 continue
             batch.append(piece)
             raw.append(b)
-            size += len(b)
-            if len(batch) >= QUERY_PIECES or size >= QUERY_BYTES:
+            size += len(b) * len(b) // 2
+            if len(batch) >= QUERY_PIECES or size >= QUERY_ROWS:
                 self._query(batch, raw)
                 batch, raw, size = [], [], 0
         if batch:
@@ -213,8 +214,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep: list[
         only("bpe")
         coder = _coders.get(ranks_path) or _coders.setdefault(ranks_path, PieceCoder(ranks_path, pattern))
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                some = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
                 coded = coder.code(some.column(some.num_columns - 1).to_pylist())
                 out = [some.column(i) for i in range(len(keep))]
                 out += [pa.array([len(a) // 4 for a, _ in coded], pa.int64()), pa.array([hashlib.sha256(a).hexdigest() for a, _ in coded], pa.string()), pa.array([hashlib.sha256(b).hexdigest() for _, b in coded], pa.string())]

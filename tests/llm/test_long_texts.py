@@ -11,8 +11,8 @@ P = pytest.importorskip("public_tokenizers")
 from lexmill.llm import bpe, jaccard, langid, lattice, lines, media, mixing, ranked, secrets, tokenbin  # noqa: E402
 
 WORDS = [f"word{i:x}" for i in range(997)]
-LONG = " ".join(WORDS[(i * 7919) % 997] for i in range(400_000))  # about 3 MB
-ROWS = [(1, LONG, "en", "a"), (2, "the quick brown fox jumps over the lazy dog", "en", "a"), (3, LONG + " end", "en", "b"), (4, "x" * 3_000_000, "en", "b"), (5, "a short text of some words for the language", "en", "b")]
+LONG = " ".join(WORDS[(i * 7919) % 997] for i in range(40_000))  # about 300 KB
+ROWS = [(1, LONG, "en", "a"), (2, "the quick brown fox jumps over the lazy dog", "en", "a"), (3, LONG + " end", "en", "b"), (4, "x" * 200_000, "en", "b"), (5, "a short text of some words for the language", "en", "b")]
 
 
 @pytest.fixture(scope="module")
