@@ -5,6 +5,9 @@ and united in any order, so a store holds one a group, and a batch that comes tw
 Up to EXACT_SHARE * 2^size distinct ids a group's sketch still holds them one by one and its estimate
 is the count; beyond that the relative error has a standard deviation of about 0.83 / sqrt(2^size).
 
+Where the count must be right at any size, a store keyed by group and id holds each id of a group once
+(``add_ids``), and ``exact_counts`` counts them: its size follows the distinct ids, not a bound.
+
 Defined results: null ids do not count; a null group is a group; a group with null ids only has 0;
 an empty table has no groups.
 """
@@ -41,3 +44,14 @@ def add_batch(store: KeyedStore, df: DataFrame, ident: str, writer: str | None =
     by = store.keys
     merge = lambda old, new: united(new.unionByName(old.select(*new.columns)), by)
     store.modify(sketches(df, by, ident, size), merge, writer, number)
+
+
+def add_ids(store: KeyedStore, df: DataFrame, writer: str | None = None, number: int | None = None) -> None:
+    """Adds a batch's rows to a store whose keys are the groups and, last, the id: one row an id with its rows so far."""
+    merge = lambda old, new: new.unionByName(old.select(*new.columns)).groupBy(*store.keys).agg(F.sum("rows").alias("rows"))
+    store.modify(df.groupBy(*store.keys).agg(F.count("*").alias("rows")), merge, writer, number)
+
+
+def exact_counts(ids: DataFrame, by: list[str], ident: str) -> DataFrame:
+    """(*by, rows, n, exact) of the rows of such a store: distinct ids of each group, whatever their number."""
+    return ids.groupBy(*by).agg(F.sum("rows").alias("rows"), F.count(ident).alias("n"), F.lit(True).alias("exact"))

@@ -142,3 +142,15 @@ def test_sketches(spark, tmp_path):
     assert set(got) == set(want) and all(got[g] == (want[g], True) for g in ("small", "none"))
     assert not got["big"][1] and abs(got["big"][0] / want["big"] - 1) < 4 * 0.83 / 2**7 and not got[None][1]
     assert distinct.counts(distinct.sketches(rows.limit(0), ["g"], "u"), ["g"]).count() == 0
+
+
+def test_exact_distinct_counts(spark, tmp_path):
+    """The query's counts equal its SQL's where types have more ids than a sketch keeps apart."""
+    import duckdb
+
+    from lexmill.plans import queries
+
+    spark.range(20_000).selectExpr("id AS event_id", "if(id % 11 = 0, null, id % 6001) AS user_id", "if(id % 3 = 0, 'view', if(id % 50 = 1, null, 'buy')) AS event_type").unionByName(spark.sql("SELECT 20001L AS event_id, CAST(null AS LONG) AS user_id, 'none' AS event_type")).write.parquet(str(tmp_path / "events.parquet"))
+    want = duckdb.sql(queries.ORACLE_SQL["distinct_sketches"].replace("FROM events", f"FROM '{tmp_path}/events.parquet/*.parquet'")).fetchall()
+    got = [(r.event_type, r.rows, r.n, r.exact) for r in queries.QUERIES["distinct_sketches"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and max(r[2] for r in got) > 1_024
