@@ -253,3 +253,15 @@ def test_windows_without_room(spark):
     assert negatives.mine_negatives(frame, F.col("vec_id") == 0).count() == 0  # a negative positive score leaves no window
     got = negatives.mine_negatives(frame.unionByName(spark.createDataFrame([(4, [0.0, 0.5], 0)], frame.schema)), F.col("vec_id") == 0).collect()
     assert [(r.positive_id, r.negative_id, r.negative_score) for r in got] == [(4, 3, 0)]
+
+
+def test_query_rules_are_the_contracts(spark, tmp_path):
+    """The registered query's rules: allow org/, block example.org/es/, block example.org/en/1, allow com/fr/, block com/de/."""
+    from lexmill.llm import registry
+
+    assert registry.URL_RULES == [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+    urls_ = ["http://a.org/x", "http://example.org/es/1", "http://w.example.org/en/17", "http://b.com/fr/", "http://b.com/de/2", "http://example.org/en/2"]
+    spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame([], "doc_id long, quality long, toxic long").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r.page_id: (r.rule, r.verdict) for r in registry.op12_host_reputation(spark, str(tmp_path)).collect()}
+    assert got == {0: ("org/", "allow"), 1: ("example.org/es/", "block"), 2: ("example.org/en/1", "block"), 3: ("com/fr/", "allow"), 4: ("com/de/", "block"), 5: ("org/", "allow")}
