@@ -40,6 +40,8 @@ ROUNDS = 0
 SPAN = 1 << 15
 LONG_WORD = 256
 NEVER = -1e30
+#: Stands in a grid for the character 0, which pads it.
+NUL = 0x110000
 LN10 = math.log(10)
 PACKED = "part long, doc_ids array<long>, held array<boolean>, lengths array<int>, sequence binary, words array<binary>, counts array<long>"
 
@@ -86,6 +88,10 @@ def pack_documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(task, PACKED)
 
 
+def _utf8(point: int) -> bytes:
+    return b"\0" if point == NUL else chr(point).encode("utf-8", "replace")
+
+
 class Pieces:
     """A vocabulary with log probabilities, found in words by hashes of their substrings."""
 
@@ -119,7 +125,7 @@ class Pieces:
         """Log probability of each character by its UTF-8 bytes."""
         out = np.empty(len(points))
         for i, c in enumerate(points.tolist()):
-            out[i] = self.byte_logs[list(chr(c).encode("utf-8", "replace"))].sum() if c else NEVER
+            out[i] = self.byte_logs[list(_utf8(c))].sum() if c else NEVER
         return out
 
     def edges(self, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,12 +191,15 @@ def grids(words: list[bytes]):
         for at in range(0, len(group), step):
             some = group[at : at + step]
             text = "".join(texts[i].ljust(width, "\0") for i in some)
-            yield some, np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(some), width), size[some]
+            grid = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(some), width)
+            within = np.arange(width) < size[some][:, None]
+            yield some, np.where((grid == 0) & within, np.uint32(NUL), grid), size[some]
 
 
 def long_score(word: bytes, pieces: Pieces) -> float:
     """As ``word_scores`` of one word of any length: span by span, carrying the masses that a piece can reach back to."""
     points = np.frombuffer((MARK + word.decode("utf-8", "replace")).encode("utf-32-le"), dtype=np.uint32)
+    points = np.where(points == 0, np.uint32(NUL), points)
     known, at, back = np.zeros((1, 1)), 0, 0
     while at < len(points):
         _, logs, spelled = pieces.edges(points[None, at - back : at + SPAN])
@@ -229,7 +238,7 @@ def expected_counts(words: list[bytes], counts: np.ndarray, pieces: Pieces) -> n
         use = np.exp(np.minimum(0.0, ahead[:, :width] + spelled + behind[:, 1:] - whole)) * times
         hit = use > 1e-12
         for c, n in zip(*_sums(grid[hit], use[hit])):
-            for b in chr(c).encode("utf-8", "replace"):
+            for b in _utf8(c):
                 total[pieces.spelled[b]] += n
     return total
 

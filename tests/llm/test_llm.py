@@ -701,3 +701,19 @@ def test_pipeline(spark, tmp_path):
     out = corpus_pipeline.run(spark, path)
     assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in frame.collect())
     assert all(r.n_tokens == len(r.ids) for r in out.collect())
+
+
+def test_query_scores_held_out_rows(spark, tmp_path):
+    """The registered query's model learns: held-out words that training has cost about what they cost the base."""
+    from lexmill.llm import registry
+
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefgh"), 9)) for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(words, 60)), "en", "a") for i in range(200)] + [(1000 + i, f"a\0b \0 \x0041 {words[i]}", "en", "a") for i in range(20)]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.op10_lattice_scoring(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(math.isfinite(r.score) and r.score > -1e4 for r in got)
+    held = [r for r in got if r.held_out and r.doc_id < 1000]
+    assert held and sum(r.score for r in held) > 1.05 * sum(r.base_score for r in held)
+    odd = [r for r in got if r.doc_id >= 1000 and r.held_out]
+    assert odd and all(r.score > 3 * r.base_score for r in odd)
