@@ -110,11 +110,16 @@ class StoredIndex:
         slices = max(1, -(-docs.count() // SLICE_DOCS))
         dealt = docs.select(F.col(self.doc).alias("doc"), F.col(body).alias("body")).repartition(slices, F.xxhash64("doc")).sortWithinPartitions("doc", F.xxhash64("body"))
         number = F.monotonically_increasing_id()
-        words = stored(dealt.select("doc", F.shiftright(number, 33).cast("int").alias("slice"), number.bitwiseAND((1 << 33) - 1).cast("int").alias("ord"), tokens(F.col("body")).alias("w")), "words")
+        words = stored(dealt.select("doc", F.shiftright(number, 33).cast("int").alias("slice"), number.bitwiseAND((1 << 33) - 1).cast("int").alias("ord"), F.sort_array(tokens(F.col("body"))).alias("w")), "words")
         words = words.withColumn("dl", F.size("w"))
         words.groupBy("slice").agg(F.count("*").alias("docs"), F.sum("dl").alias("total")).write.parquet(out("stats"))
         words.select("slice", "ord", "doc").repartition("slice").write.parquet(out("docs"))
-        held = words.select("slice", "ord", "dl", F.explode("w").alias("term")).groupBy("slice", "ord", "dl", "term").agg(F.count("*").cast("int").alias("tf"))
+        # a row is a document: its sorted words are counted there, from where each term starts to where the next one does
+        start = F.filter(F.sequence(F.lit(0), F.col("dl") - 1), lambda i: (i == 0) | (F.get("w", i) != F.get("w", i - 1)))
+        runs = words.where("dl > 0").withColumn("at", start)
+        spans = F.arrays_zip(F.col("at"), F.concat(F.slice("at", 2, F.size("at")), F.array("dl")).alias("end"))
+        counted = F.transform(spans, lambda r: F.struct(F.get("w", r["at"]).alias("term"), (r["end"] - r["at"]).alias("tf")))
+        held = runs.select("slice", "ord", "dl", F.explode(counted).alias("r")).select("slice", "ord", "dl", "r.term", "r.tf")
         place = F.row_number().over(Window.partitionBy("slice", "term").orderBy("ord")) - 1
         blocks = held.withColumn("block", (place / BLOCK).cast("int")).groupBy("slice", "term", "block")
         postings = F.sort_array(F.collect_list(F.struct("ord", "tf", "dl"))).alias("p")
