@@ -86,3 +86,18 @@ def test_incremental(spark, tmp_path):
     incremental.ingest_new(spark, incoming, schema, target, check, ["suin_id"])
     got = {r.suin_id: r.v for r in incremental.latest_version(spark, target).collect()}
     assert got == {"a": 2, "b": 1}
+
+
+def test_markdown_leaves_no_tree():
+    """A page's tree goes at once, without the collector."""
+    import gc
+
+    from lexmill.sources import html
+
+    gc.collect()
+    gc.disable()
+    try:
+        assert html.markdown("<div><h1>A</h1><p>b <b>c</b></p></div>" * 20).startswith("# A\n\nb c")
+        assert not any(isinstance(o, html.Node) for o in gc.get_objects())
+    finally:
+        gc.enable()
