@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -122,6 +123,16 @@ def first_rule(c: Column, rules: list[tuple[str, str]], flags: str = "(?isU)") -
     return out
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
+def stripped(c: Column) -> Column:
+    """Without white space at both ends."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def lookup(c: Column, table: dict[str, str]) -> Column:
     """Value of a small fixed table; null if the key is not in it."""
     pairs = reduce(list.__add__, [[F.lit(k), F.lit(v)] for k, v in table.items()])

@@ -70,6 +70,16 @@ def citations(text: Column) -> Column:
     return F.arrow_udf(_find_all, f"array<{CITATION}>")(text)
 
 
+def _find_each(lists: pa.Array) -> pa.Array:
+    ends = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).cumsum()
+    return pa.ListArray.from_arrays(pa.array([0, *ends.tolist()], pa.int32()), _find_all(lists.flatten()))
+
+
+def citations_each(texts: Column) -> Column:
+    """``citations`` of each text of an array."""
+    return F.arrow_udf(_find_each, f"array<array<{CITATION}>>")(texts)
+
+
 def family(text: Column, kind: str, with_article: bool = False) -> Column:
     """Distinct ``number:year`` of one family, in the JVM, without span suppression."""
     pattern, groups = next((p, g) for k, p, g in vocab.CITATION_FAMILIES if k == kind and ("articulo" in g) == with_article)

@@ -36,6 +36,41 @@ def _decision(folded: Column) -> Column:
     return F.when(some, text.first_rule(folded, vocab.DECISION_RULES, "(?U)")).otherwise(F.lit(vocab.OTHER_DECISION))
 
 
+def _numerals(operative: Column, numeral: str) -> Column:
+    """Texts of the numerals, in order."""
+    parts = F.split(text.stripped(F.coalesce(operative, F.lit(""))), f"(?imu)(?={numeral})")
+    return F.filter(parts, lambda p: p.rlike("(?iu)" + numeral))
+
+
+def _named(body: Column, numeral: str) -> tuple[Column, Column]:
+    """Number and label of an order's text."""
+    label = F.regexp_extract(body, "(?imu)" + numeral, 1)
+    key = F.lower(text.strip_accents(label))
+    number = F.coalesce(text.lookup(key, {k: str(v) for k, v in vocab.ORDINALS.items()}), key).cast("int")
+    return number, F.when(label.rlike("^[0-9]"), label).otherwise(F.concat(F.upper(F.substring(label, 1, 1)), F.lower(F.substring(label, 2, 100))))
+
+
+def _scope(body: Column) -> Column:
+    return F.nullif(F.trim(F.regexp_extract(body, "(?iuU)" + vocab.SCOPE_PATTERN, 0)), F.lit(""))
+
+
+def _condition(body: Column, decision: Column) -> Column:
+    found = F.substring(F.trim(F.regexp_extract(body, "(?isuU)" + vocab.CONDITION_PATTERN, 1)), 1, vocab.CONDITION_MOST)
+    return F.when(decision == "EXEQUIBLE_CONDICIONADA", F.nullif(found, F.lit("")))
+
+
+def orders_of(operative: Column, plain: bool = False) -> Column:
+    """Array of struct(order_number, ordinal_label, decision_type, text, scope, condicion) of one text's numerals."""
+    numeral = NUMERAL_PLAIN if plain else NUMERAL
+
+    def order(body: Column) -> Column:
+        number, shown = _named(body, numeral)
+        decided = text.bound(_folded(body), _decision)
+        return text.bound(decided, lambda d: F.struct(number.alias("order_number"), shown.alias("ordinal_label"), d.alias("decision_type"), body.alias("text"), _scope(body).alias("scope"), _condition(body, d).alias("condicion")))
+
+    return F.transform(F.transform(_numerals(operative, numeral), text.stripped), order)
+
+
 def split_orders(df: DataFrame, keep: list[str], operative: str, plain: bool = False, with_targets: bool = True) -> DataFrame:
     """One row per numeral: keep, pos, order_number, ordinal_label, decision_type, text, scope, condicion, targets.
 
@@ -43,17 +78,8 @@ def split_orders(df: DataFrame, keep: list[str], operative: str, plain: bool = F
     first one is dropped. With ``plain`` accented ordinals start no order.
     """
     numeral = NUMERAL_PLAIN if plain else NUMERAL
-    pattern = "(?imu)" + numeral
-    whole = F.regexp_replace(F.coalesce(F.col(operative), F.lit("")), r"^\s+|\s+$", "")
-    parts = F.filter(F.split(whole, f"(?imu)(?={numeral})"), lambda p: p.rlike("(?iu)" + numeral))
-    body = F.regexp_replace("_b", r"^\s+|\s+$", "")
-    out = df.select(*keep, F.posexplode(parts).alias("pos", "_b")).withColumn("text", body).drop("_b")
-    label = F.regexp_extract("text", pattern, 1)
-    key = F.lower(text.strip_accents(label))
-    number = F.coalesce(text.lookup(key, {k: str(v) for k, v in vocab.ORDINALS.items()}), key).cast("int")
-    shown = F.when(label.rlike("^[0-9]"), label).otherwise(F.concat(F.upper(F.substring(label, 1, 1)), F.lower(F.substring(label, 2, 100))))
+    out = df.select(*keep, F.posexplode(_numerals(F.col(operative), numeral)).alias("pos", "_b")).withColumn("text", text.stripped(F.col("_b"))).drop("_b")
+    number, shown = _named(F.col("text"), numeral)
     out = out.withColumn("order_number", number).withColumn("ordinal_label", shown).withColumn("decision_type", classify_decision(F.col("text")))
-    out = out.withColumn("scope", F.nullif(F.trim(F.regexp_extract("text", "(?iuU)" + vocab.SCOPE_PATTERN, 0)), F.lit("")))
-    condition = F.substring(F.trim(F.regexp_extract("text", "(?isuU)" + vocab.CONDITION_PATTERN, 1)), 1, vocab.CONDITION_MOST)
-    out = out.withColumn("condicion", F.when(F.col("decision_type") == "EXEQUIBLE_CONDICIONADA", F.nullif(condition, F.lit(""))))
+    out = out.withColumn("scope", _scope(F.col("text"))).withColumn("condicion", _condition(F.col("text"), F.col("decision_type")))
     return out.withColumn("targets", citations(F.col("text"))) if with_targets else out

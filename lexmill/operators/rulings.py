@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import orders, sections
-from .citations import as_text, citations
+from .citations import as_text, citations, citations_each
 
 #: How a chamber and a judge are named, and what stands where nothing is.
 CHAMBER = r"(?iu)Sala\s+(?:de\s+)?(?:Casaci[oó]n\s+)?(Plena|Civil|Penal|Laboral|Primera|Segunda|Tercera|Cuarta|Quinta|Revisi[oó]n|Consulta)"
@@ -18,22 +18,19 @@ def map_rulings(docs: DataFrame, md: str = "md") -> DataFrame:
     """suin_id, tipo, numero, anio, corte, sala, magistrado_ponente, hechos, consideraciones, resuelve, sections, orders, citaciones, raw_text.
 
     docs: suin_id (once each), tipo, numero, anio, corte, magistrado_ponente and the markdown. A judge
-    of the catalog stands; else the text names one, or it is null. Blank texts have empty lists.
+    of the catalog stands; else the text names one, or it is null. Blank texts have empty lists. A ruling is
+    read in its own row: nothing is exchanged, joined or sorted.
     """
     doc = "suin_id"
     body = F.coalesce(F.col(md), F.lit(""))
-    split = sections.split_sections(docs, doc, md)
-    parts = sections.legacy_buckets(split, doc)
-    listed = split.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("seq", "level", "original_heading", "normalized_section", "text", "parent_seq"))).alias("sections"))
-    decided = orders.split_orders(parts.select(doc, "resuelve"), [doc], "resuelve")
-    fields = ("order_number", "ordinal_label", "decision_type", "text", "scope", "condicion", "targets")
-    decided = decided.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("pos", F.struct(*fields).alias("o")))).alias("_o")).select(doc, F.transform("_o", lambda x: x["o"]).alias("orders"))
     named = F.nullif(F.trim(F.regexp_replace(F.regexp_extract(body, JUDGE, 1), r"[*_]", "")), F.lit(""))
     judge = F.coalesce(F.nullif(F.col("magistrado_ponente"), F.lit("")), named)
     chamber = F.coalesce(F.nullif(F.regexp_extract(body, CHAMBER, 1), F.lit("")), F.lit(CHAMBER_DEFAULT))
     base = docs.select(doc, F.coalesce("tipo", F.lit("SENTENCIA")).alias("tipo"), F.coalesce("numero", F.lit("")).alias("numero"), F.coalesce("anio", F.lit("")).alias("anio"), F.coalesce("corte", F.lit(COURT)).alias("corte"), chamber.alias("sala"), judge.alias("magistrado_ponente"), citations(body).alias("_c"), body.alias("raw_text"))
     base = base.withColumn("citaciones", F.transform("_c", as_text)).drop("_c")
-    out = base.join(parts, doc, "left").join(listed, doc, "left").join(decided, doc, "left")
-    blank = [F.coalesce(c, F.lit("")).alias(c) for c in ("hechos", "consideraciones", "resuelve")]
-    lists = [F.coalesce(F.col(c), F.array().cast(out.schema[c].dataType)).alias(c) for c in ("sections", "orders")]
-    return out.select(doc, "tipo", "numero", "anio", "corte", "sala", "magistrado_ponente", *blank, *lists, "citaciones", "raw_text")
+    out = base.withColumn("sections", sections.sections_of(F.col("raw_text")))
+    out = out.withColumns(sections.buckets_of(F.col("sections")))
+    out = out.withColumn("_o", orders.orders_of(F.col("resuelve")))
+    out = out.withColumn("_t", citations_each(F.transform("_o", lambda o: o["text"])))
+    decided = F.transform("_o", lambda o, k: F.struct(*[o[c].alias(c) for c in ("order_number", "ordinal_label", "decision_type", "text", "scope", "condicion")], F.get("_t", k).alias("targets")))
+    return out.select(doc, "tipo", "numero", "anio", "corte", "sala", "magistrado_ponente", "hechos", "consideraciones", "resuelve", "sections", decided.alias("orders"), "citaciones", "raw_text")

@@ -1,4 +1,8 @@
-"""Ruling sections from headings: classes, parents and inheritance by windows."""
+"""Ruling sections from headings: classes, parents and inheritance.
+
+A text's sections are one array in its own row (``sections_of``), so nothing is exchanged or sorted;
+headings that are rows already inherit by windows (``inherit``).
+"""
 
 from __future__ import annotations
 
@@ -43,28 +47,58 @@ def inherit(heads: DataFrame, doc: str, level: str = "level", seq: str = "seq",
     return out.drop("_class", *[f"_at{k}" for k in range(1, DEEPEST + 1)])
 
 
+SECTION = ("seq", "level", "original_heading", "normalized_section", "text", "parent_seq")
+
+
+def _inherited(heads: Column) -> Column:
+    """struct(parent_seq, normalized_section) of each of a text's headings (seq, level, own): what ``inherit`` gives.
+
+    Kept along the way: the latest heading and those it lies in, one a level at most.
+    """
+
+    def step(done: Column, h: Column) -> Column:
+        def placed(path: Column) -> Column:
+            above = F.get(path, F.size(path) - 1)
+            own = F.coalesce(h["own"], above["class"], F.lit(vocab.OTHER_SECTION))
+            return text.bound(own, lambda c: F.struct(F.concat(path, F.array(F.struct(h["seq"].alias("seq"), h["level"].alias("level"), c.alias("class")))).alias("path"), F.concat(done["out"], F.array(F.struct(above["seq"].alias("parent_seq"), c.alias("normalized_section")))).alias("out")))
+
+        return text.bound(F.filter(done["path"], lambda x: x["level"] < h["level"]), placed)
+
+    none = F.struct(F.array().cast("array<struct<seq:int,level:int,class:string>>").alias("path"), F.array().cast("array<struct<parent_seq:int,normalized_section:string>>").alias("out"))
+    return F.aggregate(heads, none, step, lambda done: done["out"])
+
+
+def sections_of(md: Column) -> Column:
+    """Array of struct(SECTION) of ruling markdown, in order; what stands before the first heading is a preamble if not blank."""
+
+    def row(seq, level, heading, section, body, parent):
+        return F.struct(*[c.alias(n) for n, c in zip(SECTION, (seq, level, heading, section, body, parent))])
+
+    def listed(w: Column) -> Column:
+        heads, lines, before = w["heads"], w["lines"], (w["preamble"] != "").cast("int")
+        heading = lambda h: F.trim(F.regexp_extract(h["line"], HEADING, 2))
+        own = lambda h: text.bound(F.lower(clean_heading(heading(h))), lambda c: text.first_rule(c, vocab.SECTION_RULES))
+        after = lambda k: F.coalesce(F.get(heads, k + 1)["at"], F.size(lines))
+        placed = _inherited(F.transform(heads, lambda h, k: F.struct((before + k).alias("seq"), h["level"].alias("level"), own(h).alias("own"))))
+        body = lambda h, k: text.stripped(F.array_join(F.slice(lines, h["at"] + 2, after(k) - h["at"] - 1), "\n"))
+        first = row(F.lit(0), F.lit(0), F.lit(""), F.lit(vocab.PREAMBLE), w["preamble"], F.lit(None).cast("int"))
+        rest = text.bound(placed, lambda p: F.transform(heads, lambda h, k: row(before + k, h["level"], heading(h), F.get(p, k)["normalized_section"], body(h, k), F.get(p, k)["parent_seq"])))
+        return F.concat(F.filter(F.array(first), lambda x: x["text"] != ""), rest)
+
+    def cut(lines: Column) -> Column:
+        heads = F.filter(F.transform(lines, lambda s, i: F.struct(i.alias("at"), F.length(F.regexp_extract(s, HEADING, 1)).alias("level"), s.alias("line"))), lambda h: h["level"] > 0)
+        return text.bound(heads, lambda h: F.struct(h.alias("heads"), lines.alias("lines"), text.stripped(F.array_join(F.slice(lines, F.lit(1), F.coalesce(F.get(h, 0)["at"], F.size(lines))), "\n")).alias("preamble")))
+
+    lines = F.split(text.stripped(F.coalesce(md, F.lit(""))), r"\r?\n")
+    return text.bound(text.bound(lines, cut), listed)
+
+
 def split_sections(docs: DataFrame, doc: str, md: str) -> DataFrame:
     """(doc, seq, level, original_heading, normalized_section, text, parent_seq) of ruling markdown.
 
     Text before the first heading is a preamble section if not blank. Blank documents have none.
     """
-    body = F.regexp_replace(F.coalesce(F.col(md), F.lit("")), r"^\s+|\s+$", "")
-    lines = docs.select(doc, body.alias("_t")).where("_t <> ''").select(doc, F.posexplode(F.split("_t", r"\r?\n")).alias("_line", "_s"))
-    lines = lines.withColumn("_level", F.length(F.regexp_extract("_s", HEADING, 1)))
-    along = Window.partitionBy(doc).orderBy("_line").rowsBetween(Window.unboundedPreceding, 0)
-    lines = lines.withColumn("_block", F.sum((F.col("_level") > 0).cast("int")).over(along))
-    block = lines.groupBy(doc, "_block").agg(
-        F.max("_level").alias("level"),
-        F.max(F.when(F.col("_level") > 0, F.regexp_extract("_s", HEADING, 2))).alias("heading"),
-        F.sort_array(F.collect_list(F.when(F.col("_level") == 0, F.struct("_line", "_s")))).alias("_body"),
-    )
-    joined = F.regexp_replace(F.array_join(F.transform("_body", lambda x: x["_s"]), "\n"), r"^\s+|\s+$", "")
-    block = block.select(doc, "_block", "level", F.trim(F.coalesce("heading", F.lit(""))).alias("original_heading"), joined.alias("text"))
-    block = block.where((F.col("_block") > 0) | (F.col("text") != ""))
-    block = block.withColumn("seq", F.row_number().over(Window.partitionBy(doc).orderBy("_block")) - 1)
-    heads = inherit(block.where("level > 0").withColumn("own", classify_heading(F.col("original_heading"))), doc).drop("own")
-    preamble = block.where("level = 0").withColumn("parent_seq", F.lit(None).cast("int")).withColumn("normalized_section", F.lit(vocab.PREAMBLE))
-    return heads.unionByName(preamble).select(doc, "seq", "level", "original_heading", "normalized_section", "text", "parent_seq")
+    return docs.select(doc, F.explode(sections_of(F.col(md))).alias("_s")).select(doc, *[F.col(f"_s.{c}").alias(c) for c in SECTION])
 
 
 def content_type(section: Column) -> Column:
@@ -75,13 +109,29 @@ def is_separate_opinion(section: Column) -> Column:
     return section.isin(vocab.SEPARATE_OPINIONS)
 
 
+#: Families of sections that older readers know, in order.
+FAMILIES = {"hechos": vocab.FACTS_SECTIONS, "consideraciones": vocab.REASONING_SECTIONS, "resuelve": [vocab.OPERATIVE_SECTION]}
+
+
+def _block(heading: Column, body: Column) -> Column:
+    return F.when(heading != "", F.concat(heading, F.lit("\n\n"), body)).otherwise(body)
+
+
+def buckets_of(sections: Column) -> dict[str, Column]:
+    """Section texts by family of one text's array, in order; separate opinions stay out."""
+
+    def joined(names: list[str]) -> Column:
+        own = F.filter(sections, lambda s: (s["text"] != "") & s["normalized_section"].isin(names))
+        return F.array_join(F.transform(own, lambda s: _block(s["original_heading"], s["text"])), "\n\n")
+
+    return {k: joined(names) for k, names in FAMILIES.items()}
+
+
 def legacy_buckets(sections: DataFrame, doc: str) -> DataFrame:
     """(doc, hechos, consideraciones, resuelve): section texts by family, in order; separate opinions stay out."""
-    block = F.when(F.col("original_heading") != "", F.concat("original_heading", F.lit("\n\n"), "text")).otherwise(F.col("text"))
-    families = {"hechos": vocab.FACTS_SECTIONS, "consideraciones": vocab.REASONING_SECTIONS, "resuelve": [vocab.OPERATIVE_SECTION]}
 
     def joined(names: list[str]) -> Column:
-        own = F.sort_array(F.collect_list(F.when((F.col("text") != "") & F.col("normalized_section").isin(names), F.struct("seq", block.alias("b")))))
+        own = F.sort_array(F.collect_list(F.when((F.col("text") != "") & F.col("normalized_section").isin(names), F.struct("seq", _block(F.col("original_heading"), F.col("text")).alias("b")))))
         return F.array_join(F.transform(own, lambda x: x["b"]), "\n\n")
 
-    return sections.groupBy(doc).agg(*[joined(names).alias(k) for k, names in families.items()])
+    return sections.groupBy(doc).agg(*[joined(names).alias(k) for k, names in FAMILIES.items()])

@@ -162,3 +162,47 @@ def test_norm_page(spark):
     assert len(norm.articles) == 1 and art.canonical_id == "co:ley:7:2001:art:1" and art.title == "Objeto" and "Mostrar" not in art.text
     assert art.notes == ["nota"] and art.previous_versions[0].text == "viejo" and art.affects[0].target_text == "Decreto 4 de 1999"
     assert row[1].articles == [] and row[1].parse_error is None
+
+
+def plain_sections(md):
+    """Line by line, with a stack of open headings."""
+    import re
+
+    out, body, head = [], [], (0, "")
+    lines = re.split(r"\r?\n", re.sub(r"^\s+|\s+$", "", md or "", flags=re.A))
+    for line in [*lines, None]:
+        m = None if line is None else re.match(sections.HEADING, line)
+        if line is None or m:
+            text = re.sub(r"^\s+|\s+$", "", "\n".join(body), flags=re.A)
+            if head[0] or text:
+                out.append((len(out), *head, text))
+            body, head = [], (len(m[1]), m[2].strip(" ")) if m else None
+        else:
+            body.append(line)
+    rows, path = [], []
+    for seq, level, heading, text in out:
+        path = [x for x in path if x[1] < level]
+        own = "ENCABEZADO" if not level else "DEMANDA" if "demanda" in heading.lower() else "COMPETENCIA" if "ompetencia" in heading else path[-1][2] if path else "OTRO"
+        rows.append((seq, level, heading, own, text, path[-1][0] if path else None))
+        path += [(seq, level, own)] if level else []
+    return rows
+
+
+def test_sections_in_their_row(spark):
+    """Any order of headings, as a plain reading has it; a ruling's sections and orders need no exchange."""
+    import random
+
+    from lexmill.operators import rulings
+
+    rng = random.Random(3)
+    pieces = ["# Demanda", "## 1. Competencia", "### Algo", "#### a) Más", "###### Hondo", "#sin", "texto", "", "  ", "\tdos # tres", "## **La demanda**"]
+    texts = [rng.choice(["\n", "\r\n"]).join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(150)] + [None, " \n ", "# Demanda"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "d int, md string")
+    got: dict = {}
+    for r in sections.split_sections(rows, "d", "md").collect():
+        got.setdefault(r.d, []).append(tuple(r)[1:])
+    for d, md in enumerate(texts):
+        assert sorted(got.get(d, [])) == plain_sections(md), md
+    docs = rows.selectExpr("cast(d as string) AS suin_id", "md", *[f"cast(null as string) AS {c}" for c in ("tipo", "numero", "anio", "corte", "magistrado_ponente")])
+    plan = rulings.map_rulings(docs)
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString() and plan.count() == len(texts)
