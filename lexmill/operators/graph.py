@@ -20,6 +20,8 @@ DECISION_RELATIONS = {
     "NULIDAD": ("DECLARA_NULIDAD", "INEXEQUIBLE"),
 }
 MOST_CITATIONS = 30
+#: Rows of a part of a large graph, and parts that one node's edges are dealt to.
+PART_ROWS, SALTS = 1_000_000, 8
 
 
 def citation_node(c: Column) -> Column:
@@ -120,16 +122,30 @@ def grouped_neighbours(around: DataFrame) -> DataFrame:
     return around.groupBy("direccion", "rel").agg(F.count("*").alias("total"), F.sort_array(F.collect_list("vecino")).alias("vecinos"))
 
 
-def global_links(edges: DataFrame, nodes: DataFrame, excluded: tuple[str, ...] = (), ghosts: bool = True) -> DataFrame:
-    """Distinct undirected links (a, b, rel) between ingested nodes, and to ghosts if wanted."""
-    rows = edges.where(~F.col("rel").isin(*excluded)) if excluded else edges
-    known = nodes.select("id")
-    inside = rows.join(known.withColumnRenamed("id", "src"), "src", "left_semi")
-    if ghosts:
-        both = inside.unionByName(rows.join(known.withColumnRenamed("id", "dst"), "dst", "left_semi"))
-    else:
-        both = inside.join(known.withColumnRenamed("id", "dst"), "dst", "left_semi")
-    return both.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "rel").distinct()
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` of about ``rows`` rows dealt by ``keys`` to parts of PART_ROWS, if that is more parts than tasks run at once."""
+    parts = -(-rows // PART_ROWS)
+    return df.repartition(parts, *keys) if parts > df.sparkSession.sparkContext.defaultParallelism else df
+
+
+def global_links(edges: DataFrame, nodes: DataFrame, excluded: tuple[str, ...] = (), ghosts: bool = True, about: int | None = None) -> DataFrame:
+    """Distinct undirected links (a, b, rel) between ingested nodes, and to ghosts if wanted.
+
+    ``about`` is how many edges there are, counted if not given: what a task sorts or keeps does not grow with
+    them. A node with many edges meets them in SALTS parts.
+    """
+    about = edges.count() if about is None else about
+    rows = (edges.where(~F.col("rel").isin(*excluded)) if excluded else edges).select("src", "dst", "rel")
+    large = -(-about // PART_ROWS) > edges.sparkSession.sparkContext.defaultParallelism
+    for end, other, flag in (("src", "dst", "_src"), ("dst", "src", "_dst")):
+        known = nodes.select(F.col("id").alias(end)).distinct().withColumn(flag, F.lit(True))
+        if large:
+            rows = spread(rows.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")), about, end, "_salt")
+            # nodes are sent to no task whole, which small compressed ids would tempt Spark to
+            known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
+        rows = rows.join(known, [end, "_salt"] if large else end, "left").drop("_salt")
+    rows = rows.where("_src OR _dst" if ghosts else "_src AND _dst")
+    return spread(rows.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "rel"), about, "a", "b", "rel").distinct()
 
 
 def degrees(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

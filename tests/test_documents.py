@@ -144,3 +144,18 @@ def test_more_listings(spark):
     got = connectors.treaty_dataset(treaty).first()
     assert (got.numero, got.anio, got.extra["vigencia"]) == ("tratado-de-limites", "1999", "Vigente")
     assert connectors.in_window(spark.createDataFrame([("1999",), ("2005",), (None,)], "anio string"), 2000, 2010).count() == 2
+
+
+def test_global_links_in_parts(spark, monkeypatch):
+    """Large graphs are dealt to parts by their number of edges, a busy node's edges too; no table of nodes is sent whole to a task."""
+    pairs = [(f"c{i % 7}", f"p{i % 11}", "AB"[i % 2]) for i in range(300)] + [("c0", f"p{i}", "A") for i in range(200)] + [("x", "y", "A"), ("p1", "c0", "A"), ("c1", "c1", "B"), (None, "p1", "A"), ("c1", None, "A")]
+    edges = spark.createDataFrame(pairs, "src string, dst string, rel string")
+    known = [f"c{i}" for i in range(5)] + [f"p{i}" for i in range(0, 9, 2)] + ["c0"]
+    nodes = spark.createDataFrame([(i,) for i in known], "id string")
+    monkeypatch.setattr(graph, "PART_ROWS", 20)
+    for ghosts in (True, False):
+        want = {(*sorted((a or b, b or a)), r) for a, b, r in pairs if r != "B" and ((a in known or b in known) if ghosts else (a in known and b in known))}
+        found = graph.global_links(edges, nodes, ("B",), ghosts)
+        assert rows(found) == sorted(want, key=str)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and f", {-(-len(pairs) // 20)})" in plan
