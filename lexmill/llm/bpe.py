@@ -31,8 +31,8 @@ from ._shared import MEMORIES, Remembered, free_names, only
 CACHE_PIECES = 300_000
 QUERY_PIECES = 20_000
 #: Rows that a recursive query may come to: a piece of n bytes has at most n in each of at most n steps.
-QUERY_ROWS = 1_000_000
-QUERY_TOKENS = 200_000
+QUERY_ROWS = 300_000
+QUERY_TOKENS = 100_000
 LONG_PIECE = 1024
 #: Texts of more characters are split and encoded so many pieces at a time.
 LONG_TEXT, LOT_PIECES = 1 << 20, 200_000
